@@ -13,6 +13,7 @@ def local_session(cpus: str | int = 8, memory: str = "8g") -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("quillon")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cpus))
