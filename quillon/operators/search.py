@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SCORE_DIGITS = 9
 MAX_BROADCAST_BYTES = 128 << 20
@@ -159,6 +159,11 @@ def _broadcast_top_k(
     return _ranked(fitting.mapInArrow(body, ddl), k)
 
 
+def _blocks(n: int) -> Column:
+    """All block numbers, typed as the hash that picks a block."""
+    return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
+
+
 def blocked_top_k(
     corpus: DataFrame, id_column: str, vector_column: str, dim: int,
     queries: DataFrame, query_id: str, query_vector: str, k: int,
@@ -175,12 +180,12 @@ def blocked_top_k(
     ddl, out_schema = _search_schema(query_type, id_type)
     left = queries.where(F.size(query_vector) == dim).select(
         F.pmod(F.xxhash64(query_id), F.lit(query_blocks)).alias("qb"),
-        F.explode(F.sequence(F.lit(0), F.lit(corpus_blocks - 1))).cast("long").alias("cb"),
+        F.explode(_blocks(corpus_blocks)).alias("cb"),
         F.col(query_id).alias("id"),
         F.col(query_vector).alias("vector"),
     )
     right = corpus.where(F.size(vector_column) == dim).select(
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).cast("long").alias("qb"),
+        F.explode(_blocks(query_blocks)).alias("qb"),
         F.pmod(F.xxhash64(id_column), F.lit(corpus_blocks)).alias("cb"),
         F.col(id_column).alias("id"),
         F.col(vector_column).alias("vector"),

@@ -124,15 +124,20 @@ def admission_round(batches: DataFrame, limits: Limits = Limits()) -> DataFrame:
     fitting = pending.where(F.col("est_tokens") <= limits.max_enqueued_tokens).where(
         F.col("est_tokens") <= free_tokens
     )
-    slots = limits.max_concurrent_jobs
-    few = top_per_key(fitting, ["est_tokens"], [F.col("shard_id").asc()], slots)
-    queue = few.agg(
-        F.array_sort(F.collect_list(F.struct("shard_id", "est_tokens"))).alias("queue")
+    few = top_per_key(
+        fitting, ["est_tokens"], [F.col("shard_id").asc()], limits.max_concurrent_jobs
+    )
+    queue = few.withColumns({
+        "free_slots": budget.select("free_slots").scalar(),
+        "free_tokens": free_tokens,
+    }).agg(
+        F.array_sort(F.collect_list(F.struct("shard_id", "est_tokens"))).alias("queue"),
+        F.max("free_slots").alias("free_slots"),
+        F.max("free_tokens").alias("free_tokens"),
     )
-    free_slots = budget.select("free_slots").scalar()
     start = F.struct(
         F.array().cast("array<struct<shard_id:bigint,est_tokens:bigint>>").alias("taken"),
-        free_tokens.cast("long").alias("left"),
+        F.col("free_tokens").cast("long").alias("left"),
     )
 
     def step(acc: Column, shard: Column) -> Column:
@@ -144,9 +149,7 @@ def admission_round(batches: DataFrame, limits: Limits = Limits()) -> DataFrame:
             F.when(fits, acc["left"] - tokens).otherwise(acc["left"]).alias("left"),
         )
 
-    folded = queue.withColumn("free_slots", free_slots).select(
-        F.aggregate("queue", start, step)["taken"].alias("taken")
-    )
+    folded = queue.select(F.aggregate("queue", start, step)["taken"].alias("taken"))
     return folded.select(F.posexplode("taken").alias("position", "shard")).select(
         "position", "shard.shard_id", "shard.est_tokens"
     )

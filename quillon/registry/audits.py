@@ -1,2 +1,158 @@
-QUERIES: dict = {}
-ORACLES: dict = {}
+"""Queries over audits, cleanup and status reports."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quillon.operators import cleanup as cl
+from quillon.operators import verify as vf
+from quillon.operators.normalize import normalize
+from quillon.registry.fixtures import (
+    DIM, LINE_STATES_SQL, ORDER_BATCHES_SQL, PRODUCTS, line_states, order_batches, table,
+)
+from quillon.sources.files import list_files
+
+
+def _collection(spark, sf_dir):
+    """Products with embeddings; all but PROMO parts are marked as stored."""
+    records = normalize(table(spark, sf_dir, "part"), PRODUCTS)
+    stored = F.when(F.col("p_type") != "PROMO", "ok").otherwise("pending")
+    state = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("record_id"), F.lit("ok").alias("embed_status"),
+        stored.alias("upsert_status"),
+    )
+    points = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("string").alias("record_id"), F.col("embedding").alias("vector")
+    ).join(records, "record_id").select("point_id", "record_id", "vector", "payload")
+    return state, records, points
+
+
+def count_match(spark, sf_dir):
+    state, _, points = _collection(spark, sf_dir)
+    return vf.count_match(state, points)
+
+
+def spot_check(spark, sf_dir):
+    return vf.spot_check(*_collection(spark, sf_dir))
+
+
+def verify_report(spark, sf_dir):
+    state, records, points = _collection(spark, sf_dir)
+    report = vf.count_match(state, points).unionByName(vf.spot_check(state, records, points))
+    return report.unionByName(vf.self_search_check(points, DIM)).unionByName(
+        vf.skipped_check("cross_modal", spark)
+    )
+
+
+def cleanup_shards(spark, sf_dir):
+    return cl.eligible_shards(order_batches(spark, sf_dir), line_states(spark, sf_dir))
+
+
+def cleanup_results(spark, sf_dir):
+    return cl.eligible_results(order_batches(spark, sf_dir), line_states(spark, sf_dir))
+
+
+def _files(spark, sf_dir):
+    """File sizes derived from the tables: shards by line count, results by price, pages as images."""
+    orders = table(spark, sf_dir, "orders")
+    shard = orders.select(
+        F.concat(F.lit("shard_"), F.col("o_orderkey").cast("string")).alias("file_name"),
+        (F.col("o_orderkey") + 100).alias("length"), "o_orderpriority",
+    )
+    result = orders.select(
+        F.concat(F.lit("batches_"), F.col("o_orderkey").cast("string"), F.lit(".jsonl")).alias("file_name"),
+        F.floor("o_totalprice").cast("long").alias("length"), "o_orderpriority",
+    )
+    image = table(spark, sf_dir, "pages").select(
+        F.concat(F.sha2("html", 256), F.lit(".jpg")).alias("file_name"),
+        F.octet_length("html").cast("long").alias("length"),
+    )
+    # Some files are gone already.
+    there = F.col("o_orderpriority") != "5-LOW"
+    return shard.where(there), result.where(there), image
+
+
+def reclaimable(spark, sf_dir):
+    shard, result, image = _files(spark, sf_dir)
+    return cl.reclaimable(order_batches(spark, sf_dir), line_states(spark, sf_dir), shard, result, image)
+
+
+def reclaimable_images(spark, sf_dir):
+    shard, result, image = _files(spark, sf_dir)
+    return cl.reclaimable(
+        order_batches(spark, sf_dir), line_states(spark, sf_dir), shard, result, image, "images"
+    )
+
+
+def file_listing(spark, sf_dir):
+    """Files of the data folder (no SQL counterpart)."""
+    return list_files(spark, sf_dir, "*.parquet").select("file_name", "length")
+
+
+QUERIES = {
+    "count_match": count_match,
+    "spot_check": spot_check,
+    "verify_report": verify_report,
+    "cleanup_eligible_shards": cleanup_shards,
+    "cleanup_eligible_results": cleanup_results,
+    "reclaimable": reclaimable,
+    "reclaimable_images": reclaimable_images,
+    "file_listing": file_listing,
+}
+
+_COUNT_SQL = """
+  SELECT 'count_match' AS "check", CASE WHEN a = b THEN 'PASS' ELSE 'FAIL' END AS status, a AS ok, b AS n
+  FROM (SELECT (SELECT count(*) FROM part WHERE p_type <> 'PROMO') AS a,
+               (SELECT count(*) FROM part JOIN embeddings ON vec_id = p_partkey) AS b)"""
+
+_SPOT_SQL = """
+  SELECT 'spot_check' AS "check", CASE WHEN count(*) = count(vec_id) THEN 'PASS' ELSE 'WARN' END AS status,
+         count(vec_id) AS ok, count(*) AS n
+  FROM (SELECT p_partkey FROM part WHERE p_type <> 'PROMO'
+        ORDER BY md5('42:' || p_partkey), p_partkey::VARCHAR LIMIT 100)
+  LEFT JOIN embeddings ON vec_id = p_partkey"""
+
+_SELF_SQL = """
+  WITH p AS (SELECT vec_id::VARCHAR AS id, embedding::DOUBLE[] AS v FROM part JOIN embeddings ON vec_id = p_partkey),
+  s AS (SELECT id AS q, v AS qv FROM p ORDER BY md5('42:' || id), id LIMIT 20),
+  t AS (SELECT q, arg_max(id, score) AS id, max(score) AS score
+        FROM (SELECT q, id, round(list_cosine_similarity(qv, v), 9) AS score FROM s CROSS JOIN p) GROUP BY q)
+  SELECT 'self_search' AS "check",
+         CASE WHEN count(*) = count(*) FILTER (WHERE q = id AND score > 0.99) THEN 'PASS' ELSE 'WARN' END AS status,
+         count(*) FILTER (WHERE q = id AND score > 0.99) AS ok, count(*) AS n FROM t"""
+
+_SHARDS_SQL = f"""
+  SELECT b.shard_id, b.request_file, count(*) AS members
+  FROM ({ORDER_BATCHES_SQL}) b JOIN ({LINE_STATES_SQL}) r ON r.shard_id = b.shard_id
+  GROUP BY 1, 2 HAVING count(*) = count(*) FILTER (WHERE r.embed_status = 'ok')"""
+
+_RESULTS_SQL = f"""
+  SELECT b.batch_id, replace(b.batch_id, '/', '_') || '.jsonl' AS result_file, count(*) AS members
+  FROM ({ORDER_BATCHES_SQL}) b JOIN ({LINE_STATES_SQL}) r ON r.batch_id = b.batch_id
+  WHERE b.state = 'SUCCEEDED'
+  GROUP BY 1, 2 HAVING count(*) = count(*) FILTER (WHERE r.upsert_status = 'ok')"""
+
+_IMAGES_SQL = """
+  SELECT 'images' AS artifact, count(*) AS eligible, count(*) AS total, 0::BIGINT AS skipped,
+         sum(octet_length(encode(html)))::BIGINT AS bytes FROM pages"""
+
+ORACLES = {
+    "count_match": _COUNT_SQL,
+    "spot_check": _SPOT_SQL,
+    "verify_report": f"""
+        SELECT * FROM ({_COUNT_SQL}) UNION ALL SELECT * FROM ({_SPOT_SQL})
+        UNION ALL SELECT * FROM ({_SELF_SQL}) UNION ALL SELECT 'cross_modal', 'SKIP', 0, 0""",
+    "cleanup_eligible_shards": _SHARDS_SQL,
+    "cleanup_eligible_results": _RESULTS_SQL,
+    "reclaimable": f"""
+        SELECT 'shards' AS artifact, count(*) AS eligible, (SELECT count(*) FROM orders) AS total,
+               (SELECT count(*) FROM orders) - count(*) AS skipped, coalesce(sum(o_orderkey + 100), 0)::BIGINT AS bytes
+        FROM ({_SHARDS_SQL}) JOIN orders ON o_orderkey = shard_id WHERE o_orderpriority <> '5-LOW'
+        UNION ALL
+        SELECT 'results', count(*), (SELECT count(*) FROM orders WHERE o_orderstatus = 'F'),
+               (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') - count(*),
+               coalesce(sum(floor(o_totalprice)::BIGINT), 0)::BIGINT
+        FROM ({_RESULTS_SQL}) JOIN orders ON 'batches/' || o_orderkey = batch_id WHERE o_orderpriority <> '5-LOW'
+        UNION ALL {_IMAGES_SQL}""",
+    "reclaimable_images": _IMAGES_SQL,
+}

@@ -1,2 +1,190 @@
-QUERIES: dict = {}
-ORACLES: dict = {}
+"""Queries over vectors: search, embedding and audits of recall."""
+
+from __future__ import annotations
+
+import functools
+
+from pyspark.sql import functions as F
+
+from quillon.operators import search as se
+from quillon.operators.embed import embed_texts, hashed_words
+from quillon.operators.points import with_sketch
+from quillon.operators.sampling import seeded_sample
+from quillon.operators.verify import recall_hits, self_search_check
+from quillon.registry.fixtures import DIM, table, vectors
+
+WORDS_DIM = 64
+
+
+def _samples(spark, sf_dir, n=20):
+    picked = seeded_sample(vectors(spark, sf_dir), "record_id", n)
+    return picked.select(F.col("record_id").alias("query_id"), "vector")
+
+
+def _hits():
+    return ["query_id", "id", F.round("score", 4).alias("score"), "rank"]
+
+
+def cosine_topk(spark, sf_dir):
+    found = se.cosine_top_k(vectors(spark, sf_dir), _samples(spark, sf_dir), dim=DIM, k=5)
+    return found.select(*_hits())
+
+
+def blocked_topk(spark, sf_dir):
+    """The same through query and corpus blocks, as used above the broadcast bound."""
+    found = se.blocked_top_k(
+        vectors(spark, sf_dir), "record_id", "vector", DIM,
+        _samples(spark, sf_dir), "query_id", "vector", 5, query_blocks=3, corpus_blocks=8,
+    )
+    return found.select(*_hits())
+
+
+def self_search(spark, sf_dir):
+    found = se.cosine_top_k(vectors(spark, sf_dir), _samples(spark, sf_dir), dim=DIM, k=1)
+    return se.self_search(found).select("query_id", "top_id", F.round("score", 4).alias("score"), "ok")
+
+
+def self_search_summary(spark, sf_dir):
+    return self_search_check(vectors(spark, sf_dir), DIM)
+
+
+def filtered_topk(spark, sf_dir):
+    """Only vectors of three labels are searched."""
+    kept = vectors(spark, sf_dir).where(F.col("label").isin(1, 4, 7))
+    found = se.cosine_top_k(kept, _samples(spark, sf_dir), dim=DIM, k=5)
+    return found.select(*_hits())
+
+
+def hamming_topk(spark, sf_dir):
+    sketched = with_sketch(vectors(spark, sf_dir), DIM)
+    queries = se.small_queries(_samples(spark, sf_dir), "query_id", "vector", DIM)
+    return se.hamming_top_k(sketched, queries, dim=DIM, k=20)
+
+
+def binary_topk(spark, sf_dir):
+    sketched = with_sketch(vectors(spark, sf_dir), DIM)
+    found = se.two_stage_top_k(sketched, _samples(spark, sf_dir), dim=DIM, k=5)
+    return found.select(*_hits())
+
+
+def truncated_topk(spark, sf_dir):
+    """Search over the first 16 dimensions."""
+    short = vectors(spark, sf_dir).select("record_id", F.slice("vector", 1, 16).alias("vector"))
+    queries = _samples(spark, sf_dir).select("query_id", F.slice("vector", 1, 16).alias("vector"))
+    return se.cosine_top_k(short, queries, dim=16, k=5).select(*_hits())
+
+
+def _embedded(df, id_column):
+    return embed_texts(df, functools.partial(hashed_words, WORDS_DIM), WORDS_DIM, id_column=id_column)
+
+
+def hash_embed(spark, sf_dir):
+    embedded = _embedded(table(spark, sf_dir, "documents"), "doc_id")
+    return embedded.select("doc_id", F.posexplode("vector").alias("bucket", "x")).where("x > 0").select(
+        "doc_id", "bucket", F.round(F.col("x").cast("double"), 4).alias("x")
+    )
+
+
+def text_search(spark, sf_dir):
+    """Documents nearest to every benchmark item."""
+    documents = _embedded(table(spark, sf_dir, "documents"), "doc_id")
+    items = _embedded(table(spark, sf_dir, "benchmark"), "item_id")
+    found = se.cosine_top_k(
+        documents, items, dim=WORDS_DIM, k=5, id_column="doc_id", query_id="item_id"
+    )
+    return found.select("query_id", "id", F.round("score", 4).alias("score"), "rank")
+
+
+def cross_modal_recall(spark, sf_dir):
+    """Sampled documents look themselves up by their own text."""
+    docs = table(spark, sf_dir, "documents")
+    sample = seeded_sample(docs.select("doc_id", "text"), "doc_id", 5)
+    return recall_hits(
+        sample, _embedded(docs, "doc_id"), _embedded(sample.where(F.trim("text") != ""), "doc_id"),
+        WORDS_DIM, id_column="doc_id",
+    )
+
+
+QUERIES = {
+    "cosine_topk": cosine_topk,
+    "blocked_topk": blocked_topk,
+    "self_search": self_search,
+    "self_search_check": self_search_summary,
+    "filtered_topk": filtered_topk,
+    "hamming_topk": hamming_topk,
+    "binary_topk": binary_topk,
+    "truncated_topk": truncated_topk,
+    "hash_embed": hash_embed,
+    "text_search": text_search,
+    "cross_modal_recall": cross_modal_recall,
+}
+
+_SAMPLE = "SELECT vec_id AS query_id, embedding AS qv FROM embeddings ORDER BY md5('42:' || vec_id), vec_id LIMIT 20"
+
+
+def _topk_sql(k: int, corpus: str = "embeddings", vector: str = "embedding", query: str = "qv") -> str:
+    return f"""
+        SELECT query_id, id, round(score, 4) AS score, rank FROM (
+          SELECT query_id, id, score,
+                 row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank
+          FROM (SELECT query_id, vec_id AS id,
+                       round(list_cosine_similarity(({query})::DOUBLE[], ({vector})::DOUBLE[]), 9) AS score
+                FROM ({_SAMPLE}) CROSS JOIN {corpus})) WHERE rank <= {k}"""
+
+
+def _words_sql(source: str, id_column: str) -> str:
+    return f"""
+        SELECT id, bucket, n / sqrt(sum(n * n) OVER (PARTITION BY id)) AS x FROM (
+          SELECT id, ('0x' || substr(md5(token), 1, 8))::BIGINT % {WORDS_DIM} AS bucket, count(*)::DOUBLE AS n
+          FROM (SELECT {id_column} AS id,
+                       unnest(regexp_extract_all(lower(text), '[^ \\t\\n\\r\\f\\v]+')) AS token FROM {source})
+          GROUP BY 1, 2)"""
+
+
+def _text_topk_sql(queries: str, k: int) -> str:
+    """Scores from float32 weights, as stored vectors are."""
+    return f"""
+        WITH d AS (SELECT id, bucket, x::FLOAT::DOUBLE AS x FROM ({_words_sql('documents', 'doc_id')})),
+        q AS (SELECT id, bucket, x::FLOAT::DOUBLE AS x FROM ({queries})),
+        dn AS (SELECT id, sqrt(sum(x * x)) AS n FROM d GROUP BY 1),
+        qn AS (SELECT id, sqrt(sum(x * x)) AS n FROM q GROUP BY 1),
+        dot AS (SELECT q.id AS query_id, d.id AS id, sum(q.x * d.x) AS s
+                FROM q JOIN d USING (bucket) GROUP BY 1, 2),
+        scored AS (SELECT query_id, dot.id, round(s / (qn.n * dn.n), 9) AS score
+                   FROM dot JOIN qn ON qn.id = query_id JOIN dn ON dn.id = dot.id)
+        SELECT query_id, id, round(score, 4) AS score, rank FROM (
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM scored)
+        WHERE rank <= {k}"""
+
+
+_DOC_SAMPLE = "(SELECT * FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 5)"
+
+ORACLES = {
+    "cosine_topk": _topk_sql(5),
+    "blocked_topk": _topk_sql(5),
+    "self_search": f"""
+        SELECT query_id, id AS top_id, score, id = query_id AND score > 0.99 AS ok FROM ({_topk_sql(1)})""",
+    "self_search_check": f"""
+        SELECT 'self_search' AS "check", CASE WHEN count(*) = count(*) FILTER (WHERE id = query_id AND score > 0.99)
+               THEN 'PASS' ELSE 'WARN' END AS status,
+               count(*) FILTER (WHERE id = query_id AND score > 0.99) AS ok, count(*) AS n
+        FROM ({_topk_sql(1)})""",
+    "filtered_topk": _topk_sql(5, "(SELECT * FROM embeddings WHERE label IN (1, 4, 7))"),
+    "hamming_topk": f"""
+        SELECT query_id, id, distance, rank FROM (
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM (
+            SELECT query_id, vec_id AS id,
+                   list_sum(list_transform(range(1, 65), lambda i: ((qv[i] > 0) <> (embedding[i] > 0))::INTEGER))::INTEGER
+                   AS distance
+            FROM ({_SAMPLE}) CROSS JOIN embeddings)) WHERE rank <= 20""",
+    "binary_topk": _topk_sql(5),
+    "truncated_topk": _topk_sql(5, vector="list_slice(embedding, 1, 16)", query="list_slice(qv, 1, 16)"),
+    "hash_embed": f"""
+        SELECT id AS doc_id, bucket::INTEGER AS bucket, round(x::FLOAT::DOUBLE, 4) AS x
+        FROM ({_words_sql('documents', 'doc_id')})""",
+    "text_search": _text_topk_sql(_words_sql("benchmark", "item_id"), 5),
+    "cross_modal_recall": f"""
+        SELECT s.doc_id, bool_or(coalesce(t.id = s.doc_id, false)) AS hit
+        FROM {_DOC_SAMPLE} s LEFT JOIN ({_text_topk_sql(_words_sql(_DOC_SAMPLE, 'doc_id'), 5)}) t
+          ON t.query_id = s.doc_id GROUP BY 1""",
+}
