@@ -81,9 +81,14 @@ def _timestamp_text(value: Column) -> Column:
 
 
 def payload_json(spec: DatasetSpec, schema: T.StructType) -> Column:
-    """Payload object of a row; requested columns the table lacks are null."""
+    """Payload object of a row; requested columns the table lacks are null.
+
+    An image column travels as its URL; picture bytes stay out of the payload.
+    """
     types = {f.name: f.dataType for f in schema.fields}
-    names = spec.payload_columns(schema.names)
+    image = spec.image_column
+    stored = image in types and not isinstance(types[image], T.StringType)
+    names = [n for n in spec.payload_columns(schema.names) if not (stored and n == image)]
     if not names:
         return F.lit("{}")
     values = [

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from quillon.functions.keys import content_hash
+from quillon.operators.state import as_events
+from quillon.sources.epochs import read_or_empty
 
 PIXEL_SCHEMA = "height int, width int, n_channels int, pixels binary"
 LANCZOS_SUPPORT = 3.0
@@ -28,21 +30,13 @@ def new_blobs(blobs: DataFrame, store: DataFrame | None = None) -> DataFrame:
 
 def store_blobs(blobs: DataFrame, path: str) -> None:
     """Append the new blobs of a table to a store folder."""
-    spark: SparkSession = blobs.sparkSession
-    new = new_blobs(blobs, existing_blobs(spark, path))
+    new = new_blobs(blobs, stored_blobs(blobs.sparkSession, path))
     new.write.mode("append").parquet(path)
 
 
-def existing_blobs(spark: SparkSession, path: str) -> DataFrame | None:
-    """The store's table, or None before the first write."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.schema("sha string, content binary").parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def stored_blobs(spark: SparkSession, path: str) -> DataFrame:
+    """The store's table; empty before the first write."""
+    return read_or_empty(spark, path, T.StructType.fromDDL("sha string, content binary"))
 
 
 def target_size(width: int, height: int, max_side: int) -> tuple[int, int]:
@@ -75,47 +69,58 @@ def shrink_pixels(pixels: np.ndarray, max_side: int) -> np.ndarray:
     return np.clip(np.floor(reduced + 0.5), 0, 255).astype(np.uint8)
 
 
-def shrink_images(images: DataFrame, max_side: int, id_column: str) -> DataFrame:
-    """(id, height, width, n_channels, pixels, sha) of decoded images, shrunk.
+def shrink_images(images: DataFrame, max_side: int, keep: Sequence[str]) -> DataFrame:
+    """``keep`` columns, then height, width, n_channels, pixels and sha of shrunk images.
 
     ``images`` has the columns of Spark's image source (height, width, nChannels, data).
-    Rows whose image could not be decoded (no data) keep null pixels.
+    Images that could not be decoded (no data) get null pixels.
     """
-    id_type = images.schema[id_column].dataType.simpleString()
+    kept = [images.schema[c] for c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, heights, widths, channels, data = (c.to_pylist() for c in batch.columns)
+            carried = batch.columns[: len(kept)]
             shapes, contents = [], []
-            for h, w, c, d in zip(heights, widths, channels, data):
-                if d is None or not h or not w or h < 0 or w < 0:
+            for h, w, c, d in zip(*(col.to_pylist() for col in batch.columns[len(kept) :])):
+                if not d or h < 1 or w < 1:
                     shapes.append((None, None, None))
                     contents.append(None)
                     continue
                 small = shrink_pixels(np.frombuffer(d, np.uint8).reshape(h, w, c), max_side)
                 shapes.append(small.shape)
                 contents.append(small.tobytes())
+            sizes = [pa.array([s[i] for s in shapes], pa.int32()) for i in range(3)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids, batch.schema.field(0).type),
-                    *[pa.array([s[i] for s in shapes], pa.int32()) for i in range(3)],
-                    pa.array(contents, pa.binary()),
-                ],
-                names=[id_column, "height", "width", "n_channels", "pixels"],
+                [*carried, *sizes, pa.array(contents, pa.binary())],
+                names=[*keep, "height", "width", "n_channels", "pixels"],
             )
 
-    shrunk = images.select(id_column, "height", "width", "nChannels", "data").mapInArrow(
-        run, f"`{id_column}` {id_type}, {PIXEL_SCHEMA}"
-    )
+    schema = T.StructType([*kept, *T.StructType.fromDDL(PIXEL_SCHEMA).fields])
+    shrunk = images.select(*keep, "height", "width", "nChannels", "data").mapInArrow(run, schema)
     return shrunk.withColumn("sha", content_hash(F.col("pixels")))
 
 
-def embedded_image_events(shrunk: DataFrame, seq: int) -> DataFrame:
-    """Image events of pictures that came with the dataset: ok with a hash, or failed."""
-    from quillon.operators.state import as_events
+def shrink_column(df: DataFrame, column: str, max_side: int) -> DataFrame:
+    """Replace a column of decoded pictures by shrunk pixels (binary), in place.
+
+    Pictures that could not be decoded become empty; absent ones stay null.
+    """
+    others = [c for c in df.columns if c != column]
+    flat = df.select(*others, F.col(column).isNotNull().alias("_had"), f"`{column}`.*")
+    shrunk = shrink_images(flat, max_side, [*others, "_had"])
+    pixels = F.when(F.col("_had"), F.coalesce("pixels", F.lit(b""))).alias(column)
+    return shrunk.select(*[pixels if c == column else F.col(f"`{c}`") for c in df.columns])
+
+
+def stored_content(column: str) -> Column:
+    """Bytes worth storing: null for absent and for undecodable (empty) pictures."""
+    return F.when(F.octet_length(column) > 0, F.col(column))
+
 
+def embedded_image_events(pictures: DataFrame, seq: int) -> DataFrame:
+    """Image events of pictures that came with the dataset (record_id, sha): ok or failed."""
     ok = F.col("sha").isNotNull()
-    return as_events(shrunk.select(
+    return as_events(pictures.select(
         "record_id",
         F.lit(seq).alias("seq"),
         F.lit("image").alias("event"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from quillon.config import DatasetSpec
@@ -36,12 +38,14 @@ def image_reference(spec: DatasetSpec, schema: T.StructType) -> list[Column]:
     return [url.alias("image_url"), content.alias("image")]
 
 
-def normalize(df: DataFrame, spec: DatasetSpec, row_index: str | None = None) -> DataFrame:
+def normalize(
+    df: DataFrame, spec: DatasetSpec, row_index: str | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
     """Records: id, point key, rendered text, image reference and JSON payload.
 
     One projection without a shuffle. Rows with a null id keep a null ``record_id``;
     :func:`split_null_ids` separates them. ``row_index`` names a position column that is
-    not part of the dataset itself.
+    not part of the dataset itself. Columns to ``keep`` follow as ``_order_<name>``.
     """
     require_valid(df, spec)
     data = T.StructType([f for f in df.schema.fields if f.name != row_index])
@@ -54,6 +58,7 @@ def normalize(df: DataFrame, spec: DatasetSpec, row_index: str | None = None) ->
         *image_reference(spec, df.schema),
         payload_json(spec, data).alias("payload"),
         *carried,
+        *[F.col(f"`{c}`").alias(f"_order_{c}") for c in keep],
     )
 
 

@@ -98,7 +98,7 @@ def blob_store(spark, sf_dir):
     path = fresh_path(spark, "blobs")
     im.store_blobs(docs.where("lang <> 'de'"), path)
     im.store_blobs(docs, path)
-    return im.existing_blobs(spark, path).select("sha", F.octet_length("content").alias("length"))
+    return im.stored_blobs(spark, path).select("sha", F.octet_length("content").alias("length"))
 
 
 def shrink_gray(spark, sf_dir):
@@ -109,7 +109,7 @@ def shrink_gray(spark, sf_dir):
         F.col("vec_id").cast("string").alias("record_id"), F.lit(8).alias("height"), F.lit(8).alias("width"),
         F.lit(1).alias("nChannels"), data.alias("data"),
     )
-    shrunk = im.shrink_images(images, 4, "record_id")
+    shrunk = im.shrink_images(images, 4, ["record_id"])
     return shrunk.select("record_id", "height", "width", "n_channels", F.hex("pixels").alias("pixels"))
 
 

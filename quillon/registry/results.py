@@ -10,7 +10,7 @@ from quillon.operators import points as pt
 from quillon.operators import results as rs
 from quillon.operators.normalize import normalize
 from quillon.operators.state import fold_events
-from quillon.registry.fixtures import DIM, PRODUCTS, RESULT_CLASS_SQL, result_lines, table, vectors
+from quillon.registry.fixtures import DIM, PRODUCTS, RESULT_CLASS_SQL, result_lines, table, vectors, write_result_files
 from quillon.registry.records import uuid_sql
 from quillon.session import fresh_path
 from quillon.sources.results import attach_batches, read_result_lines
@@ -69,18 +69,10 @@ def collect_rerun(spark, sf_dir):
     """Result files written, read back by name, appended, and collected a second time."""
     lines = result_lines(spark, sf_dir)
     path, out = fresh_path(spark, "results"), fresh_path(spark, "vectors")
-    # Repeated lines: every file's content twice.
-    doubled = lines.unionByName(lines).select("value", F.translate("batch_id", "/", "_").alias("name"))
-    doubled.write.partitionBy("name").text(path)
-    read = spark.read.text(path)
-    located = read.select(
-        F.trim("value").alias("value"),
-        F.concat(F.col("name"), F.lit(".jsonl")).alias("file_name"),
-        F.col("_metadata.file_block_start").alias("file_block"),
-        F.monotonically_increasing_id().alias("line_no"),
-    ).where(F.length("value") > 0)
+    # Repeated lines: every batch's content twice.
+    write_result_files(lines.unionByName(lines), path)
     batches = lines.select("batch_id").distinct()
-    parsed = rs.parse_result_lines(attach_batches(located, batches), DIM)
+    parsed = rs.parse_result_lines(attach_batches(read_result_lines(spark, path), batches), DIM)
     records = _records(spark, sf_dir)
     first = rs.collect_vectors(parsed, records)
     rs.append_vectors(first, out)

@@ -1,2 +1,70 @@
-QUERIES: dict = {}
-ORACLES: dict = {}
+"""Queries that run as Structured Streaming over the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quillon.config import DatasetSpec, PayloadSpec
+from quillon.functions.vectors import l2_norm
+from quillon.registry.fixtures import DIM, line_id, result_lines, table, write_result_files
+from quillon.registry.lifecycle import JOB_STATES_SQL, _polls
+from quillon.registry.results import ORACLES as RESULT_ORACLES, _records
+from quillon.session import fresh_path
+from quillon.streaming.collect import collect_stream
+from quillon.streaming.ingest import ingest_stream
+from quillon.streaming.status import status_stream
+
+
+def stream_collect(spark, sf_dir):
+    """Result files arrive in two waves; the second run starts from the checkpoint."""
+    lines = result_lines(spark, sf_dir)
+    folder, vectors, checkpoint = (fresh_path(spark, n) for n in ("arriving", "vectors", "offsets"))
+    batches = lines.select("batch_id").distinct()
+    collected = None
+    for wave in (F.col("label") < 5, F.col("label") >= 5):
+        write_result_files(lines.withColumn("label", F.col("batch_id").substr(9, 9).cast("int")).where(wave), folder)
+        collected = collect_stream(
+            spark, folder, vectors, checkpoint, _records(spark, sf_dir), batches, DIM, files_per_trigger=3
+        )
+    return collected.select(
+        "batch_id", "record_id", "point_id", "known",
+        F.size("vector").alias("dim"), F.round(l2_norm(F.col("vector")), 4).alias("norm"),
+    )
+
+
+def stream_status(spark, sf_dir):
+    polls = fresh_path(spark, "polls")
+    _polls(spark, sf_dir).repartition(6, "seq").write.parquet(polls)
+    stream = (
+        spark.readStream.schema("batch_id string, seq bigint, job_state string")
+        .option("maxFilesPerTrigger", 2).parquet(polls)
+    )
+    states = status_stream(stream, fresh_path(spark, "states"), fresh_path(spark, "offsets"))
+    return states.select("batch_id", "state", "seq", "terminal")
+
+
+def stream_ingest(spark, sf_dir):
+    """Order lines arrive in several files; ids repeat within and across them."""
+    source = fresh_path(spark, "lines")
+    lines = table(spark, sf_dir, "lineitem").select(line_id().alias("id"), "l_orderkey")
+    lines.repartition(6).write.parquet(source)
+    spec = DatasetSpec(dataset="lines", id_column="id", text_template="order {l_orderkey}", modality="text",
+                       payload=PayloadSpec(include=("l_orderkey",)))
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    records = ingest_stream(stream, spec, fresh_path(spark, "records"), fresh_path(spark, "offsets"))
+    return records.select("record_id", "text", "payload")
+
+
+QUERIES = {
+    "stream_collect": stream_collect,
+    "stream_status": stream_status,
+    "stream_ingest": stream_ingest,
+}
+
+ORACLES = {
+    "stream_collect": RESULT_ORACLES["collect_join"],
+    "stream_status": JOB_STATES_SQL,
+    "stream_ingest": """
+        SELECT DISTINCT l_orderkey || '-' || l_linenumber AS record_id, 'order ' || l_orderkey AS text,
+               '{"l_orderkey":' || l_orderkey || '}' AS payload FROM lineitem""",
+}

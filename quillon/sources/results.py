@@ -1,31 +1,45 @@
-"""Result files: JSON lines written by an embedding job, one file per batch."""
+"""Result files: JSON lines written by an embedding job.
+
+A batch's results are a file ``<batch>.jsonl``, or a folder of that name holding parts.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from quillon.functions.keys import result_file_name
+
+# Place of a line: its file, the byte offset of its split, then its number inside the split.
+POSITION = ("file_path", "file_block", "line_no")
+RESULT_NAME = r"([^/=]+\.jsonl)(?:/[^/]+)?$"
+
 
-# File position of a line: byte offset of its split, then its place inside the split.
-POSITION = ("file_name", "file_block", "line_no")
+def batch_file(file_path: Column) -> Column:
+    """Name under which a batch's results are stored, from the path of one of its files."""
+    return F.regexp_extract(file_path, RESULT_NAME, 1)
 
 
-def with_origin(lines: DataFrame) -> DataFrame:
-    """Non-blank lines of a text scan with the file and position each came from."""
-    return lines.select(
+def located_lines(scan: DataFrame) -> DataFrame:
+    """Non-blank lines of a text scan (batch or stream) with the file each came from."""
+    return scan.select(
         F.trim("value").alias("value"),
-        F.col("_metadata.file_name").alias("file_name"),
+        batch_file(F.col("_metadata.file_path")).alias("file_name"),
+        F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("file_block"),
-        F.monotonically_increasing_id().alias("line_no"),
     ).where(F.length("value") > 0)
 
 
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """Add the number that orders lines inside their split (batch frames only)."""
+    return lines.withColumn("line_no", F.monotonically_increasing_id())
+
+
 def read_result_lines(spark: SparkSession, path: str) -> DataFrame:
     """Scan a folder of result files."""
-    return with_origin(spark.read.text(path))
+    return numbered_lines(located_lines(spark.read.option("recursiveFileLookup", "true").text(path)))
 
 
 def attach_batches(lines: DataFrame, batches: DataFrame) -> DataFrame:
     """Keep lines of the given batches, found by result file name, and add ``batch_id``."""
-    from quillon.functions.keys import result_file_name
-
     names = batches.select("batch_id", result_file_name(F.col("batch_id")).alias("file_name"))
     return lines.join(names, "file_name")
