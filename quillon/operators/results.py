@@ -21,8 +21,8 @@ NORM_LOW, NORM_HIGH = 0.95, 1.05
 def parse_result_lines(lines: DataFrame, dim: int) -> DataFrame:
     """Result lines with ``key``, ``vector`` (double), ``norm`` and ``error_class``.
 
-    error_class is null for a usable vector, else one of bad_json, missing_key, error,
-    empty_values, wrong_dim. No line fails the job.
+    error_class is null for a usable vector, else one of bad_json (also JSON that is no
+    object), missing_key, error, empty_values, wrong_dim. No line fails the job.
     """
     fields = F.json_object_keys("value")
     parsed = lines.withColumn("_fields", fields).withColumn(

@@ -186,7 +186,7 @@ class Workspace:
             usable, assignment, self.spec, dim=self.limits.embedding_dim, model=self.model,
             blobs=self.blobs() if self.spec.needs_image else None,
         )
-        sh.write_request_shards(lines, f"{self.root}/requests/{epoch}")
+        sh.write_request_shards(lines, f"{self.root}/requests/epoch={epoch}")
         shards = sh.shard_batches(assignment, self.limits)
         self._commit(
             "build_shards", epoch,
