@@ -3,36 +3,42 @@
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from quillon.session import spread
+
 Embedder = Callable[[Sequence[str]], np.ndarray]
-TOKEN = re.compile(r"[^ \t\n\r\f\v]+")
-MAX_CACHED_TOKENS = 200_000
+MAX_CACHED_WORDS = 1_000_000
+
+
+class _Buckets(dict):
+    """Bucket of each word, hashed on first use; forgets everything when it grows too large."""
+
+    def __init__(self, dim: int):
+        super().__init__()
+        self.dim = dim
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= MAX_CACHED_WORDS:
+            self.clear()
+        self[word] = found = int.from_bytes(hashlib.md5(word.encode()).digest()[:4]) % self.dim
+        return found
 
 
 def hashed_words(dim: int) -> Embedder:
     """Built-in model: counts of lower-cased words, hashed into ``dim`` buckets, unit length."""
-    cache: dict[str, int] = {}
-
-    def bucket(token: str) -> int:
-        found = cache.get(token)
-        if found is None:
-            if len(cache) >= MAX_CACHED_TOKENS:
-                cache.clear()
-            found = cache[token] = int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dim
-        return found
+    bucket = _Buckets(dim).__getitem__
 
     def embed(texts: Sequence[str]) -> np.ndarray:
         matrix = np.zeros((len(texts), dim))
         for row, text in enumerate(texts):
-            tokens = TOKEN.findall(text.lower())
-            if tokens:
-                matrix[row] = np.bincount([bucket(t) for t in tokens], minlength=dim)
+            words = text.lower().split()
+            buckets = np.fromiter(map(bucket, words), np.int64, len(words))
+            matrix[row] = np.bincount(buckets, minlength=dim)
         norms = np.linalg.norm(matrix, axis=1, keepdims=True)
         return np.divide(matrix, norms, out=matrix, where=norms > 0)
 
@@ -64,4 +70,5 @@ def embed_texts(
                 )
 
     ddl = f"`{id_column}` {id_field.dataType.simpleString()}, vector array<float>"
-    return df.select(id_column, text_column).mapInArrow(run, ddl)
+    texts = spread(df.select(id_column, text_column), id_column)
+    return texts.mapInArrow(run, ddl)

@@ -20,13 +20,14 @@ def points_to_upsert(
 ) -> DataFrame:
     """Points of records that are embedded but not yet stored; the last vector wins.
 
-    Vectors are cut to the pending ids before they are deduplicated, so finished records
-    cost nothing but the scan.
+    Vectors are deduplicated first: that trims each task's rows before the one wide
+    shuffle, also for a record collected over and over, and both joins reuse its
+    partitioning.
     """
     pending = upsert_pending(state).select("record_id")
-    wanted = vectors.join(pending, "record_id", "left_semi")
-    latest = last_write_wins(wanted, ["record_id"], order).select("record_id", "vector")
-    return latest.join(records.select("record_id", "point_id", "payload"), "record_id").select(
+    latest = last_write_wins(vectors, ["record_id"], order).select("record_id", "vector")
+    wanted = latest.join(pending, "record_id", "left_semi")
+    return wanted.join(records.select("record_id", "point_id", "payload"), "record_id").select(
         *POINT_COLUMNS
     )
 

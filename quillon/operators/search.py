@@ -15,8 +15,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from quillon.session import materialize
+
 SCORE_DIGITS = 9
 MAX_BROADCAST_BYTES = 128 << 20
+MAX_BROADCAST_IDS = 1_000_000
 BLOCK_QUERIES = 4096
 SCORE_CELLS = 4 << 20
 
@@ -330,27 +333,32 @@ def two_stage_top_k(
     3. Sketches again tell which ids could still reach the floor of any query.
     4. Only those vectors are scored.
 
-    Query sets above ``max_bytes`` use the exact search directly.
+    Ids travel to the vectors, never the other way: where they are too many to broadcast
+    (unclustered data, or query sets above ``max_bytes``) the plain exact search runs.
     """
+    exact = dict(id_column=id_column, vector_column=vector_column)
     small = small_queries(queries, query_id, query_vector, dim, max_bytes)
-    if small is None:
+    if small is None or len(small.ids) * k * oversampling > MAX_BROADCAST_IDS:
         return cosine_top_k(
-            corpus, queries, dim=dim, k=k, id_column=id_column, vector_column=vector_column,
-            query_id=query_id, query_vector=query_vector, max_bytes=max_bytes,
+            corpus, queries, dim=dim, k=k, query_id=query_id, query_vector=query_vector,
+            max_bytes=max_bytes, **exact,
         )
     shortlist = hamming_top_k(
         corpus, small, dim=dim, k=k * oversampling, id_column=id_column, sketch_column=sketch_column
     )
-    # At most queries x k x oversampling ids; adaptive execution broadcasts them when small.
     near = shortlist.select(F.col("id").alias(id_column)).distinct()
     rescored = _broadcast_top_k(
-        corpus.join(near, id_column, "left_semi"), id_column, vector_column, dim, small, k
+        corpus.join(F.broadcast(near), id_column, "left_semi"), dim=dim, queries=small, k=k, **exact
     )
     # One number per query, and the queries themselves are already on the driver.
     reached = dict(
         rescored.where(F.col("rank") == k).select("query_id", "score").toPandas().itertuples(index=False)
     )
     floors = np.array([reached.get(q, -1.0) for q in small.ids])
-    possible = _possible_ids(corpus, small, floors, dim, id_column, sketch_column)
-    candidates = corpus.join(possible.withColumnRenamed("id", id_column), id_column, "left_semi")
-    return _broadcast_top_k(candidates, id_column, vector_column, dim, small, k)
+    possible = materialize(
+        _possible_ids(corpus, small, floors, dim, id_column, sketch_column), "possible"
+    ).withColumnRenamed("id", id_column)
+    candidates = corpus
+    if possible.count() <= MAX_BROADCAST_IDS:
+        candidates = corpus.join(F.broadcast(possible), id_column, "left_semi")
+    return _broadcast_top_k(candidates, dim=dim, queries=small, k=k, **exact)

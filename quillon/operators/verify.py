@@ -33,13 +33,15 @@ def spot_check(
 ) -> DataFrame:
     """How many of a sample of stored records have their point."""
     stored = state.where("upsert_status = 'ok'").select("record_id")
-    sample = seeded_sample(stored, "record_id", n, seed).join(
-        records.select("record_id", "point_id"), "record_id"
+    # The sample has at most ``n`` rows, so the tables it meets are only scanned.
+    sample = records.join(
+        F.broadcast(seeded_sample(stored, "record_id", n, seed)), "record_id", "left_semi"
+    ).select("point_id")
+    asked = sample.agg(F.count(F.lit(1)).alias("n"))
+    found = points.join(F.broadcast(sample), "point_id", "left_semi")
+    return found.agg(F.count_distinct("point_id").alias("ok")).withColumn("n", asked.scalar()).select(
+        *_check("spot_check", F.col("ok") == F.col("n"), "WARN")
     )
-    present = points.select("point_id", F.lit(1).alias("_found"))
-    return sample.join(present, "point_id", "left").agg(
-        F.count("_found").alias("ok"), F.count(F.lit(1)).alias("n")
-    ).select(*_check("spot_check", F.col("ok") == F.col("n"), "WARN"))
 
 
 def self_search_check(

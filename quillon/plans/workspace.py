@@ -58,6 +58,7 @@ class Workspace:
     ):
         self.spark, self.root, self.spec = spark, root.rstrip("/"), spec
         self.limits, self.model = limits, model
+        self._committed: list[int] | None = None
 
     # Tables.
 
@@ -66,9 +67,15 @@ class Workspace:
 
     def commits(self) -> list[int]:
         """Epochs of finished steps: one number per step ever run."""
-        schema = T.StructType.fromDDL("epoch bigint, step string")
-        rows = read_or_empty(self.spark, self._path("commits"), schema).select("epoch").distinct()
-        return sorted(r.epoch for r in rows.collect())
+        if self._committed is None:
+            schema = T.StructType.fromDDL("epoch bigint, step string")
+            rows = read_or_empty(self.spark, self._path("commits"), schema).select("epoch").distinct()
+            self._committed = sorted(r.epoch for r in rows.collect())
+        return self._committed
+
+    def refresh(self) -> None:
+        """Look for steps committed by other sessions; every step does so when it starts."""
+        self._committed = None
 
     def _read(self, table: str, after: int = -1) -> DataFrame:
         stored = read_epochs(self.spark, self._path(table), SCHEMAS[table])
@@ -116,6 +123,7 @@ class Workspace:
         return pt.current_points(self._read("points").withColumnRenamed("epoch", "version"))
 
     def _next_epoch(self) -> int:
+        self.refresh()
         return max(int(time.time() * 1000), *[e + 1 for e in self.commits()[-1:]], 0)
 
     def _commit(self, step: str, epoch: int, **tables: DataFrame) -> None:
@@ -123,6 +131,7 @@ class Workspace:
             write_epoch(rows, self._path(table), epoch)
         done = self.spark.range(1).select(F.lit(epoch).cast("long").alias("epoch"), F.lit(step).alias("step"))
         done.coalesce(1).write.mode("append").parquet(self._path("commits"))
+        self.refresh()
 
     # Steps.
 

@@ -73,7 +73,7 @@ def pending_images(spark, sf_dir):
 
 def upsert_pending(spark, sf_dir):
     return st.upsert_pending(line_states(spark, sf_dir)).groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("n"), F.min("record_id").alias("first_id")
+        F.count(F.lit(1)).alias("n"), F.min("l_partkey").alias("first_part")
     )
 
 
@@ -175,10 +175,11 @@ def board(spark, sf_dir):
         .alias("job_state"),
     )
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        F.min("l_linestatus").alias("state")
+        F.max(F.col("l_linestatus") == "F").alias("closed")
     )
     batches = lines.select(
-        F.concat(F.lit("batches/"), F.col("l_orderkey").cast("string")).alias("batch_id"), "state"
+        F.concat(F.lit("batches/"), F.col("l_orderkey").cast("string")).alias("batch_id"),
+        F.when(F.col("closed"), "F").otherwise("O").alias("state"),
     )
     return job_board(jobs, batches)
 
@@ -276,7 +277,7 @@ ORACLES = {
     "pending_images": f"""
         SELECT shard_id, count(*) AS n FROM ({LINE_STATES_SQL}) WHERE image_status = 'pending' GROUP BY 1""",
     "upsert_pending": f"""
-        SELECT batch_id, count(*) AS n, min(record_id) AS first_id FROM ({LINE_STATES_SQL})
+        SELECT batch_id, count(*) AS n, min(l_partkey) AS first_part FROM ({LINE_STATES_SQL})
         WHERE upsert_status = 'pending' AND embed_status = 'ok' GROUP BY 1""",
     "status_counts": f"""
         SELECT count(*) AS total, count(*) FILTER (WHERE image_status = 'ok') AS image_ok,

@@ -132,12 +132,18 @@ def _topk_sql(k: int, corpus: str = "embeddings", vector: str = "embedding", que
                 FROM ({_SAMPLE}) CROSS JOIN {corpus})) WHERE rank <= {k}"""
 
 
+# Runs of anything but Unicode white space.
+_WORD = (
+    r"[^\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+)
+
+
 def _words_sql(source: str, id_column: str) -> str:
     return f"""
         SELECT id, bucket, n / sqrt(sum(n * n) OVER (PARTITION BY id)) AS x FROM (
           SELECT id, ('0x' || substr(md5(token), 1, 8))::BIGINT % {WORDS_DIM} AS bucket, count(*)::DOUBLE AS n
           FROM (SELECT {id_column} AS id,
-                       unnest(regexp_extract_all(lower(text), '[^ \\t\\n\\r\\f\\v]+')) AS token FROM {source})
+                       unnest(regexp_extract_all(lower(text), '{_WORD}')) AS token FROM {source})
           GROUP BY 1, 2)"""
 
 
