@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from quillon.session import spread
 
@@ -69,6 +69,36 @@ def embed_texts(
                     [batch.column(0), vectors], names=[id_column, "vector"]
                 )
 
-    ddl = f"`{id_column}` {id_field.dataType.simpleString()}, vector array<float>"
+    schema = T.StructType([id_field, T.StructField("vector", T.ArrayType(T.FloatType()))])
     texts = spread(df.select(id_column, text_column), id_column)
-    return texts.mapInArrow(run, ddl)
+    return texts.mapInArrow(run, schema)
+
+
+REQUEST_SCHEMA = (
+    "key string, request struct<output_dimensionality:int,content:struct<parts:array<struct<text:string>>>>"
+)
+
+
+def answer_requests(
+    requests: DataFrame, make_embedder: Callable[[], Embedder], dim: int
+) -> DataFrame:
+    """Result lines (all columns but ``value``, then ``value``) of request lines.
+
+    Stands in for a remote embedding job: the text parts of each request are embedded, and
+    a request without text is answered with an error.
+    """
+    kept = [c for c in requests.columns if c != "value"]
+    parsed = requests.withColumn("_r", F.from_json("value", REQUEST_SCHEMA))
+    texts = F.array_compact(F.transform("_r.request.content.parts", lambda p: p["text"]))
+    asked = parsed.select(
+        F.struct(*kept, F.col("_r.key").alias("key"), (F.size(texts) > 0).alias("has_text")).alias("origin"),
+        F.array_join(texts, " ").alias("text"),
+    )
+    answered = embed_texts(asked, make_embedder, dim, id_column="origin")
+    response = F.struct(F.struct(F.col("vector").alias("values")).alias("embedding")).alias("response")
+    key = F.col("origin.key").alias("key")
+    line = F.when(F.col("origin.has_text"), F.to_json(F.struct(key, response))).otherwise(
+        F.to_json(F.struct(key, F.lit("no text to embed").alias("error")))
+    )
+    return answered.select(*[F.col(f"origin.`{c}`").alias(c) for c in kept], line.alias("value"))
+

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import logging
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quillon.config import INDEX_TYPES, SpecError
 from quillon.functions.vectors import sign_sketch
 from quillon.operators.dedupe import last_write_wins
 from quillon.operators.state import as_events, upsert_pending
+from quillon.session import materialize
+
+log = logging.getLogger(__name__)
 
 POINT_COLUMNS = ("point_id", "record_id", "vector", "payload")
 UUID_PATTERN = "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
@@ -54,6 +59,57 @@ def append_points(incoming: DataFrame, path: str, version: int) -> None:
     incoming.write.mode("overwrite").parquet(f"{path}/version={version}")
 
 
+def write_typed_points(
+    points: DataFrame, path: str, indexes: Mapping[str, str], partition_by: Sequence[str] = ()
+) -> None:
+    """Store points with their typed payload fields as columns.
+
+    Filters on these columns reach the scan; ``partition_by`` names keyword fields of few
+    values, whose filters skip whole folders.
+    """
+    typed_payload(points, indexes).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
+Writer = Callable[[list[dict]], None]
+UPSERT_CHUNK, UPSERT_TRIES = 256, 3
+
+
+def deliver_points(
+    points: DataFrame, make_writer: Callable[[], Writer], chunk: int = UPSERT_CHUNK,
+    tries: int = UPSERT_TRIES,
+) -> DataFrame:
+    """Hand points to an external store; returns (point_id, record_id, delivered), written once.
+
+    Every task opens its own writer and sends chunks of point_id, vector and payload. A
+    chunk that keeps failing is reported as not delivered and stays pending; a repeated
+    task sends the same ids again, which an upsert by id absorbs.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        write = make_writer()
+        for whole in batches:
+            for start in range(0, whole.num_rows, chunk):
+                batch = whole.slice(start, chunk)
+                rows = batch.select(["point_id", "vector", "payload"]).to_pylist()
+                sent = False
+                for _ in range(tries):
+                    try:
+                        write(rows)
+                        sent = True
+                        break
+                    except Exception as problem:  # a store may fail in any way
+                        log.warning("chunk of %d points failed: %s", len(rows), problem)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("point_id"), batch.column("record_id"), pa.array([sent] * len(rows), pa.bool_())],
+                    names=["point_id", "record_id", "delivered"],
+                )
+
+    sent = points.select(*POINT_COLUMNS).mapInArrow(
+        run, "point_id string, record_id string, delivered boolean"
+    )
+    return materialize(sent, "delivered")
+
+
 def current_points(log: DataFrame) -> DataFrame:
     """Points of a version log (merge on read): the highest version of each id."""
     return last_write_wins(log, ["point_id"], ["version"]).drop("version")

@@ -24,13 +24,13 @@ from quillon.operators import state as st
 from quillon.operators import verify as vf
 from quillon.operators.contract import is_image_struct
 from quillon.operators.dedupe import insert_or_ignore
-from quillon.operators.embed import Embedder, embed_texts
+from quillon.operators.embed import Embedder, answer_requests, embed_texts
 from quillon.operators.jobs import latest_states
 from quillon.operators.normalize import normalize, split_null_ids
 from quillon.operators.sampling import seeded_sample
 from quillon.session import materialize
 from quillon.sources.epochs import read_epochs, read_or_empty, write_epoch
-from quillon.sources.results import POSITION, attach_batches, read_result_lines
+from quillon.sources.results import POSITION, attach_batches, read_result_lines, write_result_files
 
 SCHEMAS = {
     "records": "record_id string, point_id string, text string, image_url string, payload string",
@@ -218,6 +218,22 @@ class Workspace:
             record_events=st.submit_events(self.state(), jobs, 2 * epoch),
         )
 
+    def embed(self, make_embedder: Callable[[], Embedder], results: str) -> DataFrame:
+        """Answer all submitted shards in Spark, in place of a remote job; returns their polls.
+
+        Reads the request files and writes one result folder per batch.
+        """
+        active = st.active_batches(self.batches()).select("batch_id", "shard_id")
+        requests = self.spark.read.schema("value string, epoch bigint, shard_id bigint").text(
+            self._path("requests")
+        ).where(F.col("epoch").isin(self.commits()))
+        asked = requests.join(active, "shard_id").select("batch_id", "value")
+        answers = answer_requests(asked, make_embedder, self.limits.embedding_dim)
+        write_result_files(answers, results)
+        return active.select(
+            "batch_id", F.lit(0).cast("long").alias("seq"), F.lit("JOB_STATE_SUCCEEDED").alias("job_state")
+        )
+
     def polled(self, polls: DataFrame) -> DataFrame:
         """Apply job polls (batch_id, seq, job_state); failed jobs free their records."""
         epoch = self._next_epoch()

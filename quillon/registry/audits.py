@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
+from quillon.config import Limits
 from quillon.operators import cleanup as cl
+from quillon.operators import state as st
 from quillon.operators import verify as vf
+from quillon.operators.embed import hashed_words
 from quillon.operators.normalize import normalize
+from quillon.plans.workspace import Workspace
 from quillon.registry.fixtures import (
     DIM, LINE_STATES_SQL, ORDER_BATCHES_SQL, PRODUCTS, line_states, order_batches, table,
 )
+from quillon.session import fresh_path, materialize
 from quillon.sources.files import list_files
 
 
@@ -89,7 +96,42 @@ def file_listing(spark, sf_dir):
     return list_files(spark, sf_dir, "*.parquet").select("file_name", "length")
 
 
+def status_report(spark, sf_dir):
+    """Record metrics and batches by state in one table."""
+    metrics = vf.metric_rows(st.status_counts(line_states(spark, sf_dir))).select(
+        F.lit("records").alias("section"), F.col("metric").alias("name"), "count"
+    )
+    states = st.batch_states(order_batches(spark, sf_dir)).select(
+        F.lit("batches").alias("section"), F.col("state").alias("name"), F.col("n").alias("count")
+    )
+    return metrics.unionByName(states)
+
+
+def workspace_report(spark, sf_dir):
+    """Products through every step of a workspace, embedded in Spark, then reported."""
+    root, results = fresh_path(spark, "workspace"), fresh_path(spark, "results")
+    limits = Limits(embedding_dim=64, records_per_shard=500, max_concurrent_jobs=100,
+                    max_enqueued_tokens=100_000_000)
+    ws = Workspace(spark, root, PRODUCTS, limits)
+    ws.ingest(table(spark, sf_dir, "part"), ["p_partkey"])
+    ws.build_shards()
+    admitted = materialize(ws.admit(), "admitted")
+    ws.submitted(admitted.select("shard_id", F.concat(F.lit("jobs/"), "shard_id").alias("batch_id")))
+    ws.polled(materialize(ws.embed(functools.partial(hashed_words, 64), results), "polls"))
+    ws.collect(results)
+    ws.upsert()
+    metrics, states = ws.status()
+    checks = ws.verify(functools.partial(hashed_words, 64))
+    return metrics.select(F.col("metric").alias("name"), F.col("count").cast("long").alias("count")).unionByName(
+        states.select(F.col("state").alias("name"), F.col("n").alias("count"))
+    ).unionByName(checks.where("check IN ('count_match', 'spot_check')").select(
+        F.concat_ws(" ", "check", "status").alias("name"), F.col("ok").alias("count")
+    ))
+
+
 QUERIES = {
+    "status_report": status_report,
+    "workspace_report": workspace_report,
     "count_match": count_match,
     "spot_check": spot_check,
     "verify_report": verify_report,
@@ -137,6 +179,21 @@ _IMAGES_SQL = """
          sum(octet_length(encode(html)))::BIGINT AS bytes FROM pages"""
 
 ORACLES = {
+    "status_report": f"""
+        SELECT 'records' AS section, 'total' AS name, count(*) AS count FROM lineitem
+        UNION ALL SELECT 'records', 'image_ok', count(*) FROM lineitem WHERE l_returnflag = 'A'
+        UNION ALL SELECT 'records', 'image_failed', count(*) FROM lineitem WHERE l_returnflag = 'N'
+        UNION ALL SELECT 'records', 'embed_ok', count(*) FROM lineitem WHERE l_linestatus = 'F'
+        UNION ALL SELECT 'records', 'embed_failed', 0
+        UNION ALL SELECT 'records', 'upserted', count(*) FROM lineitem WHERE l_returnflag = 'R'
+        UNION ALL SELECT 'batches', state, count(*) FROM ({ORDER_BATCHES_SQL}) GROUP BY state""",
+    "workspace_report": """
+        WITH n AS (SELECT count(*) AS n FROM part)
+        SELECT name, CASE WHEN name IN ('image_ok', 'image_failed', 'embed_failed') THEN 0
+                          WHEN name = 'SUCCEEDED' THEN ceil(n / 500)::BIGINT
+                          WHEN name = 'spot_check PASS' THEN least(n, 100) ELSE n END::BIGINT AS count
+        FROM n CROSS JOIN (VALUES ('total'), ('image_ok'), ('image_failed'), ('embed_ok'), ('embed_failed'),
+                                  ('upserted'), ('SUCCEEDED'), ('count_match PASS'), ('spot_check PASS')) t(name)""",
     "count_match": _COUNT_SQL,
     "spot_check": _SPOT_SQL,
     "verify_report": f"""

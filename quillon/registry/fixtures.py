@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quillon.config import DatasetSpec, PayloadSpec
-from quillon.functions.keys import result_file_name
 
 DIM = 64
 
@@ -189,12 +188,6 @@ def result_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_result_files(lines: DataFrame, path: str) -> None:
-    """Result lines as files: one folder per batch, named as its result file."""
-    named = lines.select("value", result_file_name(F.col("batch_id")).alias("results"))
-    named.write.mode("append").partitionBy("results").text(path)
-
-
 RESULT_CLASS_SQL = """
   SELECT vec_id, label, embedding,
          CASE vec_id % 10 WHEN 0 THEN 'error' WHEN 1 THEN 'wrong_dim' WHEN 2 THEN 'bad_json'

@@ -10,10 +10,10 @@ from quillon.operators import points as pt
 from quillon.operators import results as rs
 from quillon.operators.normalize import normalize
 from quillon.operators.state import fold_events
-from quillon.registry.fixtures import DIM, PRODUCTS, RESULT_CLASS_SQL, result_lines, table, vectors, write_result_files
+from quillon.registry.fixtures import DIM, PRODUCTS, RESULT_CLASS_SQL, result_lines, table, vectors
 from quillon.registry.records import uuid_sql
 from quillon.session import fresh_path
-from quillon.sources.results import attach_batches, read_result_lines
+from quillon.sources.results import attach_batches, read_result_lines, write_result_files
 
 
 def _parsed(spark, sf_dir):

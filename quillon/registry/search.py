@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from quillon.operators import search as se
 from quillon.operators.embed import embed_texts, hashed_words
-from quillon.operators.points import with_sketch
+from quillon.operators.normalize import normalize
+from quillon.operators.points import typed_payload, with_sketch
 from quillon.operators.sampling import seeded_sample
 from quillon.operators.verify import recall_hits, self_search_check
-from quillon.registry.fixtures import DIM, table, vectors
+from quillon.registry.fixtures import DIM, PRODUCTS, table, vectors
 
 WORDS_DIM = 64
 
@@ -55,6 +56,20 @@ def filtered_topk(spark, sf_dir):
     return found.select(*_hits())
 
 
+def payload_filtered_topk(spark, sf_dir):
+    """Products with embeddings, searched among those whose typed payload passes."""
+    records = normalize(table(spark, sf_dir, "part"), PRODUCTS).withColumn(
+        "vec_id", F.col("record_id").cast("long")
+    )
+    points = records.join(table(spark, sf_dir, "embeddings"), "vec_id")
+    typed = typed_payload(points, PRODUCTS.payload.indexes)
+    kept = typed.where((F.col("p_size") >= 25) & F.col("p_type").isin("PROMO", "ECONOMY"))
+    found = se.cosine_top_k(
+        kept, _samples(spark, sf_dir), dim=DIM, k=5, id_column="vec_id", vector_column="embedding"
+    )
+    return found.select(*_hits())
+
+
 def hamming_topk(spark, sf_dir):
     sketched = with_sketch(vectors(spark, sf_dir), DIM)
     queries = se.small_queries(_samples(spark, sf_dir), "query_id", "vector", DIM)
@@ -111,6 +126,7 @@ QUERIES = {
     "self_search": self_search,
     "self_search_check": self_search_summary,
     "filtered_topk": filtered_topk,
+    "payload_filtered_topk": payload_filtered_topk,
     "hamming_topk": hamming_topk,
     "binary_topk": binary_topk,
     "truncated_topk": truncated_topk,
@@ -176,6 +192,10 @@ ORACLES = {
                count(*) FILTER (WHERE id = query_id AND score > 0.99) AS ok, count(*) AS n
         FROM ({_topk_sql(1)})""",
     "filtered_topk": _topk_sql(5, "(SELECT * FROM embeddings WHERE label IN (1, 4, 7))"),
+    "payload_filtered_topk": _topk_sql(
+        5, "(SELECT e.* FROM embeddings e JOIN part ON vec_id = p_partkey "
+        "WHERE p_size >= 25 AND p_type IN ('PROMO', 'ECONOMY'))"
+    ),
     "hamming_topk": f"""
         SELECT query_id, id, distance, rank FROM (
           SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM (

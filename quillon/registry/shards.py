@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillon.config import DatasetSpec, Limits
-from quillon.functions.keys import base64_text, zero_padded
+from quillon.functions.keys import base64_text, content_hash, zero_padded
 from quillon.functions.requests import content_parts, has_content, request_line
 from quillon.operators import shards as sh
+from quillon.operators.images import store_blobs, stored_blobs
 from quillon.operators.normalize import normalize
 from quillon.registry.fixtures import DOCUMENTS, ORDER_BATCHES_SQL, order_batches, table
 from quillon.session import fresh_path
@@ -96,6 +97,37 @@ def request_multimodal(spark, sf_dir):
     return found
 
 
+def image_requests(spark, sf_dir):
+    """Pages ask with their picture, found in the blob store by hash; every language shares one too."""
+    pages = table(spark, sf_dir, "pages").select(
+        F.col("page_id").cast("string").alias("record_id"),
+        F.regexp_extract("url", r"/(de|en|es|fr)/", 1).alias("text"),
+        F.encode("html", "UTF-8").alias("content"),
+    )
+    path = fresh_path(spark, "blobs")
+    shared = pages.select(F.encode("text", "UTF-8").alias("content"))
+    store_blobs(pages.select("content").unionByName(shared), path)
+    spec = DatasetSpec(dataset="pages", image_column="url", modality="multimodal")
+    own = pages.select("record_id", "text", content_hash(F.col("content")).alias("image_sha"))
+    lang = pages.select(
+        F.concat(F.lit("lang-"), "record_id").alias("record_id"), F.lit("").alias("text"),
+        content_hash(F.encode("text", "UTF-8")).alias("image_sha"),
+    )
+    records = own.unionByName(lang)
+    assignment = sh.assign_shards(records, table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").alias("shard_id")), LIMITS)
+    lines = sh.request_lines(
+        records, assignment, spec, dim=64, model="embedder", blobs=stored_blobs(spark, path)
+    )
+    parts = F.from_json(
+        "line", "request struct<content:struct<parts:array<struct<text:string,inline_data:struct<data:string>>>>>"
+    )["request"]["content"]["parts"]
+    return lines.select("shard_id", "record_id", parts.alias("p")).select(
+        "shard_id", "record_id", F.size("p").alias("n_parts"), F.col("p")[0]["text"].alias("text"),
+        F.md5(F.element_at("p", -1)["inline_data"]["data"]).alias("data_md5"),
+    )
+
+
 def base64_pages(spark, sf_dir):
     return table(spark, sf_dir, "pages").select(
         "page_id", F.md5(base64_text(F.encode("html", "UTF-8"))).alias("b64_md5")
@@ -154,6 +186,7 @@ QUERIES = {
     "shard_files": shard_files,
     "request_json": request_json,
     "request_multimodal": request_multimodal,
+    "image_requests": image_requests,
     "base64_blobs": base64_pages,
     "in_flight_budget": in_flight,
     "admission_round": admission,
@@ -214,6 +247,14 @@ ORACLES = {
         {_modality_sql('text', _HAS_TEXT, 'false')}
         UNION ALL {_modality_sql('image', 'false', _HAS_IMAGE)}
         UNION ALL {_modality_sql('multimodal', _HAS_TEXT, _HAS_IMAGE)}""",
+    "image_requests": """
+        WITH p AS (SELECT page_id::VARCHAR AS id, regexp_extract(url, '/(de|en|es|fr)/', 1) AS lang, html FROM pages),
+        r AS (SELECT id AS record_id, lang AS text, encode(html) AS image FROM p
+              UNION ALL SELECT 'lang-' || id, '', encode(lang) FROM p)
+        SELECT 5 + (row_number() OVER (ORDER BY record_id) - 1) // 40 AS shard_id, record_id,
+               CASE WHEN text <> '' THEN 2 ELSE 1 END AS n_parts, nullif(text, '') AS text,
+               md5(base64(image)) AS data_md5
+        FROM r""",
     "base64_blobs": "SELECT page_id, md5(base64(encode(html))) AS b64_md5 FROM pages",
     "in_flight_budget": f"""
         SELECT coalesce(sum(est_tokens), 0)::BIGINT AS active_tokens, (1000000 - count(*))::INTEGER AS free_slots,

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from quillon.config import DatasetSpec, PayloadSpec
 from quillon.functions.vectors import l2_norm
-from quillon.registry.fixtures import DIM, line_id, result_lines, table, write_result_files
+from quillon.registry.fixtures import DIM, line_id, result_lines, table
 from quillon.registry.lifecycle import JOB_STATES_SQL, _polls
 from quillon.registry.results import ORACLES as RESULT_ORACLES, _records
 from quillon.session import fresh_path
+from quillon.sources.results import write_result_files
 from quillon.streaming.collect import collect_stream
 from quillon.streaming.ingest import ingest_stream
 from quillon.streaming.status import status_stream

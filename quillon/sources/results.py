@@ -43,3 +43,9 @@ def attach_batches(lines: DataFrame, batches: DataFrame) -> DataFrame:
     """Keep lines of the given batches, found by result file name, and add ``batch_id``."""
     names = batches.select("batch_id", result_file_name(F.col("batch_id")).alias("file_name"))
     return lines.join(names, "file_name")
+
+
+def write_result_files(lines: DataFrame, path: str) -> None:
+    """Result lines (batch_id, value) as one folder per batch, named as its result file."""
+    named = lines.select("value", result_file_name(F.col("batch_id")).alias("results"))
+    named.write.mode("append").partitionBy("results").text(path)
