@@ -58,19 +58,19 @@ class Workspace:
     ):
         self.spark, self.root, self.spec = spark, root.rstrip("/"), spec
         self.limits, self.model = limits, model
-        self._committed: list[int] | None = None
+        self._committed: dict[int, str] | None = None
 
     # Tables.
 
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def commits(self) -> list[int]:
-        """Epochs of finished steps: one number per step ever run."""
+    def commits(self) -> dict[int, str]:
+        """Epochs of finished steps with the step's name: one entry per step ever run."""
         if self._committed is None:
             schema = T.StructType.fromDDL("epoch bigint, step string")
-            rows = read_or_empty(self.spark, self._path("commits"), schema).select("epoch").distinct()
-            self._committed = sorted(r.epoch for r in rows.collect())
+            rows = read_or_empty(self.spark, self._path("commits"), schema).orderBy("epoch").collect()
+            self._committed = {r.epoch: r.step for r in rows}
         return self._committed
 
     def refresh(self) -> None:
@@ -89,12 +89,12 @@ class Workspace:
 
     def state(self) -> DataFrame:
         """Current state of every record: the last snapshot plus newer events."""
-        snapshots = self._read("state")
-        newest = snapshots.agg(F.max("epoch")).first()[0]
-        if newest is None:
+        snapshots = [e for e, step in self.commits().items() if step == "compact"]
+        if not snapshots:
             folded = st.fold_events(self._read("record_events").drop("epoch"))
         else:
-            snapshot = snapshots.where(F.col("epoch") == newest).drop("epoch")
+            newest = max(snapshots)
+            snapshot = self._read("state", after=newest - 1).drop("epoch")
             inserted = self.records().select(
                 "record_id", F.lit(0).cast("long").alias("seq"), F.lit("insert").alias("event")
             )
@@ -124,14 +124,14 @@ class Workspace:
 
     def _next_epoch(self) -> int:
         self.refresh()
-        return max(int(time.time() * 1000), *[e + 1 for e in self.commits()[-1:]], 0)
+        return max([int(time.time() * 1000), *(e + 1 for e in self.commits())])
 
     def _commit(self, step: str, epoch: int, **tables: DataFrame) -> None:
         for table, rows in tables.items():
             write_epoch(rows, self._path(table), epoch)
         done = self.spark.range(1).select(F.lit(epoch).cast("long").alias("epoch"), F.lit(step).alias("step"))
         done.coalesce(1).write.mode("append").parquet(self._path("commits"))
-        self.refresh()
+        self.commits()[epoch] = step
 
     # Steps.
 
@@ -226,7 +226,7 @@ class Workspace:
         active = st.active_batches(self.batches()).select("batch_id", "shard_id")
         requests = self.spark.read.schema("value string, epoch bigint, shard_id bigint").text(
             self._path("requests")
-        ).where(F.col("epoch").isin(self.commits()))
+        ).where(F.col("epoch").isin(list(self.commits())))
         asked = requests.join(active, "shard_id").select("batch_id", "value")
         answers = answer_requests(asked, make_embedder, self.limits.embedding_dim)
         write_result_files(answers, results)

@@ -136,3 +136,39 @@ def test_cleanup(spark, rows):
     assert rows(report) == [("images", 2, 2, 0, 17), ("results", 1, 3, 2, 7), ("shards", 1, 4, 3, 10)]
     with pytest.raises(ValueError, match="scope"):
         cl.reclaimable(batches, state, files, files, files, "everything")
+
+
+def test_deliver_points(spark, tmp_path):
+    points = spark.createDataFrame(
+        [(f"p{i}", f"r{i}", [float(i)], "{}") for i in range(10)],
+        "point_id string, record_id string, vector array<float>, payload string").coalesce(1)
+    sizes = str(tmp_path / "sizes")
+
+    def make_writer():
+        failures = {"left": 1}
+
+        def write(rows):
+            if any(r["point_id"] == "p9" for r in rows):
+                raise IOError("always down")
+            if failures["left"]:
+                failures["left"] -= 1
+                raise IOError("down once")
+            with open(sizes, "a") as f:
+                f.write(f"{len(rows)}\n")
+
+        return write
+
+    sent = pt.deliver_points(points, make_writer, chunk=4)
+    assert {r.point_id for r in sent.collect() if not r.delivered} == {"p8", "p9"}
+    assert open(sizes).read().split() == ["4", "4"]
+
+
+def test_typed_layout_prunes_folders(spark, tmp_path):
+    points = spark.createDataFrame(
+        [("a", '{"brand":"x","n":5}'), ("b", '{"brand":"y","n":"no"}')], "point_id string, payload string")
+    path = str(tmp_path / "typed")
+    pt.write_typed_points(points, path, {"brand": "keyword", "n": "integer"}, ["brand"])
+    kept = spark.read.parquet(path).where("brand = 'x' AND n > 3")
+    assert [r.point_id for r in kept.collect()] == ["a"]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(brand" in plan and "GreaterThan(n,3)" in plan
