@@ -6,9 +6,10 @@ from pyspark.sql import Column, functions as F
 
 
 def l2_norm(vector: Column) -> Column:
-    """Euclidean length, summed in double."""
-    squares = F.transform(vector, lambda x: x.cast("double") * x.cast("double"))
-    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda acc, x: acc + x))
+    """Euclidean length, summed in double in one pass; null if any component is."""
+    return F.sqrt(F.aggregate(
+        vector, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")
+    ))
 
 
 def truncated(vector: Column, dim: int) -> Column:

@@ -24,32 +24,35 @@ def parse_result_lines(lines: DataFrame, dim: int) -> DataFrame:
     error_class is null for a usable vector, else one of bad_json (also JSON that is no
     object), missing_key, error, empty_values, wrong_dim. No line fails the job.
     """
-    fields = F.json_object_keys("value")
-    parsed = lines.withColumn("_fields", fields).withColumn(
-        "_obj", F.from_json("value", LINE_SCHEMA)
+    parsed = lines.withColumn("_obj", F.from_json("value", LINE_SCHEMA))
+    # A second look at the field names, only where the parsed fields leave a doubt: no key,
+    # or an error field (spelled out or escaped) that may be there with a null value.
+    doubtful = F.col("_obj.key").isNull() | F.col("value").contains('"error"') | F.col("value").contains("\\u")
+    parsed = parsed.withColumn(
+        "_fields", F.when(doubtful, F.json_object_keys("value")).otherwise(F.array().cast("array<string>"))
     )
     values = F.col("_obj.response.embedding.values")
-    usable = values.isNotNull() & (F.size(values) > 0) & ~F.exists(values, lambda x: x.isNull())
+    # The length is null for absent vectors and for vectors with null components.
+    measured = parsed.withColumn("_norm", l2_norm(values))
+    empty = F.col("_norm").isNull() | (F.size(values) == 0)
     error = (
         F.when(F.col("_fields").isNull(), "bad_json")
         .when(F.col("_obj.key").isNull(), "missing_key")
         .when(F.array_contains("_fields", "error"), "error")
-        .when(~F.coalesce(usable, F.lit(False)), "empty_values")
+        .when(empty, "empty_values")
         .when(F.size(values) != dim, "wrong_dim")
     )
     kept = [c for c in lines.columns if c != "value"]
-    checked = parsed.select(
+    checked = measured.withColumn("error_class", error)
+    ok = F.col("error_class").isNull()
+    return checked.select(
         *kept,
         F.col("_obj.key").alias("key"),
-        values.alias("vector"),
+        F.when(ok, values).alias("vector"),
         F.col("_obj.error").alias("error_text"),
-        error.alias("error_class"),
-    )
-    ok = F.col("error_class").isNull()
-    return checked.withColumn("vector", F.when(ok, F.col("vector"))).withColumn(
-        "norm", F.when(ok, l2_norm(F.col("vector")))
-    ).withColumn(
-        "norm_warning", F.when(ok, ~F.col("norm").between(NORM_LOW, NORM_HIGH))
+        "error_class",
+        F.when(ok, F.col("_norm")).alias("norm"),
+        F.when(ok, ~F.col("_norm").between(NORM_LOW, NORM_HIGH)).alias("norm_warning"),
     )
 
 
