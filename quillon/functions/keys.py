@@ -14,13 +14,13 @@ def point_id(record_id: Column, namespace: uuid.UUID = POINT_NAMESPACE) -> Colum
     name = F.concat(F.unhex(F.lit(namespace.hex)), record_id.cast("binary"))
     digest = F.sha1(name)
     # The variant field keeps the low two bits of its nibble and sets the high bits to 10.
-    variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab" * 4)
-    return F.concat_ws(
-        "-",
-        F.substring(digest, 1, 8),
-        F.substring(digest, 9, 4),
-        F.concat(F.lit("5"), F.substring(digest, 14, 3)),
-        F.concat(variant, F.substring(digest, 18, 3)),
+    nibbles = [F.lit(x) for i in range(16) for x in (f"{i:x}", f"{8 | i & 3:x}")]
+    variant = F.element_at(F.create_map(*nibbles), F.substring(digest, 17, 1))
+    return F.concat(
+        F.substring(digest, 1, 8), F.lit("-"),
+        F.substring(digest, 9, 4), F.lit("-5"),
+        F.substring(digest, 14, 3), F.lit("-"),
+        variant, F.substring(digest, 18, 3), F.lit("-"),
         F.substring(digest, 21, 12),
     )
 

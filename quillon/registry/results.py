@@ -145,6 +145,30 @@ def upsert_log(spark, sf_dir):
     return pt.current_points(spark.read.parquet(path)).select(*_point_columns())
 
 
+def _accepting_writer():
+    def write(rows):
+        if not all(len(r["vector"]) == DIM for r in rows):
+            raise ValueError("wrong size")
+
+    return write
+
+
+def deliver(spark, sf_dir):
+    """Pending points handed to a store, in chunks, through its injected writer."""
+    state, records, stored = _store(spark, sf_dir)
+    incoming = pt.points_to_upsert(state, records, stored, ["seq"])
+    return pt.deliver_points(incoming, _accepting_writer)
+
+
+def typed_layout(spark, sf_dir):
+    """Products stored by type with their typed payload, read through both kinds of filter."""
+    records = normalize(table(spark, sf_dir, "part"), PRODUCTS).select("record_id", "point_id", "payload")
+    path = fresh_path(spark, "typed")
+    pt.write_typed_points(records, path, PRODUCTS.payload.indexes, ["p_type"])
+    kept = spark.read.parquet(path).where(F.col("p_type").isin("PROMO", "ECONOMY") & (F.col("p_size") > 30))
+    return kept.select("record_id", "p_type", "p_brand", "p_size", "p_retailprice")
+
+
 def latest(spark, sf_dir):
     _, _, stored = _store(spark, sf_dir)
     return rs.latest_vectors(stored, ["seq"]).select("record_id", "seq")
@@ -187,6 +211,8 @@ QUERIES = {
     "upsert_skipped": upsert_skipped,
     "upsert_points": upsert_snapshot,
     "upsert_log": upsert_log,
+    "deliver_points": deliver,
+    "typed_layout": typed_layout,
     "latest_vectors": latest,
     "truncate_dim": truncate_dim,
     "norm_check": norm_check,
@@ -250,6 +276,11 @@ ORACLES = {
           AND NOT EXISTS (SELECT 1 FROM embeddings WHERE vec_id = p_partkey)""",
     "upsert_points": _SNAPSHOT_SQL,
     "upsert_log": _SNAPSHOT_SQL,
+    "deliver_points": f"""
+        SELECT {uuid_sql('record_id')} AS point_id, record_id, true AS delivered FROM ({_INCOMING_SQL})""",
+    "typed_layout": """
+        SELECT p_partkey::VARCHAR AS record_id, p_type, p_brand, p_size::BIGINT AS p_size, p_retailprice
+        FROM part WHERE p_type IN ('PROMO', 'ECONOMY') AND p_size > 30""",
     "latest_vectors": """
         SELECT vec_id::VARCHAR AS record_id, CASE WHEN label < 5 THEN 2 ELSE 1 END AS seq FROM embeddings""",
     "truncate_dim": """
