@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +19,7 @@ def local_session(cpus: str | int = 8, memory: str = "8g") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="quillon-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
