@@ -6,22 +6,47 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import quillon
-from quillon.llm import minhash
+from quillon.llm import decontaminate, minhash, mixing, quality, sharding
 from quillon.session import materialize
 
 # Python workers need no copy of the package: its functions travel with the tasks.
 cloudpickle.register_pickle_by_value(quillon)
 
 
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on the labelled ones, does not reject."""
+    weights = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs, weights).where("predicted = 1").select("row.*")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8) stays."""
     found = minhash.near_duplicates(docs)
-    dropped = found.where(~F.col("kept")).select("doc_id").distinct()
+    dropped = materialize(found.where(~F.col("kept")).select("doc_id").distinct(), "dropped")
     return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target asks for."""
+    return mixing.mix(docs)
+
+
+def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their shard and slot; every shard has the mixture of the whole."""
+    return sharding.sharded(docs)
+
+
 STAGES = [
+    ("quality_filter", quality_filter),
     ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("mixture", mixture),
+    ("shards", shards),
 ]
 
 #: The classifier's training can't be expressed in SQL.

@@ -204,7 +204,7 @@ def near_duplicates(
         .drop("bands", "blocks", "other")
     )
     across = placed.groupBy("band", "i", "j").applyInPandas(
-        functools.partial(_across, floor=percent / 100 - MARGIN), "u long, v long").distinct()
+        lambda frame: _across(frame, percent / 100 - MARGIN), "u long, v long").distinct()
     more = _near(across, reps, texts, words, percent)
 
     # Every document takes the component of its class; classes that share an id are linked.

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import quillon
-from quillon.llm import minhash
+from quillon.llm import bwt, decontaminate, knn, language, lines, minhash, mixing, quality, sharding, warc
 
 # Python workers need no copy of the package: its functions travel with the tasks.
 cloudpickle.register_pickle_by_value(quillon)
@@ -21,8 +21,129 @@ def op1_minhash(spark, sf_dir):
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op2_mixing(spark, sf_dir):
+    """Weights 1, 2, 3 over the sources, three copies at most."""
+    counted = mixing.repetitions(_table(spark, sf_dir, "documents"))
+    return counted.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op3_decontaminate(spark, sf_dir):
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op4_language(spark, sf_dir):
+    return language.identify(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
+
+
+def op5_lines(spark, sf_dir):
+    left = lines.without_repeated_lines(_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op6_warc(spark, sf_dir):
+    return warc.archived(_table(spark, sf_dir, "pages"))
+
+
+def op7_sharding(spark, sf_dir):
+    return sharding.shard_rows(_table(spark, sf_dir, "documents"), shards=40)
+
+
+def op8_topk(spark, sf_dir):
+    return knn.exact_top_k(_table(spark, sf_dir, "embeddings"), every=100, k=10, scale=1024)
+
+
+def op9_quality(spark, sf_dir):
+    return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_repeats(spark, sf_dir):
+    return bwt.without_repeats(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
+    "op2_mixing": op2_mixing,
+    "op3_decontaminate": op3_decontaminate,
+    "op4_language": op4_language,
+    "op5_lines": op5_lines,
+    "op6_warc": op6_warc,
+    "op7_sharding": op7_sharding,
+    "op8_topk": op8_topk,
+    "op9_quality": op9_quality,
+    "op10_repeats": op10_repeats,
 }
 
-ORACLES = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all({text}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".replace("{text}", _LOWER)
+
+ORACLES = {
+    "op2_mixing": r"""
+        WITH sized AS (
+          SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                 ('0x' || substr(md5(concat_ws(':', '42', coalesce(doc_id::VARCHAR, 'null'), md5(coalesce(text, '')))), 1, 12))::BIGINT
+                 / 281474976710656.0::DOUBLE AS u FROM documents),
+        totals AS (
+          SELECT source, sum(size)::BIGINT AS source_size,
+                 ((row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1)::DOUBLE AS weight FROM sized GROUP BY source),
+        levels AS (
+          SELECT 3.0::DOUBLE * source_size / weight AS ratio, row_number() OVER o AS place,
+                 ((SELECT sum(size) FROM sized)::DOUBLE - coalesce(sum(3.0::DOUBLE * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                 / ((SELECT sum(weight) FROM totals) - coalesce(sum(weight) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level
+          FROM totals WINDOW o AS (ORDER BY 3.0::DOUBLE * source_size / weight, source)),
+        fill AS (SELECT arg_min(level, place) AS level FROM levels WHERE level < ratio),
+        rates AS (
+          SELECT source, source_size, target, CASE WHEN source_size = 0 THEN 0.0 WHEN target >= 3.0::DOUBLE * source_size THEN 3.0 ELSE target / source_size END::DOUBLE AS rate
+          FROM (SELECT *, least((SELECT level FROM fill) * weight, 3.0::DOUBLE * source_size) AS target FROM totals))
+        SELECT doc_id, size, source_size, target, ((floor(rate) + (u < rate - floor(rate))::INTEGER) * size)::BIGINT AS taken
+        FROM sized JOIN rates ON sized.source IS NOT DISTINCT FROM rates.source""",
+    "op3_decontaminate": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        b AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark),
+        starts AS (SELECT item, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0),
+        win AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS run FROM starts),
+        runs AS (
+          SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS run
+          FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d CROSS JOIN (SELECT DISTINCT n FROM win))),
+        hits AS (SELECT DISTINCT doc_id, i, n, item FROM runs JOIN win USING (run, n)),
+        places AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY 1),
+        items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY 1)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op5_lines": """
+        WITH l AS (SELECT doc_id, unnest(range(len(s))) AS line, unnest(s) AS t FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)),
+        kinds AS (SELECT t, min((doc_id, line)) AS p, length(t) AS n FROM l WHERE t <> '' GROUP BY t),
+        halves AS (
+          SELECT DISTINCT t, p, n, k FROM (
+            SELECT *, unnest(['a' || (n // 2) || ':' || left(t, n // 2), 'a' || ((n - 1) // 2) || ':' || left(t, (n - 1) // 2),
+                              'z' || ((n + 1) // 2) || ':' || right(t, (n + 1) // 2), 'z' || (n // 2) || ':' || right(t, n // 2)]) AS k
+            FROM kinds WHERE n >= 16)),
+        near AS (
+          SELECT a.t, min(b.p) AS q FROM halves a JOIN halves b ON a.k = b.k AND a.t <> b.t AND abs(a.n - b.n) <= 1
+          WHERE levenshtein(a.t, b.t) <= 1 GROUP BY a.t),
+        kept AS (
+          SELECT doc_id, l.line, l.t, l.t <> '' AND least(p, coalesce(q, p)) < (doc_id, line) AS gone
+          FROM l LEFT JOIN kinds ON l.t = kinds.t LEFT JOIN near ON near.t = l.t),
+        texts AS (
+          SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, count(*) AS n, coalesce(string_agg(t, chr(10) ORDER BY line) FILTER (WHERE NOT coalesce(gone, false)), '') AS k
+          FROM kept GROUP BY doc_id)
+        SELECT doc_id, CASE WHEN text <> '' THEN n ELSE 0 END::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+        FROM documents LEFT JOIN texts USING (doc_id)""",
+    "op6_warc": """
+        WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS n, sha1(coalesce(html, '')) AS h FROM pages),
+        d AS (
+          SELECT page_id, n, max(page_id) OVER (PARTITION BY h, n) AS best,
+                 array_to_string(list_transform(range(32), lambda g: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   (1 + (((('0x' || substr(h, (g // 4) * 5 + 1, 5))::BIGINT) >> (15 - 5 * (g % 4))) & 31))::BIGINT, 1)), '') AS digest
+          FROM p)
+        SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> best THEN best END AS refers_to FROM d""",
+    "op8_topk": """
+        WITH v AS (
+          SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::DOUBLE) AS e FROM embeddings
+          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
+            SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score
+            FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0)) WHERE rank <= 10""",
+}
