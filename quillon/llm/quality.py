@@ -16,8 +16,8 @@ from quillon.llm.text import mix, ngram_hashes
 BUCKETS = 1 << 18
 #: Labelled rows the model is fitted on: all, or about this many picked by a hash of the id.
 TRAIN_ROWS = 20_000
-#: Independent learners whose weights are averaged; each sees its share of the sample.
-LEARNERS = 4
+#: Rows per learner: learners train apart and their weights are averaged.
+LEARNER_ROWS = 5_000
 THRESHOLD = 0.3
 
 _SHAPE = bytes(
@@ -32,16 +32,20 @@ def _hashes(data: bytes, salt: int) -> np.ndarray:
 
 
 def features(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets and weights of a text: words, word pairs, and the same of word shapes.
+    """Buckets and weights of a text: words and pairs of words; of word shapes; of repeats.
 
-    A shape has runs of small letters, capitals and digits as one sign each. Weights are
-    log(1 + count), scaled to unit length. No words, no features.
+    A shape has runs of small letters, capitals and digits as one sign each; a repeat tells
+    whether a word equals the one before or the one before that. Weights are log(1 + count),
+    scaled to unit length. No words, no features.
     """
     data = text or b""
+    words, shapes = _hashes(data, 1), _hashes(_RUNS.sub(lambda m: m[0][:1], data.translate(_SHAPE)), 2)
+    again = np.zeros(len(words), np.uint64)
+    again[2:] = words[2:] == words[:-2]
+    again[1:] += np.uint64(2) * (words[1:] == words[:-1]).astype(np.uint64)
     grams = []
-    for salt, stream in ((1, data), (2, _RUNS.sub(lambda m: m[0][:1], data.translate(_SHAPE)))):
-        words = _hashes(stream, salt)
-        grams += [words, ngram_hashes(words, 2)]
+    for stream in (words, shapes, mix(again + np.uint64(3))):
+        grams += [stream, ngram_hashes(stream, 2)]
     buckets, counts = np.unique(np.concatenate(grams) >> np.uint64(64 - 18), return_counts=True)
     values = np.log1p(counts)
     return buckets.astype(np.int32), (values / (np.linalg.norm(values) or 1.0)).astype(np.float32)
@@ -50,7 +54,7 @@ def features(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
 class Ftrl:
     """Follow the regularised leader, per coordinate; the last coordinate is the bias."""
 
-    def __init__(self, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.05, l2: float = 0.5):
+    def __init__(self, alpha: float = 4.0, beta: float = 1.0, l1: float = 0.005, l2: float = 0.05):
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z, self.n = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
 
@@ -89,23 +93,25 @@ def _trained(table: pa.Table, epochs: int) -> pa.Table:
     return pa.table({"learner": table["learner"].slice(0, 1).cast(pa.int32()), "weights": pa.array([weights.tobytes()], pa.binary())})
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, epochs: int = 3,
+def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, epochs: int = 5,
         id_column: str = "doc_id", label_column: str = "quality") -> np.ndarray:
     """Weights (BUCKETS and a bias) learnt from the labelled documents that aren't held out.
 
     Held out are rows with crc32 of the id as text divisible by 5. Of the others at most
-    about ``train_rows`` are taken, by a hash of the id; they are dealt to ``LEARNERS``
-    that train apart, in the order of another hash, and their weights are averaged. Null
+    about ``train_rows`` are taken, by a hash of the id; they are dealt to learners of
+    LEARNER_ROWS that train apart, in a hashed order, and their weights are averaged. Null
     ids, labels and texts are left out; without any row the weights are 0 (score 0.5).
     """
     known = labels.where(f"{id_column} IS NOT NULL AND {label_column} IS NOT NULL").select(
         F.col(id_column).cast("long").alias("_id"), F.col(label_column).cast("int").alias("label"))
     known = known.where(F.crc32(F.col("_id").cast("string").cast("binary")) % 5 != 0)
-    share = min(1.0, train_rows / max(1, known.count()))
+    count = known.count()
+    share = min(1.0, train_rows / max(1, count))
+    learners = max(1, -(-min(count, train_rows) // LEARNER_ROWS))
     picked = known.where(F.pmod(F.xxhash64("_id", F.lit("sample")), F.lit(1 << 20)) < int(share * (1 << 20)))
     # Bounded by ``train_rows``, whatever the number of labels.
     rows = docs.where("text IS NOT NULL").join(F.broadcast(picked), F.col(id_column).cast("long") == F.col("_id")).select(
-        F.pmod(F.xxhash64("_id", F.lit("learner")), F.lit(LEARNERS)).cast("int").alias("learner"),
+        F.pmod(F.xxhash64("_id", F.lit("learner")), F.lit(learners)).cast("int").alias("learner"),
         F.xxhash64("_id", F.lit("place")).alias("place"), "label", F.col("text").cast("binary").alias("text"))
     sample = rows.mapInArrow(_featured, "learner int, place long, label int, buckets array<int>, vals array<float>")
     models = sample.groupBy("learner").applyInArrow(
