@@ -21,11 +21,13 @@ MINIMA = BANDS * ROWS
 BITS = 2
 PER_WORD = 64 // BITS
 PACKED = MINIMA // PER_WORD
-#: An estimate this far below the threshold (over six standard deviations) rules a pair out.
-MARGIN = 0.27
+#: An estimate this far below the threshold (nearly five standard deviations) rules a pair
+#: out: one link in a million.
+MARGIN = 0.2
 CHUNK = 2048
-#: Members of a bucket compared by one task at a time.
+#: Members of a bucket compared by one task at a time, and bits of a set's outline.
 BLOCK = 2048
+OUTLINE = 4096
 
 _SIGNED = ", ".join(["doc_id long, n_shingles long, d1 long, d2 long", *(f"s{i} long" for i in range(PACKED)), "bands array<long>"])
 
@@ -121,11 +123,12 @@ def _confirmed(batches: Iterator[pa.RecordBatch], n: int, percent: int) -> Itera
 
 
 def _near(pairs: DataFrame, reps: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs (u, v) whose signatures come near the threshold and whose full sets reach it."""
-    held = ["doc_id", *(f"s{i}" for i in range(PACKED))]
+    """Pairs (u, v) whose sizes and signatures allow the threshold and whose sets reach it."""
+    held = ["doc_id", "n_shingles", *(f"s{i}" for i in range(PACKED))]
     x, y = reps.select(held).alias("x"), reps.select(held).alias("y")
     close = materialize(
         pairs.alias("p").join(x, F.col("p.u") == F.col("x.doc_id")).join(y, F.col("p.v") == F.col("y.doc_id"))
+        .where(100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles", "y.n_shingles"))
         .where(similarity_estimate("x", "y") >= percent / 100 - MARGIN).select("p.u", "p.v"), "close")
     ids = close.select(F.col("u").alias("doc_id")).unionByName(close.select(F.col("v").alias("doc_id"))).distinct()
     mine = materialize(texts.join(materialize(ids, "ids"), "doc_id", "left_semi"), "texts")
@@ -137,10 +140,31 @@ def _near(pairs: DataFrame, reps: DataFrame, texts: DataFrame, words: int, perce
     return materialize(joined.mapInArrow(functools.partial(_confirmed, n=words, percent=percent), "u long, v long"), "near")
 
 
-def _across(frame: pd.DataFrame, floor: float) -> pd.DataFrame:
-    """Pairs of one block of a bucket that lie in different components and may be near."""
+def _outlined(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """A bitmap of each set. Bits that only one of two bitmaps has are shingles that only
+    its set has, which bounds the similarity from above."""
+    for batch in batches:
+        digests, bits = [], []
+        for text in batch.column(1):
+            shingles = shingle_set(text.as_py(), n)
+            digests.append(int(np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), np.int64)[0]))
+            flags = np.zeros(OUTLINE, bool)
+            flags[(shingles & np.uint64(OUTLINE - 1)).astype(np.int64)] = True
+            bits.append(np.packbits(flags).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.int64()), pa.array(bits, pa.binary())], names=["doc_id", "d1", "outline"])
+
+
+def _across(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Pairs of one block of a bucket that lie in different components and may be near.
+
+    A pair is given by the first of the buckets it shares.
+    """
     frame = frame.sort_values("doc_id")
-    ids, roots, side = (frame[c].to_numpy() for c in ("doc_id", "root", "side"))
+    floor = percent / 100 - MARGIN
+    ids, roots, side, sizes = (frame[c].to_numpy() for c in ("doc_id", "root", "side", "n_shingles"))
+    bands = np.stack(frame["bands"].to_numpy())
+    outlines = np.stack([np.frombuffer(o, np.uint64) for o in frame["outline"]])
+    here = int(np.flatnonzero(bands[0] == frame["band"].iloc[0])[0])
     packed = frame[[f"s{i}" for i in range(PACKED)]].to_numpy().view(np.uint64)
     i, j = (int(frame[c].iloc[0]) for c in ("i", "j"))
     rows, columns = np.flatnonzero(side == i), np.flatnonzero(side == j)
@@ -151,6 +175,13 @@ def _across(frame: pd.DataFrame, floor: float) -> pd.DataFrame:
         differ = (differ | (differ >> np.uint64(1))) & np.uint64(0x5555555555555555)
         same = MINIMA - np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
         hit = columns[(same >= least) & (roots[columns] != roots[row]) & ((i != j) | (columns > row))]
+        low, high = np.minimum(sizes[hit], sizes[row]), np.maximum(sizes[hit], sizes[row])
+        hit = hit[100 * low >= percent * high]
+        hit = hit[(bands[hit, : here + 1] == bands[row, : here + 1]).argmax(axis=1) == here]
+        mine = np.bitwise_count(outlines[row] & ~outlines[hit]).sum(axis=1, dtype=np.int64)
+        theirs = np.bitwise_count(outlines[hit] & ~outlines[row]).sum(axis=1, dtype=np.int64)
+        common = np.minimum(sizes[row] - mine, sizes[hit] - theirs)
+        hit = hit[100 * common >= percent * (sizes[hit] + sizes[row] - common)]
         found.append(np.stack([np.full(len(hit), ids[row]), ids[hit]]))
     pairs = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
     return pd.DataFrame({"u": pairs[0], "v": pairs[1]})
@@ -162,11 +193,11 @@ def near_duplicates(
     """(doc_id, n_shingles, component_id, kept): documents grouped by similar shingle sets.
 
     Texts with equal sets form one class, found by a set digest. Classes that agree in all
-    full minima of one of the bands meet in a bucket; every member is tested with the least
-    member of its bucket. Components of the confirmed links then tell which buckets still
-    hold different components, and only there all members are compared, by bit counts over
-    the packed low bits, in blocks. Whatever passes the collision-corrected estimate is
-    confirmed on full sets. A link of similarity 0.8 shares no band with a chance of 5e-8.
+    full minima of one of the bands meet in a bucket; every member is tested with the
+    member of its bucket that shares the most buckets with others. Components of the confirmed links then tell which buckets still
+    hold different components, and only there all members are compared, in blocks: by bit
+    counts over the packed low bits, corrected for collisions, and by bitmaps of the sets,
+    which bound the similarity. What passes is confirmed on full sets. A link of similarity 0.8 shares no band with a chance of 5e-8.
 
     A document without words has an empty set and is linked with nothing. A document
     without an id can't be named: its component is null and it is kept. Rows with the same
@@ -181,9 +212,12 @@ def near_duplicates(
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("binary").alias("text"))
 
     banded = reps.select("doc_id", F.explode("bands").alias("band"))
-    buckets = materialize(
-        banded.groupBy("band").agg(F.min("doc_id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
-    members = materialize(banded.join(buckets, "band"), "members")
+    buckets = materialize(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
+    met = materialize(banded.join(buckets, "band"), "met")
+    # What many others were made from meets them in the most bands: it leads.
+    often = materialize(met.groupBy("doc_id").agg(F.sum("n").alias("often")), "often")
+    led = met.join(often, "doc_id").groupBy("band").agg(F.max(F.struct("often", "doc_id")).alias("leader"))
+    members = materialize(met.join(materialize(led.select("band", "leader.doc_id").withColumnRenamed("doc_id", "leader"), "leaders"), "band"), "members")
     first = members.where("doc_id <> leader").select(F.col("leader").alias("u"), F.col("doc_id").alias("v")).distinct()
     links = _near(first, reps, texts, words, percent)
     roots = materialize(components(links), "roots")
@@ -196,15 +230,20 @@ def near_duplicates(
     mixed = materialize(
         rest.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("m"))
         .where("lo <> hi").select("band", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "mixed")
+    open_rows = materialize(rest.join(mixed, "band"), "open")
+    open_ids = materialize(open_rows.select("doc_id").distinct(), "ids")
+    outlines = materialize(texts.join(open_ids, "doc_id", "left_semi").mapInArrow(
+        functools.partial(_outlined, n=words), "doc_id long, d1 long, outline binary").dropDuplicates(["doc_id", "d1"]), "outlines")
+    held = reps.select("doc_id", "d1", "n_shingles", "bands", *(f"s{i}" for i in range(PACKED))).join(outlines, ["doc_id", "d1"]).drop("d1")
     placed = (
-        rest.join(mixed, "band").join(reps.select("doc_id", *(f"s{i}" for i in range(PACKED))), "doc_id")
+        open_rows.join(held, "doc_id")
         .withColumn("side", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("i", F.least("side", "other")).withColumn("j", F.greatest("side", "other"))
-        .drop("bands", "blocks", "other")
+        .drop("blocks", "other")
     )
     across = placed.groupBy("band", "i", "j").applyInPandas(
-        lambda frame: _across(frame, percent / 100 - MARGIN), "u long, v long").distinct()
+        lambda frame: _across(frame, percent), "u long, v long").distinct()
     more = _near(across, reps, texts, words, percent)
 
     # Every document takes the component of its class; classes that share an id are linked.
