@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from quillon.functions.keys import result_file_name
+from quillon.functions.keys import request_file_name, result_file_name
+from quillon.sources.results import WRITTEN_NAME, unescaped
 
 
 def _all_done(state: DataFrame, key: str, done) -> DataFrame:
@@ -32,6 +33,25 @@ def eligible_results(batches: DataFrame, state: DataFrame) -> DataFrame:
     return succeeded.join(done, "batch_id")
 
 
+def artifact_files(files: DataFrame) -> DataFrame:
+    """(file_name, length) per artifact of a listing (path, file_name, length).
+
+    A folder ``shard_id=N`` is the request file of shard N, a folder ``results=X`` the
+    result file X (escaped once); the sizes of its parts are added. Other files, and listings
+    without paths, stand for themselves.
+    """
+    if "path" not in files.columns:
+        return files
+    path = F.col("path")
+    shard = F.regexp_extract(path, r"/shard_id=(\d+)/[^/]+$", 1)
+    written = F.regexp_extract(path, WRITTEN_NAME, 1)
+    name = (
+        F.when(shard != "", request_file_name(F.when(shard != "", shard).cast("long")))
+        .when(written != "", unescaped(written)).otherwise(F.col("file_name"))
+    )
+    return files.select(name.alias("file_name"), "length").groupBy("file_name").agg(F.sum("length").alias("length"))
+
+
 def present_files(eligible: DataFrame, files: DataFrame, name: str) -> DataFrame:
     """Eligible files that exist, with their size (``files``: file_name, length)."""
     listing = files.select(F.col("file_name").alias(name), "length")

@@ -9,8 +9,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from quillon.session import spread
-
 Embedder = Callable[[Sequence[str]], np.ndarray]
 MAX_CACHED_WORDS = 1_000_000
 
@@ -48,9 +46,12 @@ def hashed_words(dim: int) -> Embedder:
 def embed_texts(
     df: DataFrame, make_embedder: Callable[[], Embedder], dim: int,
     id_column: str = "record_id", text_column: str = "text", batch_rows: int = 256,
+    partitions: int | None = None,
 ) -> DataFrame:
     """(id, vector): every text embedded whole.
 
+    ``partitions`` spreads the texts anew, for tables that come in too few files.
+
     ``make_embedder`` runs once per task, so a model is loaded where it is used. Null
     texts embed as empty ones.
     """
@@ -70,7 +71,9 @@ def embed_texts(
                 )
 
     schema = T.StructType([id_field, T.StructField("vector", T.ArrayType(T.FloatType()))])
-    texts = spread(df.select(id_column, text_column), id_column)
+    texts = df.select(id_column, text_column)
+    if partitions:
+        texts = texts.repartition(partitions, id_column)
     return texts.mapInArrow(run, schema)
 
 

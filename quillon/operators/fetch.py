@@ -9,9 +9,10 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quillon.config import Limits
+from quillon.functions.requests import picture_type
 from quillon.functions.states import GONE_CODES, TRANSIENT_ERRORS, fetch_status
 from quillon.session import materialize
 
@@ -89,22 +90,35 @@ def fetch_urls(
     return materialize(distinct.mapInArrow(run, FETCH_SCHEMA), "fetched")
 
 
+def fetched_ok() -> Column:
+    """Whether a fetched row holds a picture."""
+    status = fetch_status(F.col("status_code"), F.col("error_kind"))
+    return (status == "ok") & picture_type(F.col("content")).isNotNull()
+
+
 def fetch_outcomes(
     records: DataFrame, fetched: DataFrame, url_column: str = "image_url"
 ) -> DataFrame:
     """(record_id, image_status, image_sha, attempts) of every record.
 
-    The outcomes are unique by URL; a URL shared by many records skews only the record
+    An answer that is no picture is a failure; so is a record without a URL, after no
+    attempt. The outcomes are unique by URL; a URL shared by many records skews only the record
     side, which adaptive execution can split.
     """
-    status = fetch_status(F.col("status_code"), F.col("error_kind"))
+    status = F.when(fetched_ok(), "ok").when(
+        F.col("status_code") == 200, "failed_other"
+    ).otherwise(fetch_status(F.col("status_code"), F.col("error_kind")))
     outcome = fetched.select(
         F.col("url").alias(url_column),
         status.alias("image_status"),
         F.when(status == "ok", F.col("sha")).alias("image_sha"),
         "attempts",
     )
-    return records.select("record_id", url_column).join(outcome, url_column).drop(url_column)
+    asked = records.select("record_id", url_column).join(outcome, url_column, "left")
+    return asked.select(
+        "record_id", F.coalesce("image_status", F.lit("failed_other")).alias("image_status"), "image_sha",
+        F.coalesce("attempts", F.lit(0)).alias("attempts"),
+    )
 
 
 def outcome_counts(outcomes: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import struct
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -12,6 +14,8 @@ from quillon.functions.keys import content_hash
 from quillon.operators.state import as_events
 from quillon.sources.epochs import read_or_empty
 
+# PNG's colour types by number of channels.
+PNG_COLOURS = {1: 0, 3: 2, 4: 6}
 PIXEL_SCHEMA = "height int, width int, n_channels int, pixels binary"
 LANCZOS_SUPPORT = 3.0
 
@@ -69,9 +73,27 @@ def shrink_pixels(pixels: np.ndarray, max_side: int) -> np.ndarray:
     return np.clip(np.floor(reduced + 0.5), 0, 255).astype(np.uint8)
 
 
-def shrink_images(images: DataFrame, max_side: int, keep: Sequence[str]) -> DataFrame:
+def png(pixels: np.ndarray) -> bytes:
+    """An encoded picture of height x width x channels bytes (channels as Spark decodes
+    them: blue, green, red, opacity)."""
+    height, width, channels = pixels.shape
+    if channels > 2:
+        pixels = pixels[:, :, [2, 1, 0, 3][:channels]]
+    rows = np.concatenate([np.zeros((height, 1), np.uint8), pixels.reshape(height, -1)], axis=1)
+
+    def chunk(kind: bytes, data: bytes) -> bytes:
+        return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+
+    head = struct.pack(">IIBBBBB", width, height, 8, PNG_COLOURS[channels], 0, 0, 0)
+    body = chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(rows.tobytes())) + chunk(b"IEND", b"")
+    return b"\x89PNG\r\n\x1a\n" + body
+
+
+def shrink_images(images: DataFrame, max_side: int, keep: Sequence[str], encode: bool = False) -> DataFrame:
     """``keep`` columns, then height, width, n_channels, pixels and sha of shrunk images.
 
+    With ``encode``, pixels hold a PNG instead.
+
     ``images`` has the columns of Spark's image source (height, width, nChannels, data).
     Images that could not be decoded (no data) get null pixels.
     """
@@ -88,7 +110,7 @@ def shrink_images(images: DataFrame, max_side: int, keep: Sequence[str]) -> Data
                     continue
                 small = shrink_pixels(np.frombuffer(d, np.uint8).reshape(h, w, c), max_side)
                 shapes.append(small.shape)
-                contents.append(small.tobytes())
+                contents.append(png(small) if encode else small.tobytes())
             sizes = [pa.array([s[i] for s in shapes], pa.int32()) for i in range(3)]
             yield pa.RecordBatch.from_arrays(
                 [*carried, *sizes, pa.array(contents, pa.binary())],
@@ -101,13 +123,13 @@ def shrink_images(images: DataFrame, max_side: int, keep: Sequence[str]) -> Data
 
 
 def shrink_column(df: DataFrame, column: str, max_side: int) -> DataFrame:
-    """Replace a column of decoded pictures by shrunk pixels (binary), in place.
+    """Replace a column of decoded pictures by shrunk ones (PNG), in place.
 
     Pictures that could not be decoded become empty; absent ones stay null.
     """
     others = [c for c in df.columns if c != column]
     flat = df.select(*others, F.col(column).isNotNull().alias("_had"), f"`{column}`.*")
-    shrunk = shrink_images(flat, max_side, [*others, "_had"])
+    shrunk = shrink_images(flat, max_side, [*others, "_had"], encode=True)
     pixels = F.when(F.col("_had"), F.coalesce("pixels", F.lit(b""))).alias(column)
     return shrunk.select(*[pixels if c == column else F.col(f"`{c}`") for c in df.columns])
 

@@ -149,6 +149,9 @@ def typed_payload(
             raise SpecError(
                 f"Unknown index type {kind!r} for field {name!r}. Supported: {list(INDEX_TYPES)}"
             )
+    taken = [name for name in indexes if name in points.columns]
+    if taken:
+        raise SpecError(f"indexed fields named like columns of the points: {taken}")
     if not indexes:
         return points
     schema = ", ".join(f"`{name}` string" for name in indexes)

@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from quillon.operators.contract import is_image_struct
 
-# Column names taken as ids, and the rows an id test looks at.
+# Column names taken as ids.
 ID_NAMES = ("id", "_id", "uuid", "key")
-ID_TEST_ROWS = 100
 
 # Distinct counts: sketch size (2^14 registers, under one per cent error) and native types.
 SKETCH_LG_K = 14
@@ -54,11 +53,10 @@ def id_candidates(df: DataFrame) -> list[str]:
     ]
 
 
-def sample_is_unique(df: DataFrame, columns: list[str], rows: int = ID_TEST_ROWS) -> DataFrame:
-    """One row saying, per column, whether its first ``rows`` values are all different."""
-    sample = df.select(*columns).limit(rows)
+def ids_are_unique(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row saying, per column, whether no value and no null repeats in the whole table."""
     text = [F.coalesce(F.col(c), F.lit("None")) for c in columns]
-    return sample.agg(
+    return df.agg(
         *[(F.count_distinct(t) == F.count(F.lit(1))).alias(c) for t, c in zip(text, columns)]
     )
 
@@ -67,7 +65,8 @@ def profile(df: DataFrame, distinct: bool = True) -> DataFrame:
     """One row per column: position, name, type, note, rows, nulls and distinct estimate.
 
     The whole table is read once; every count is combined map-side and distinct counts are
-    HyperLogLog sketches, so nothing is shuffled but one row per task.
+    HyperLogLog sketches, so nothing is shuffled but one row per task. Only columns named
+    like an id are counted exactly, by a shuffle of their values.
     """
     fields = df.schema.fields
     aggregates = [F.count(F.lit(1)).alias("n_rows")]
@@ -83,7 +82,7 @@ def profile(df: DataFrame, distinct: bool = True) -> DataFrame:
 
     candidates = id_candidates(df)
     if candidates:
-        flags = sample_is_unique(df, candidates).select(
+        flags = ids_are_unique(df, candidates).select(
             *[F.col(c).alias(f"unique_{c}") for c in candidates]
         )
         # Two single-row results side by side.

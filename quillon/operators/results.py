@@ -82,8 +82,9 @@ def collect_vectors(
     """Vectors to append: batch_id, record_id, point_id, vector (float), known.
 
     Within a batch the last line of a key wins. ``collected`` rows (batch_id, record_id)
-    are left out, so a rerun adds nothing. Keys no record has get an empty point_id. Both
-    joins meet keys that are unique per batch, and point ids are computed, not fetched.
+    are left out, so a rerun adds nothing. Keys no record has get an empty point_id. Vectors
+    are shuffled once, by (batch, record): which keys are known is looked up with keys alone.
+    Point ids are computed, not fetched.
     """
     ok = usable_results(parsed).withColumnRenamed("key", "record_id")
     latest = last_write_wins(ok, ["batch_id", "record_id"], list(POSITION))
@@ -91,8 +92,9 @@ def collect_vectors(
         latest = latest.join(
             collected.select("batch_id", "record_id"), ["batch_id", "record_id"], "left_anti"
         )
-    known = records.select("record_id", F.lit(True).alias("_known"))
-    joined = latest.join(known, "record_id", "left")
+    keys = ok.select("batch_id", "record_id").distinct()
+    known = keys.join(records.select("record_id"), "record_id", "left_semi").withColumn("_known", F.lit(True))
+    joined = latest.join(known, ["batch_id", "record_id"], "left")
     is_known = F.coalesce("_known", F.lit(False))
     return joined.select(
         "batch_id",

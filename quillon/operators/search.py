@@ -13,13 +13,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from quillon.session import materialize
+from quillon.session import fresh_path, materialize
 
 SCORE_DIGITS = 9
 MAX_BROADCAST_BYTES = 128 << 20
-MAX_BROADCAST_IDS = 1_000_000
 BLOCK_QUERIES = 4096
 SCORE_CELLS = 4 << 20
 
@@ -59,8 +58,16 @@ def small_queries(
         queries.select(id_column, vector_column).where(F.size(vector_column) == dim)
         .limit(most + 1).toArrow()
     )
-    if rows.num_rows > most:
-        return None
+    return None if rows.num_rows > most else _query_set(rows, queries, id_column, vector_column, dim)
+
+
+def _fetched(queries: DataFrame, id_column: str, vector_column: str, dim: int) -> QuerySet:
+    """One block of queries."""
+    rows = queries.where(F.size(vector_column) == dim).toArrow()
+    return _query_set(rows, queries, id_column, vector_column, dim)
+
+
+def _query_set(rows: pa.Table, queries: DataFrame, id_column: str, vector_column: str, dim: int) -> QuerySet:
     rows = rows.sort_by(id_column)
     vectors = list_matrix(rows[vector_column].combine_chunks(), dim)
     id_type = queries.schema[id_column].dataType.simpleString()
@@ -162,54 +169,27 @@ def _broadcast_top_k(
     return _ranked(fitting.mapInArrow(body, ddl), k)
 
 
-def _blocks(n: int) -> Column:
-    """All block numbers, typed as the hash that picks a block."""
-    return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
-
-
 def blocked_top_k(
-    corpus: DataFrame, id_column: str, vector_column: str, dim: int,
-    queries: DataFrame, query_id: str, query_vector: str, k: int,
-    query_blocks: int, corpus_blocks: int,
+    corpus: DataFrame, queries: DataFrame, *, dim: int, k: int, block_queries: int = BLOCK_QUERIES,
+    id_column: str = "record_id", vector_column: str = "vector",
+    query_id: str = "query_id", query_vector: str = "vector",
 ) -> DataFrame:
     """The same search for any number of queries.
 
-    Queries and vectors are hashed into blocks, and each pair of blocks meets in one task
-    that emits ``k`` rows per query. Block counts bound what a task holds; the ids are
-    unique, so no block is hot.
+    Queries are hashed into blocks of about ``block_queries``, and the corpus, which stays
+    where it is, is scanned once per block. A block's hits are written before the next one
+    starts, so the driver holds one block at a time.
     """
-    id_type = corpus.schema[id_column].dataType.simpleString()
-    query_type = queries.schema[query_id].dataType.simpleString()
-    ddl, out_schema = _search_schema(query_type, id_type)
-    left = queries.where(F.size(query_vector) == dim).select(
-        F.pmod(F.xxhash64(query_id), F.lit(query_blocks)).alias("qb"),
-        F.explode(_blocks(corpus_blocks)).alias("cb"),
-        F.col(query_id).alias("id"),
-        F.col(query_vector).alias("vector"),
-    )
-    right = corpus.where(F.size(vector_column) == dim).select(
-        F.explode(_blocks(query_blocks)).alias("qb"),
-        F.pmod(F.xxhash64(id_column), F.lit(corpus_blocks)).alias("cb"),
-        F.col(id_column).alias("id"),
-        F.col(vector_column).alias("vector"),
-    )
-
-    def meet(asked: pa.Table, stored: pa.Table) -> pa.Table:
-        if not asked.num_rows or not stored.num_rows:
-            return out_schema.empty_table()
-        units = unit_rows(list_matrix(asked["vector"].combine_chunks(), dim))
-        best = _Best(asked.num_rows, k)
-        for whole in stored.to_batches():
-            for batch in _batches(whole, asked.num_rows):
-                vectors = list_matrix(batch.column("vector"), dim)
-                best.add(_cosine(units, vectors), _id_array(batch.column("id")))
-        where, ids, scores = best.rows()
-        names = asked["id"].to_pylist()
-        columns = [[names[q] for q in where], ids, scores]
-        return pa.table([pa.array(c, t) for c, t in zip(columns, out_schema.types)], schema=out_schema)
-
-    cells = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb"))
-    return _ranked(cells.applyInArrow(meet, ddl), k)
+    spark = corpus.sparkSession
+    asked = materialize(queries.select(query_id, query_vector), "queries")
+    blocks = max(1, -(-asked.count() // block_queries))
+    path = fresh_path(spark, "hits")
+    for block in range(blocks):
+        part = asked.where(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == block)
+        held = _fetched(part, query_id, query_vector, dim)
+        found = _broadcast_top_k(corpus, id_column, vector_column, dim, held, k)
+        found.write.mode("overwrite").parquet(f"{path}/block={block}")
+    return spark.read.schema(found.schema).parquet(path).select("query_id", "id", "score", "rank")
 
 
 def cosine_top_k(
@@ -226,13 +206,9 @@ def cosine_top_k(
     small = small_queries(queries, query_id, query_vector, dim, max_bytes)
     if small is not None:
         return _broadcast_top_k(corpus, id_column, vector_column, dim, small, k)
-    vector_bytes = 8 * dim
-    query_blocks = max(1, -(-queries.count() // BLOCK_QUERIES))
-    per_task = max(1, MAX_BROADCAST_BYTES // vector_bytes)
-    corpus_blocks = max(1, -(-corpus.count() // per_task))
     return blocked_top_k(
-        corpus, id_column, vector_column, dim, queries, query_id, query_vector, k,
-        query_blocks, corpus_blocks,
+        corpus, queries, dim=dim, k=k, block_queries=max(1, min(BLOCK_QUERIES, max_bytes // (8 * dim))),
+        id_column=id_column, vector_column=vector_column, query_id=query_id, query_vector=query_vector,
     )
 
 
@@ -286,59 +262,22 @@ def hamming_top_k(
     return found.select("query_id", "id", (-F.col("score")).cast("int").alias("distance"), "rank")
 
 
-def _possible_ids(
-    corpus: DataFrame, queries: QuerySet, floors: np.ndarray, dim: int,
-    id_column: str, sketch_column: str,
-) -> DataFrame:
-    """Ids whose sketch allows a score of at least the floor for some query.
-
-    A unit vector can reach at most the length of the query's part on which both signs
-    agree (components at zero count as negative, so they agree with either sign there).
-    """
-    id_type = corpus.schema[id_column].dataType.simpleString()
-    out_schema = pa.schema([("id", _arrow_type(id_type))])
-    units = queries.units
-    width = -(-dim // 64) * 64
-    positive = np.pad(np.where(units > 0, units**2, 0.0), ((0, 0), (0, width - dim)))
-    negative = np.pad(np.where(units < 0, units**2, 0.0), ((0, 0), (0, width - dim)))
-    # Slack for the rounding of scores and of these sums.
-    reach = np.maximum(floors - 1e-6, 0.0) ** 2
-    always = floors <= 0
-
-    def run(batches):
-        for whole in batches:
-            for batch in _batches(whole, max(len(queries.ids), width)):
-                bits = np.unpackbits(
-                    _sketch_bytes(batch.column(1), dim), axis=1, bitorder="little"
-                ).astype(np.float64)
-                bound = positive @ bits.T + negative @ (1.0 - bits).T
-                hit = ((bound >= reach[:, None] - 1e-9) | always[:, None]).any(axis=0)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).filter(pa.array(hit))], schema=out_schema
-                )
-
-    return corpus.select(id_column, sketch_column).mapInArrow(run, f"id {id_type}")
-
-
 def two_stage_top_k(
     corpus: DataFrame, queries: DataFrame, *, dim: int, k: int = 5, oversampling: int = 4,
     id_column: str = "record_id", vector_column: str = "vector", sketch_column: str = "sketch",
     query_id: str = "query_id", query_vector: str = "vector",
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Cosine search through sign sketches, with the exact result.
+    """Cosine search through sign sketches: a shortlist, rescored exactly.
 
-    1. Sketches give each query a shortlist of ``k * oversampling`` ids.
-    2. Rescoring the shortlist gives a floor: the k-th best score so far.
-    3. Sketches again tell which ids could still reach the floor of any query.
-    4. Only those vectors are scored.
-
-    Ids travel to the vectors, never the other way: where they are too many to broadcast
-    (unclustered data, or query sets above ``max_bytes``) the plain exact search runs.
+    Sketches, a 32nd of the vectors' bytes, give each query a shortlist of ``k *
+    oversampling`` ids; the vectors of all shortlists are scored. What no shortlist holds is
+    not found: recall grows with ``oversampling``. The ids that travel to the vectors are
+    bounded by the queries, which fit ``max_bytes``; larger query sets are searched plainly.
     """
     exact = dict(id_column=id_column, vector_column=vector_column)
     small = small_queries(queries, query_id, query_vector, dim, max_bytes)
-    if small is None or len(small.ids) * k * oversampling > MAX_BROADCAST_IDS:
+    if small is None:
         return cosine_top_k(
             corpus, queries, dim=dim, k=k, query_id=query_id, query_vector=query_vector,
             max_bytes=max_bytes, **exact,
@@ -347,18 +286,5 @@ def two_stage_top_k(
         corpus, small, dim=dim, k=k * oversampling, id_column=id_column, sketch_column=sketch_column
     )
     near = shortlist.select(F.col("id").alias(id_column)).distinct()
-    rescored = _broadcast_top_k(
-        corpus.join(F.broadcast(near), id_column, "left_semi"), dim=dim, queries=small, k=k, **exact
-    )
-    # One number per query, and the queries themselves are already on the driver.
-    reached = dict(
-        rescored.where(F.col("rank") == k).select("query_id", "score").toPandas().itertuples(index=False)
-    )
-    floors = np.array([reached.get(q, -1.0) for q in small.ids])
-    possible = materialize(
-        _possible_ids(corpus, small, floors, dim, id_column, sketch_column), "possible"
-    ).withColumnRenamed("id", id_column)
-    candidates = corpus
-    if possible.count() <= MAX_BROADCAST_IDS:
-        candidates = corpus.join(F.broadcast(possible), id_column, "left_semi")
+    candidates = corpus.join(F.broadcast(near), id_column, "left_semi")
     return _broadcast_top_k(candidates, dim=dim, queries=small, k=k, **exact)

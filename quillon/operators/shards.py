@@ -64,10 +64,12 @@ def request_lines(
     """
     joined = assignment.join(records, "record_id")
     if blobs is not None:
-        joined = joined.join(
+        # Records without a picture would all meet under the null key.
+        bare = joined.where("image_sha IS NULL").withColumn("image", F.lit(None).cast("binary"))
+        joined = joined.where("image_sha IS NOT NULL").join(
             blobs.select(F.col("sha").alias("image_sha"), F.col("content").alias("image")),
             "image_sha", "left",
-        )
+        ).unionByName(bare)
     elif "image" not in records.columns:
         joined = joined.withColumn("image", F.lit(None).cast("binary"))
     parts = content_parts(spec, F.col("text"), F.col("image"))

@@ -47,13 +47,22 @@ def spot_check(
 def self_search_check(
     points: DataFrame, dim: int, n: int = SELF_SAMPLE, seed: int = 42, id_column: str = "record_id"
 ) -> DataFrame:
-    """Whether sampled vectors find themselves first."""
+    """Whether sampled vectors find themselves first; those that can't be searched miss."""
     sample = seeded_sample(points.select(id_column, "vector"), id_column, n, seed).select(
         F.col(id_column).alias("query_id"), "vector"
     )
     found = self_search(cosine_top_k(points, sample, dim=dim, k=1, id_column=id_column))
-    return found.agg(F.count_if("ok").alias("ok"), F.count(F.lit(1)).alias("n")).select(
-        *_check("self_search", F.col("ok") == F.col("n"), "WARN")
+    asked = sample.select("query_id").join(found.select("query_id", "ok"), "query_id", "left")
+    return asked.agg(F.count_if(F.coalesce("ok", F.lit(False))).alias("ok"), F.count(F.lit(1)).alias("n")).select(
+        *_check("self_search", (F.col("ok") == F.col("n")) & (F.col("n") > 0), "WARN")
+    )
+
+
+def size_check(points: DataFrame, dim: int, vector: str = "vector") -> DataFrame:
+    """Vectors of the right size against all: others take no part in a search."""
+    right = F.coalesce(F.size(vector) == dim, F.lit(False))
+    return points.agg(F.count_if(right).alias("ok"), F.count(F.lit(1)).alias("n")).select(
+        *_check("vector_size", F.col("ok") == F.col("n"), "FAIL")
     )
 
 

@@ -27,7 +27,7 @@ from quillon.operators.dedupe import insert_or_ignore
 from quillon.operators.embed import Embedder, answer_requests, embed_texts
 from quillon.operators.jobs import latest_states
 from quillon.operators.normalize import normalize, split_null_ids
-from quillon.operators.sampling import seeded_sample
+from quillon.operators.sampling import pilot, seeded_sample
 from quillon.session import materialize
 from quillon.sources.epochs import read_epochs, read_or_empty, write_epoch
 from quillon.sources.results import POSITION, attach_batches, read_result_lines, write_result_files
@@ -54,7 +54,7 @@ class Workspace:
 
     def __init__(
         self, spark: SparkSession, root: str, spec: DatasetSpec,
-        limits: Limits = Limits(), model: str = "embedder",
+        limits: Limits = Limits(), model: str = "models/embedder",
     ):
         self.spark, self.root, self.spec = spark, root.rstrip("/"), spec
         self.limits, self.model = limits, model
@@ -135,16 +135,22 @@ class Workspace:
 
     # Steps.
 
-    def ingest(self, df: DataFrame, order: list[str], row_index: str | None = None) -> DataFrame:
+    def ingest(
+        self, df: DataFrame, order: list[str], row_index: str | None = None, limit: int | None = None
+    ) -> DataFrame:
         """Add rows whose id is new; among copies of an id the first by ``order`` wins.
 
-        ``order`` names columns of ``df``. Returns one row of counts.
+        ``order`` names columns of ``df``. ``limit`` takes only the first rows by the first
+        of them, for a trial. Returns one row of counts.
         """
+        if limit is not None:
+            df = materialize(pilot(df, order[0], limit), "pilot")
         epoch = self._next_epoch()
         column = self.spec.image_column
         pictures = column in df.columns and not isinstance(df.schema[column].dataType, T.StringType)
         if pictures and is_image_struct(df.schema[column].dataType):
-            df = im.shrink_column(df, column, self.limits.image_max_side)
+            # Read several times below; every picture is shrunk once.
+            df = materialize(im.shrink_column(df, column, self.limits.image_max_side), "shrunk")
         normalized = normalize(df, self.spec, row_index, keep=order)
         usable, _ = split_null_ids(normalized)
         if pictures:
@@ -175,7 +181,7 @@ class Workspace:
             self.records().select("record_id", "image_url"), "record_id"
         )
         fetched = fe.fetch_urls(pending, make_fetcher, self.limits, sleep=sleep)
-        im.store_blobs(fetched.where("sha IS NOT NULL"), self._path("blobs"))
+        im.store_blobs(fetched.where(fe.fetched_ok()), self._path("blobs"))
         outcomes = fe.fetch_outcomes(pending, fetched)
         events = st.as_events(outcomes.withColumns({"event": F.lit("image"), "seq": F.lit(2 * epoch)}))
         self._commit("fetch", epoch, record_events=events)
@@ -322,7 +328,8 @@ class Workspace:
     def reclaimable(
         self, shard_files: DataFrame, result_files: DataFrame, image_files: DataFrame, scope: str = "all"
     ) -> DataFrame:
-        """What could be deleted, by kind of artifact."""
+        """What could be deleted, by kind of artifact, from listings of the files there are."""
         return cl.reclaimable(
-            self.batches(), self.state(), shard_files, result_files, image_files, scope
+            self.batches(), self.state(), cl.artifact_files(shard_files), cl.artifact_files(result_files),
+            image_files, scope,
         )

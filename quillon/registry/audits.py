@@ -18,6 +18,7 @@ from quillon.registry.fixtures import (
 )
 from quillon.session import fresh_path, materialize
 from quillon.sources.files import list_files
+from quillon.sources.results import write_result_files
 
 
 def _collection(spark, sf_dir):
@@ -92,8 +93,14 @@ def reclaimable_images(spark, sf_dir):
 
 
 def file_listing(spark, sf_dir):
-    """Files of the data folder (no SQL counterpart)."""
-    return list_files(spark, sf_dir, "*.parquet").select("file_name", "length")
+    """Result files written for batches with odd names, listed by artifact."""
+    folder = fresh_path(spark, "listed")
+    lines = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("jobs:é/a=b%x "), "o_orderpriority").alias("batch_id"),
+        F.col("o_orderkey").cast("string").alias("value"),
+    )
+    write_result_files(lines, folder)
+    return cl.artifact_files(list_files(spark, folder, "*.txt"))
 
 
 def status_report(spark, sf_dir):
@@ -199,6 +206,9 @@ ORACLES = {
     "verify_report": f"""
         SELECT * FROM ({_COUNT_SQL}) UNION ALL SELECT * FROM ({_SPOT_SQL})
         UNION ALL SELECT * FROM ({_SELF_SQL}) UNION ALL SELECT 'cross_modal', 'SKIP', 0, 0""",
+    "file_listing": """
+        SELECT 'jobs:é_a=b%x ' || o_orderpriority || '.jsonl' AS file_name, sum(length(o_orderkey::VARCHAR) + 1)::BIGINT AS length
+        FROM orders GROUP BY 1""",
     "cleanup_eligible_shards": _SHARDS_SQL,
     "cleanup_eligible_results": _RESULTS_SQL,
     "reclaimable": f"""

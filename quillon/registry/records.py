@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillon.config import DatasetSpec, PayloadSpec
+from quillon.functions.keys import point_id
 from quillon.operators.contract import input_contract
 from quillon.operators.normalize import normalize, split_null_ids
 from quillon.operators.numbering import global_index
@@ -154,6 +155,23 @@ def pilot_rows(spark, sf_dir):
     )
 
 
+def index_types(spark, sf_dir):
+    """Customers as points whose payload fields have every index type; some don't fit theirs."""
+    key = F.col("c_custkey").cast("string")
+    payload = F.to_json(F.struct(
+        (F.col("c_acctbal") > 0).alias("flag"),
+        F.when(F.col("c_custkey") % 3 > 0, F.date_format(
+            F.timestamp_seconds(F.col("c_custkey") + 1704067200), "yyyy-MM-dd HH:mm:ss")).otherwise("no time").alias("at"),
+        F.when(F.col("c_custkey") % 2 == 0, F.upper(point_id(key))).otherwise(key).alias("link"),
+        F.struct(F.col("c_acctbal").alias("lon"), F.col("c_nationkey").alias("lat")).alias("pos"),
+        F.col("c_name").alias("name"),
+    ))
+    points = table(spark, sf_dir, "customer").select(key.alias("point_id"), payload.alias("payload"))
+    kinds = {"flag": "bool", "at": "datetime", "link": "uuid", "pos": "geo", "name": "text"}
+    return typed_payload(points, kinds).select(
+        "point_id", "flag", "at", "link", F.col("pos.lon").alias("lon"), F.col("pos.lat").alias("lat"), "name")
+
+
 QUERIES = {
     "normalize_records": normalize_products,
     "normalize_customers": normalize_customers,
@@ -170,6 +188,7 @@ QUERIES = {
     "column_roles": column_role_rows,
     "payload_typed_filter": typed_filter,
     "payload_typed_props": typed_props,
+    "payload_index_types": index_types,
     "sample_seeded": seeded_sample_rows,
     "most_recent_jobs": most_recent_jobs,
     "pilot_rows": pilot_rows,
@@ -258,6 +277,12 @@ ORACLES = {
     "payload_typed_filter": """
         SELECT p_partkey::VARCHAR AS record_id, p_brand, p_type, p_size::BIGINT AS p_size, p_retailprice
         FROM part WHERE p_size >= 10 AND p_retailprice < 950.0""",
+    "payload_index_types": f"""
+        SELECT c_custkey::VARCHAR AS point_id, c_acctbal > 0 AS flag,
+               CASE WHEN c_custkey % 3 > 0 THEN TIMESTAMP '2024-01-01 00:00:00' + to_seconds(c_custkey) END AS at,
+               CASE WHEN c_custkey % 2 = 0 THEN {uuid_sql('c_custkey::VARCHAR')} END AS link,
+               c_acctbal AS lon, c_nationkey::DOUBLE AS lat, c_name AS name
+        FROM customer""",
     "payload_typed_props": """
         SELECT k % 10 AS bucket, count(*) AS n, sum(k)::BIGINT AS total, 0::BIGINT AS n_absent
         FROM (SELECT (props->>'$.k')::BIGINT AS k FROM events) GROUP BY 1""",

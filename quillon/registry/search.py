@@ -32,11 +32,9 @@ def cosine_topk(spark, sf_dir):
 
 
 def blocked_topk(spark, sf_dir):
-    """The same through query and corpus blocks, as used above the broadcast bound."""
-    found = se.blocked_top_k(
-        vectors(spark, sf_dir), "record_id", "vector", DIM,
-        _samples(spark, sf_dir), "query_id", "vector", 5, query_blocks=3, corpus_blocks=8,
-    )
+    """Every vector asks, in blocks, as done above the broadcast bound."""
+    every = vectors(spark, sf_dir).select(F.col("record_id").alias("query_id"), "vector")
+    found = se.blocked_top_k(vectors(spark, sf_dir), every, dim=DIM, k=5, block_queries=1000)
     return found.select(*_hits())
 
 
@@ -90,7 +88,7 @@ def truncated_topk(spark, sf_dir):
 
 
 def _embedded(df, id_column):
-    return embed_texts(df, functools.partial(hashed_words, WORDS_DIM), WORDS_DIM, id_column=id_column)
+    return embed_texts(df, functools.partial(hashed_words, WORDS_DIM), WORDS_DIM, id_column=id_column, partitions=8)
 
 
 def hash_embed(spark, sf_dir):
@@ -138,14 +136,25 @@ QUERIES = {
 _SAMPLE = "SELECT vec_id AS query_id, embedding AS qv FROM embeddings ORDER BY md5('42:' || vec_id), vec_id LIMIT 20"
 
 
-def _topk_sql(k: int, corpus: str = "embeddings", vector: str = "embedding", query: str = "qv") -> str:
+def _topk_sql(
+    k: int, corpus: str = "embeddings", vector: str = "embedding", query: str = "qv", sample: str = _SAMPLE
+) -> str:
     return f"""
         SELECT query_id, id, round(score, 4) AS score, rank FROM (
           SELECT query_id, id, score,
                  row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank
           FROM (SELECT query_id, vec_id AS id,
                        round(list_cosine_similarity(({query})::DOUBLE[], ({vector})::DOUBLE[]), 9) AS score
-                FROM ({_SAMPLE}) CROSS JOIN {corpus})) WHERE rank <= {k}"""
+                FROM ({sample}) CROSS JOIN {corpus})) WHERE rank <= {k}"""
+
+
+_HAMMING_SQL = f"""
+        SELECT query_id, id, distance, rank FROM (
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM (
+            SELECT query_id, vec_id AS id,
+                   list_sum(list_transform(range(1, 65), lambda i: ((qv[i] > 0) <> (embedding[i] > 0))::INTEGER))::INTEGER
+                   AS distance
+            FROM ({_SAMPLE}) CROSS JOIN embeddings)) WHERE rank <= 20"""
 
 
 # Runs of anything but Unicode white space.
@@ -183,7 +192,7 @@ _DOC_SAMPLE = "(SELECT * FROM documents ORDER BY md5('42:' || doc_id), doc_id LI
 
 ORACLES = {
     "cosine_topk": _topk_sql(5),
-    "blocked_topk": _topk_sql(5),
+    "blocked_topk": _topk_sql(5, sample="SELECT vec_id AS query_id, embedding AS qv FROM embeddings"),
     "self_search": f"""
         SELECT query_id, id AS top_id, score, id = query_id AND score > 0.99 AS ok FROM ({_topk_sql(1)})""",
     "self_search_check": f"""
@@ -196,14 +205,10 @@ ORACLES = {
         5, "(SELECT e.* FROM embeddings e JOIN part ON vec_id = p_partkey "
         "WHERE p_size >= 25 AND p_type IN ('PROMO', 'ECONOMY'))"
     ),
-    "hamming_topk": f"""
-        SELECT query_id, id, distance, rank FROM (
-          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM (
-            SELECT query_id, vec_id AS id,
-                   list_sum(list_transform(range(1, 65), lambda i: ((qv[i] > 0) <> (embedding[i] > 0))::INTEGER))::INTEGER
-                   AS distance
-            FROM ({_SAMPLE}) CROSS JOIN embeddings)) WHERE rank <= 20""",
-    "binary_topk": _topk_sql(5),
+    "hamming_topk": _HAMMING_SQL,
+    "binary_topk": _topk_sql(
+        5, f"(SELECT * FROM embeddings WHERE vec_id IN (SELECT id FROM ({_HAMMING_SQL})))"
+    ),
     "truncated_topk": _topk_sql(5, vector="list_slice(embedding, 1, 16)", query="list_slice(qv, 1, 16)"),
     "hash_embed": f"""
         SELECT id AS doc_id, bucket::INTEGER AS bucket, round(x::FLOAT::DOUBLE, 4) AS x

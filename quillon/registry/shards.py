@@ -42,7 +42,7 @@ def next_shard(spark, sf_dir):
 def shard_files(spark, sf_dir):
     """Request shards written as JSON lines and read back."""
     docs, assignment = _assignment(spark, sf_dir)
-    lines = sh.request_lines(docs.drop("image"), assignment, DOCUMENTS, dim=64, model="embedder")
+    lines = sh.request_lines(docs.drop("image"), assignment, DOCUMENTS, dim=64, model="models/embedder")
     path = fresh_path(spark, "shards")
     sh.write_request_shards(lines, path)
     body = F.from_json("value", "key string, request struct<content:struct<parts:array<struct<text:string>>>>")
@@ -56,7 +56,7 @@ def shard_files(spark, sf_dir):
 def request_json(spark, sf_dir):
     docs = normalize(table(spark, sf_dir, "documents"), DOCUMENTS)
     parts = content_parts(DOCUMENTS, F.col("text"), F.col("image"))
-    line = request_line(F.col("record_id"), parts, dim=64, model="embedder")
+    line = request_line(F.col("record_id"), parts, dim=64, model="models/embedder")
     parsed = F.from_json(
         line,
         "key string, request struct<model:string,task_type:string,output_dimensionality:int,"
@@ -117,7 +117,7 @@ def image_requests(spark, sf_dir):
     assignment = sh.assign_shards(records, table(spark, sf_dir, "region").select(
         F.col("r_regionkey").alias("shard_id")), LIMITS)
     lines = sh.request_lines(
-        records, assignment, spec, dim=64, model="embedder", blobs=stored_blobs(spark, path)
+        records, assignment, spec, dim=64, model="models/embedder", blobs=stored_blobs(spark, path)
     )
     parts = F.from_json(
         "line", "request struct<content:struct<parts:array<struct<text:string,inline_data:struct<data:string>>>>>"

@@ -17,15 +17,15 @@ from quillon.streaming.status import status_stream
 
 
 def stream_collect(spark, sf_dir):
-    """Result files arrive in two waves; the second run starts from the checkpoint."""
+    """Result files arrive in two waves, the first before its batches are known."""
     lines = result_lines(spark, sf_dir)
     folder, vectors, checkpoint = (fresh_path(spark, n) for n in ("arriving", "vectors", "offsets"))
     batches = lines.select("batch_id").distinct()
     collected = None
-    for wave in (F.col("label") < 5, F.col("label") >= 5):
+    for wave, known in ((F.col("label") < 5, batches.where("false")), (F.col("label") >= 5, batches)):
         write_result_files(lines.withColumn("label", F.col("batch_id").substr(9, 9).cast("int")).where(wave), folder)
         collected = collect_stream(
-            spark, folder, vectors, checkpoint, _records(spark, sf_dir), batches, DIM, files_per_trigger=3
+            spark, folder, vectors, checkpoint, _records(spark, sf_dir), known, DIM, files_per_trigger=3
         )
     return collected.select(
         "batch_id", "record_id", "point_id", "known",

@@ -34,13 +34,3 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores when they come from fewer files than there are cores.
-
-    For work that is heavy per row. Tables of many files already arrive in enough tasks
-    and are left as they are, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    files = len(df.inputFiles())
-    return df.repartition(cores, key) if 0 < files < cores else df

@@ -11,12 +11,23 @@ from quillon.functions.keys import result_file_name
 
 # Place of a line: its file, the byte offset of its split, then its number inside the split.
 POSITION = ("file_path", "file_block", "line_no")
-RESULT_NAME = r"([^/=]+\.jsonl)(?:/[^/]+)?$"
+RESULT_NAME = r"([^/]+\.jsonl)(?:/[^/]+)?$"
+WRITTEN_NAME = r"/results=([^/]+\.jsonl)/[^/]+$"
+
+
+def unescaped(text: Column) -> Column:
+    """Percent escapes undone (a plus stays one); text that holds broken ones stays as it is."""
+    return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
 
 
 def batch_file(file_path: Column) -> Column:
-    """Name under which a batch's results are stored, from the path of one of its files."""
-    return F.regexp_extract(file_path, RESULT_NAME, 1)
+    """Name under which a batch's results are stored, from the path of one of its files.
+
+    Paths are escaped as URIs; names of folders written by ``write_result_files`` once more.
+    """
+    path = unescaped(file_path)
+    written = F.regexp_extract(path, WRITTEN_NAME, 1)
+    return F.when(written != "", unescaped(written)).otherwise(F.regexp_extract(path, RESULT_NAME, 1))
 
 
 def located_lines(scan: DataFrame) -> DataFrame:
@@ -45,6 +56,13 @@ def attach_batches(lines: DataFrame, batches: DataFrame) -> DataFrame:
     return lines.join(names, "file_name")
 
 
+def unknown_lines(lines: DataFrame, batches: DataFrame) -> DataFrame:
+    """(file_path, n): lines of files that belong to none of the batches."""
+    names = batches.select(result_file_name(F.col("batch_id")).alias("file_name"))
+    left = lines.join(names, "file_name", "left_anti")
+    return left.groupBy("file_path").agg(F.count(F.lit(1)).alias("n"))
+
+
 def write_result_files(lines: DataFrame, path: str) -> None:
     """Result lines (batch_id, value) as one folder per batch, named as its result file."""
     named = lines.select("value", result_file_name(F.col("batch_id")).alias("results"))

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quillon.operators.results import collect_vectors, parse_result_lines
-from quillon.sources.epochs import earlier_epochs, read_epochs, write_epoch
+from quillon.sources.epochs import read_epochs, write_epoch
 from quillon.sources.results import attach_batches, located_lines, numbered_lines
 from quillon.streaming.sink import run_available
 
-VECTOR_SCHEMA = (
-    "batch_id string, record_id string, point_id string, vector array<float>, known boolean, "
-    "file_path string, file_block bigint, line_no bigint"
+LINE_SCHEMA = (
+    "file_name string, file_path string, file_block bigint, line_no bigint, key string, "
+    "vector array<double>, error_text string, error_class string, norm double, norm_warning boolean"
 )
 
 
@@ -21,23 +21,33 @@ def result_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000)
     return located_lines(reader.option("maxFilesPerTrigger", files_per_trigger).text(path))
 
 
-def collect_stream(
-    spark: SparkSession, results: str, vectors: str, checkpoint: str,
-    records: DataFrame, batches: DataFrame, dim: int, files_per_trigger: int = 1000,
+def parse_stream(
+    spark: SparkSession, results: str, lines: str, checkpoint: str, dim: int, files_per_trigger: int = 1000
 ) -> DataFrame:
-    """Append the vectors of result files not seen before; returns the vectors table.
+    """Append the parsed lines of result files not seen before; returns all lines so far.
 
     The source's checkpoint hands each file out once and each epoch replaces its own
-    folder, so a restart after a crash neither loses nor repeats vectors. The anti join
-    catches a batch delivered twice under another file; it reads the keys of earlier epochs
-    only, and only of the batches at hand.
+    folder, so a restart after a crash neither loses nor repeats lines. An epoch reads
+    nothing that was stored before.
     """
 
-    def each(lines: DataFrame, epoch: int) -> None:
-        session = lines.sparkSession
-        parsed = parse_result_lines(attach_batches(numbered_lines(lines), batches), dim)
-        before = earlier_epochs(read_epochs(session, vectors, VECTOR_SCHEMA), epoch)
-        write_epoch(collect_vectors(parsed, records, before), vectors, epoch)
+    def each(arrived: DataFrame, epoch: int) -> None:
+        parsed = parse_result_lines(numbered_lines(arrived), dim)
+        columns = [part.split()[0] for part in LINE_SCHEMA.split(", ")]
+        write_epoch(parsed.select(*columns), lines, epoch)
 
     run_available(result_stream(spark, results, files_per_trigger), each, checkpoint)
-    return read_epochs(spark, vectors, VECTOR_SCHEMA)
+    return read_epochs(spark, lines, LINE_SCHEMA)
+
+
+def collect_stream(
+    spark: SparkSession, results: str, lines: str, checkpoint: str,
+    records: DataFrame, batches: DataFrame, dim: int, files_per_trigger: int = 1000,
+) -> DataFrame:
+    """Take in new result files; returns the vectors of all lines so far.
+
+    Lines meet their batches when they are read, not when they arrive: a batch that becomes
+    known later, or is delivered twice, gives what one collection of all files gives.
+    """
+    stored = parse_stream(spark, results, lines, checkpoint, dim, files_per_trigger)
+    return collect_vectors(attach_batches(stored, batches), records)

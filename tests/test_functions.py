@@ -114,7 +114,7 @@ def test_requests(spark, modality, text, image):
     df = spark.createDataFrame([("k", text, image)], "id string, text string, image binary")
     parts = content_parts(spec, F.col("text"), F.col("image"))
     row = df.select(
-        request_line(F.col("id"), parts, dim=8, model="m").alias("line"),
+        request_line(F.col("id"), parts, dim=8, model="models/m").alias("line"),
         has_content(spec, F.col("text"), F.col("image").isNotNull()).alias("has"),
     ).first()
     expected = []

@@ -1,3 +1,4 @@
+import base64
 import functools
 import hashlib
 import json
@@ -13,14 +14,18 @@ from pyspark.sql import functions as F
 from quillon.config import DatasetSpec, Limits, PayloadSpec
 from quillon.operators import fetch as fe
 from quillon.operators import images as im
+from quillon.operators.cleanup import artifact_files
 from quillon.operators.embed import hashed_words
 from quillon.plans.workspace import Workspace
 from quillon.sources.files import list_files, read_blobs, read_images
+from quillon.sources.results import attach_batches, read_result_lines, unknown_lines, write_result_files
+from quillon.sources.tables import read_table
 from quillon.streaming.collect import collect_stream
 from quillon.streaming.ingest import ingest_stream
 from quillon.streaming.status import status_stream
 
 DIM = 32
+PNG = b"\x89PNG\r\n\x1a\n"
 # Test helpers run inside Python workers, which cannot import this module.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -44,28 +49,32 @@ def scripted_fetcher():
             return fe.Response(503)
         if kind == "broken":
             return fe.Response(200, error_kind="other")
-        return fe.Response(200, content=url.encode())
+        if kind == "page":
+            return fe.Response(200, content=b"<html>not a picture</html>")
+        return fe.Response(200, content=PNG + url.encode())
 
     return fetch
 
 
 def test_fetch(spark):
     urls = ["http://x/fine", "http://x/404", "http://x/410", "http://x/400", "http://x/timeout",
-            "http://x/flaky", "http://x/broken", ""]
+            "http://x/flaky", "http://x/broken", "", "http://x/page"]
     records = spark.createDataFrame(
         [(f"{u}#{i}", u) for u in urls for i in range(3)], "record_id string, image_url string")
     fetched = fe.fetch_urls(records, scripted_fetcher, Limits(), sleep=no_wait)
     assert fetched.count() == len(urls)
     got = {r.record_id: (r.image_status, r.attempts, r.image_sha) for r in fe.fetch_outcomes(records, fetched).collect()}
     assert len(got) == 3 * len(urls)
-    sha = hashlib.sha256(b"http://x/fine").hexdigest()
+    sha = hashlib.sha256(PNG + b"http://x/fine").hexdigest()
     assert got["http://x/fine#0"] == got["http://x/fine#2"] == ("ok", 1, sha)
     assert got["http://x/404#1"][:2] == ("failed_404", 1) and got["http://x/410#1"][:2] == ("failed_404", 1)
     assert got["http://x/400#0"][:2] == ("failed_other", 5) and got["http://x/timeout#0"][:2] == ("failed_other", 5)
     assert got["http://x/flaky#0"][:2] == ("ok", 3) and got["http://x/broken#0"][:2] == ("failed_other", 1)
-    assert got["#0"][:2] == ("failed_other", 1)
+    assert got["#0"][:2] == ("failed_other", 1) and got["http://x/page#0"][:2] == ("failed_other", 1)
+    nobody = spark.createDataFrame([("n", None)], "record_id string, image_url string")
+    assert [tuple(r) for r in fe.fetch_outcomes(nobody, fetched).collect()] == [("n", "failed_other", None, 0)]
     counts = {r.image_status: r.n for r in fe.outcome_counts(fe.fetch_outcomes(records, fetched)).collect()}
-    assert counts == {"ok": 6, "failed_404": 6, "failed_other": 12}
+    assert counts == {"ok": 6, "failed_404": 6, "failed_other": 15}
 
 
 def test_waits_double_up_to_a_bound():
@@ -240,7 +249,8 @@ def test_picture_pipeline(spark, tmp_path):
     assert ws.blobs().count() == 1
     assert [r.record_count for r in ws.build_shards().collect()] == [2]
     line = json.loads(spark.read.option("recursiveFileLookup", "true").text(str(tmp_path / "urls" / "requests")).first().value)
-    assert line["request"]["content"]["parts"][0]["inline_data"]["data"] == "aHR0cDovL3gvb25l"
+    assert line["request"]["content"]["parts"][0]["inline_data"] == {
+        "mime_type": "image/png", "data": base64.b64encode(PNG + b"http://x/one").decode()}
 
     binary = DatasetSpec(dataset="d", id_column="id", image_column="pic", modality="multimodal", text_template="{id}")
     ws = Workspace(spark, str(tmp_path / "bytes"), binary)
@@ -262,7 +272,14 @@ def test_decoded_pictures(spark, tmp_path):
     ws = Workspace(spark, str(tmp_path / "ws"), spec, Limits(image_max_side=16))
     ws.ingest(df, ["id"])
     assert {r.record_id: r.image_status for r in ws.state().collect()} == {"a": "ok", "b": "failed"}
-    assert [len(r.content) for r in ws.blobs().collect()] == [16 * 8 * 3]
+    stored = [bytes(r.content) for r in ws.blobs().collect()]
+    (tmp_path / "back").mkdir()
+    (tmp_path / "back" / "x.png").write_bytes(stored[0])
+    back = read_images(spark, str(tmp_path / "back")).first()
+    assert len(stored) == 1 and (back.height, back.width, set(back.data)) == (16, 8, {9})
+    coloured = np.arange(24, dtype=np.uint8).reshape(2, 4, 3)
+    (tmp_path / "back" / "x.png").write_bytes(im.png(coloured))
+    assert bytes(read_images(spark, str(tmp_path / "back")).first().data) == coloured.tobytes()
 
 
 # Streams.
@@ -284,11 +301,61 @@ def test_collect_stream_resumes(spark, tmp_path):
     (inbox / "zz.jsonl").write_text(line("a", 1.0))
     assert [(r.batch_id, r.record_id, r.vector) for r in run().collect()] == [("b/1", "a", [0.0, 1.0])]
     assert run().count() == 1
+    batches = batches.unionByName(spark.createDataFrame([("zz",)], "batch_id string"))  # known late
     (inbox / "b_2.jsonl").write_text(line("b", 1.0) + line("ghost", 1.0))
     # The same batch delivered again, in a folder this time.
     (inbox / "b_1.jsonl.d").mkdir()
     assert sorted((r.batch_id, r.record_id, r.known) for r in run().collect()) == [
-        ("b/1", "a", True), ("b/2", "b", True), ("b/2", "ghost", False)]
+        ("b/1", "a", True), ("b/2", "b", True), ("b/2", "ghost", False), ("zz", "a", True)]
+
+
+ODD_IDS = ["batches/1", "é", "jobs:1", "my batch", "a=b", "x%y", "a+b", "%41", "q?#[]{}^'\"*"]
+
+
+def test_results_of_odd_batch_ids_survive(spark, tmp_path):
+    lines = spark.createDataFrame(
+        [(b, json.dumps({"key": f"k{i}", "response": {"embedding": {"values": [1.0, 0.0]}}})) for i, b in enumerate(ODD_IDS)],
+        "batch_id string, value string")
+    write_result_files(lines, str(tmp_path / "out"))
+    batches = lines.select("batch_id")
+    read = read_result_lines(spark, str(tmp_path / "out"))
+    assert sorted(r.batch_id for r in attach_batches(read, batches).collect()) == sorted(ODD_IDS)
+    assert unknown_lines(read, batches).count() == 0
+    assert sum(r.n for r in unknown_lines(read, batches.where("batch_id <> 'jobs:1'")).collect()) == 1
+    records = spark.createDataFrame([("k0",)], "record_id string")
+    streamed = collect_stream(spark, str(tmp_path / "out"), str(tmp_path / "v"), str(tmp_path / "c"), records, batches, 2)
+    assert sorted(r.batch_id for r in streamed.collect()) == sorted(ODD_IDS)
+    files = artifact_files(list_files(spark, str(tmp_path / "out"), "*.txt")).collect()
+    assert sorted(r.file_name for r in files) == sorted(b.replace("/", "_") + ".jsonl" for b in ODD_IDS)
+    for b in ("batches/1", "é", "my batch", "a=b"):  # names a file of its own may have
+        (tmp_path / "plain").mkdir(exist_ok=True)
+        (tmp_path / "plain" / (b.replace("/", "_") + ".jsonl")).write_text("{}\n")
+    plain = read_result_lines(spark, str(tmp_path / "plain"))
+    assert attach_batches(plain, batches).count() == 4
+
+
+def test_reclaimable_of_written_files(spark, tmp_path):
+    spec = DatasetSpec(dataset="d", id_column="id", text_template="{t}", modality="text")
+    ws = Workspace(spark, str(tmp_path / "ws"), spec, Limits(embedding_dim=DIM, records_per_shard=3))
+    ws.ingest(spark.createDataFrame([(str(i), f"text {i}") for i in range(10)], "id string, t string"), ["id"], limit=7)
+    ws.build_shards()
+    ws.submitted(ws.admit().selectExpr("shard_id", "concat('jobs:', shard_id, ' x') AS batch_id"))
+    results = str(tmp_path / "results")
+    ws.polled(ws.embed(functools.partial(hashed_words, DIM), results))
+    ws.collect(results)
+    ws.upsert()
+    listed = [list_files(spark, p, "*.txt") for p in (str(tmp_path / "ws" / "requests"), results)]
+    report = {r.artifact: r for r in ws.reclaimable(*listed, listed[0], "shards").collect()}
+    for kind, files in zip(("shards", "results"), listed):
+        size = files.agg(F.sum("length")).first()[0]
+        assert (report[kind].eligible, report[kind].total, report[kind].bytes) == (3, 3, size)
+
+
+def test_one_split(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "train"))
+    spark.range(5).write.parquet(str(tmp_path / "test-00001.parquet"))
+    assert read_table(spark, str(tmp_path), split="train").count() == 3
+    assert read_table(spark, str(tmp_path), split="test").count() == 5
 
 
 def test_ingest_stream_keeps_first(spark, tmp_path):

@@ -7,6 +7,7 @@ from quillon.operators.dedupe import first_write_wins, insert_or_ignore, last_wr
 from quillon.operators.normalize import normalize, split_null_ids
 from quillon.operators.numbering import global_index
 from quillon.operators.profile import column_roles, profile, type_name
+from quillon.operators.points import typed_payload
 from quillon.operators.sampling import seeded_sample
 from quillon.sources.tables import read_with_row_index
 
@@ -157,3 +158,15 @@ def test_sample_is_repeatable(spark, rows):
     assert first == rows(seeded_sample(df.repartition(9), "id", 20, 7))
     assert first != rows(seeded_sample(df, "id", 20, 8)) and len(first) == 20
     assert seeded_sample(df.limit(3), "id", 20).count() == 3
+
+
+def test_ids_are_judged_on_all_rows(spark):
+    df = spark.createDataFrame([(str(min(i, 149)), str(i)) for i in range(151)], "id string, key string")
+    notes = {r.column: r.note for r in profile(df).collect()}
+    assert notes == {"id": "", "key": "good ID candidate"}
+
+
+def test_indexed_fields_keep_the_points_columns(spark):
+    points = spark.createDataFrame([("p", "r", "{}")], "point_id string, record_id string, payload string")
+    with pytest.raises(SpecError, match="record_id"):
+        typed_payload(points, {"record_id": "keyword"})

@@ -58,26 +58,19 @@ def test_blocks_take_over_above_the_bound(spark, data):
     assert se.small_queries(q, "query_id", "vector", DIM, max_bytes=8 * DIM * 3) is None
     found = se.cosine_top_k(frame(spark, corpus), q, dim=DIM, k=4, max_bytes=8 * DIM * 3)
     assert hits(found) == brute(corpus, queries, 4)
-    many = se.blocked_top_k(
-        frame(spark, corpus), "record_id", "vector", DIM, q, "query_id", "vector", 4, query_blocks=3, corpus_blocks=4)
+    many = se.blocked_top_k(frame(spark, corpus), q, dim=DIM, k=4, block_queries=4)
     assert hits(many) == brute(corpus, queries, 4)
 
 
-@pytest.mark.parametrize("k", [1, 5])
-def test_two_stages_are_exact(spark, data, k):
-    corpus, queries = data
-    sketched = with_sketch(frame(spark, corpus), DIM)
-    found = se.two_stage_top_k(sketched, frame(spark, queries, "query_id"), dim=DIM, k=k, oversampling=1)
-    assert hits(found) == brute(corpus, queries, k)
-
-
-def test_bound_prunes_clustered_data(spark, data):
-    corpus, queries = data
-    small = se.small_queries(frame(spark, queries[:6], "query_id"), "query_id", "vector", DIM)
-    sketched = with_sketch(frame(spark, corpus), DIM)
-    possible = se._possible_ids(sketched, small, np.full(6, 0.97), DIM, "record_id", "sketch")
-    n = possible.count()
-    assert n < len(corpus)
+def test_two_stages_recall(spark):
+    rng = np.random.default_rng(6)
+    corpus, queries = rng.normal(size=(400, DIM)), rng.normal(size=(20, DIM))
+    sketched, asked = with_sketch(frame(spark, corpus), DIM), frame(spark, queries, "query_id")
+    expected = {h[:2] for h in brute(corpus, queries, 5)}
+    found = {h[:2] for h in hits(se.two_stage_top_k(sketched, asked, dim=DIM, k=5, oversampling=16))}
+    assert len(found & expected) >= 0.9 * len(expected)
+    every = se.two_stage_top_k(sketched, asked, dim=DIM, k=5, oversampling=160)
+    assert hits(every) == brute(corpus, queries, 5)
 
 
 def test_wide_sketch(spark):
@@ -145,6 +138,10 @@ def test_audits(spark, data):
     unique = frame(spark, corpus[:50])
     assert tuple(vf.self_search_check(unique, DIM).first()) == ("self_search", "PASS", 20, 20)
     assert tuple(vf.self_search_check(unique.limit(3), DIM).first()) == ("self_search", "PASS", 3, 3)
+    assert tuple(vf.self_search_check(unique.limit(0), DIM).first()) == ("self_search", "WARN", 0, 0)
+    broken = unique.selectExpr("record_id", "if(record_id < 45, slice(vector, 1, 3), vector) AS vector").where("record_id > 29")
+    assert tuple(vf.self_search_check(broken, DIM).first()) == ("self_search", "WARN", 5, 20)
+    assert tuple(vf.size_check(broken, DIM).first()) == ("vector_size", "FAIL", 5, 20)
 
 
 @pytest.mark.parametrize("hits, status", [([], "PASS"), ([False], "PASS"), ([False, True, False, False, True], "PASS"),
