@@ -15,6 +15,8 @@ from quillon.session import materialize
 
 #: Shorter lines are compared for equality alone: one edit is too much of them.
 LEAST = 16
+#: Parts of a line for the first sieve, over all lines, and for the second, over the rest.
+FIRST, SECOND = 2, 8
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -23,12 +25,16 @@ def _content(data: bytes) -> tuple[int, int]:
     return int(a[0]), int(a[1])
 
 
-def halves(line: str) -> list[int]:
-    """Keys of which two lines within one edit share at least one: the edit spares the first
-    or the last half, whose length is taken from either line's."""
-    n = len(line)
-    keys = {f"a{h}:{line[:h]}" for h in (n // 2, (n - 1) // 2)} | {f"z{h}:{line[n - h:]}" for h in ((n + 1) // 2, n // 2)}
-    return sorted(xxhash.xxh3_64_intdigest(k.encode()) - (1 << 63) for k in keys)
+def around(line: str, parts: int) -> list[int]:
+    """Keys of which two lines within one edit share at least one: the edit lies in one of
+    ``parts`` equal parts of the shorter line, and what stands around that part is equal.
+    A line is taken as the shorter one, or as one that has a character more."""
+    n, keys = len(line), []
+    for m in (n, n - 1):
+        for j in range(parts):
+            head, tail = j * m // parts, m - (j + 1) * m // parts
+            keys.append(f"{m}:{j}:{line[:head]}|{line[n - tail:]}")
+    return sorted({xxhash.xxh3_64_intdigest(k.encode()) - (1 << 63) for k in keys})
 
 
 def variants(line: str) -> tuple[np.ndarray, np.ndarray]:
@@ -65,11 +71,25 @@ def _lines(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordB
         for doc_id, key, text in zip(*(c.to_pylist() for c in batch.columns)):
             for i, line in enumerate(text.split("\n")):
                 if line:
-                    rows.append((doc_id, key, i, *_content(line.encode()), halves(line) if len(line) >= least else []))
+                    rows.append((doc_id, key, i, *_content(line.encode()), around(line, FIRST) if len(line) >= least else []))
         columns = list(zip(*rows)) or [[]] * len(schema)
         yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = [around(t, SECOND) for t in batch.column("content").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("h1"), batch.column("h2"), pa.array(keys, pa.list_(pa.int64()))], names=["h1", "h2", "halves"])
+
+
+def _sharing(keyed: DataFrame) -> DataFrame:
+    """(h1, h2) of the lines that share one of their keys with another line."""
+    each = keyed.select("h1", "h2", F.explode("halves").alias("half"))
+    shared = materialize(each.groupBy("half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half"), "shared")
+    return materialize(each.join(shared, "half", "left_semi").select("h1", "h2").distinct(), "sharing")
+
+
 def _varied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["variant", "kind", "h1", "h2", "doc_id", "line"]
     for batch in batches:
@@ -93,8 +113,8 @@ def repeated_lines(docs: DataFrame, least: int = LEAST, id_column: str = "doc_id
 
     Earlier is by (doc_id, line number), null ids first; every line is held against all
     lines, removed ones too. Equal lines are grouped by a 128-bit hash first. Lines of
-    ``least`` characters and more that share an exact half with another line emit their
-    deletion neighbourhood as hashed keys; equal keys meet, the earliest partner of each
+    ``least`` characters and more that share an exact half with another line, and then all
+    but one eighth, emit their deletion neighbourhood as hashed keys; equal keys meet, the earliest partner of each
     line is a combined minimum, and the edit distance to it is verified.
     """
     text = F.col(text_column)
@@ -104,10 +124,7 @@ def repeated_lines(docs: DataFrame, least: int = LEAST, id_column: str = "doc_id
     kinds = materialize(lines.groupBy("h1", "h2").agg(
         F.min(F.struct("doc_id", "line", "key")).alias("first"), F.count(F.lit(1)).alias("n"), F.first("halves").alias("halves")), "kinds")
 
-    half = kinds.select("h1", "h2", F.explode("halves").alias("half"))
-    shared = materialize(half.groupBy("half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half"), "shared")
-    near = half.join(shared, "half", "left_semi").select("h1", "h2").distinct()
-    near = materialize(kinds.join(near, ["h1", "h2"], "left_semi").select("h1", "h2", "first.*"), "near")
+    near = materialize(kinds.join(_sharing(kinds), ["h1", "h2"], "left_semi").select("h1", "h2", "first.*"), "near")
     holders = materialize(near.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct(), "holders")
     held = rows.join(holders, rows["doc_id"].eqNullSafe(holders["_id"]) & (rows["key"] == holders["_key"]), "left_semi")
     each = held.dropDuplicates(["doc_id", "key"]).select("doc_id", "key", F.posexplode(F.split("text", "\n")).alias("line", "content"))
@@ -115,6 +132,8 @@ def repeated_lines(docs: DataFrame, least: int = LEAST, id_column: str = "doc_id
     contents = materialize(n.join(e, F.col("n.doc_id").eqNullSafe(F.col("e.doc_id")) & (F.col("n.key") == F.col("e.key")) & (F.col("n.line") == F.col("e.line"))).select(
         "n.h1", "n.h2", "n.doc_id", "n.line", "e.content"), "contents")
 
+    keyed = materialize(contents.mapInArrow(_keyed, "h1 long, h2 long, halves array<long>"), "keyed")
+    contents = materialize(contents.join(_sharing(keyed), ["h1", "h2"], "left_semi").select(contents.columns), "contents")
     keys = materialize(contents.mapInArrow(_varied, "variant long, kind byte, h1 long, h2 long, doc_id long, line int"), "variants")
     place = F.struct("doc_id", "line", "h1", "h2")
     met = keys.groupBy("variant", (F.col("kind") == 2).alias("hole")).agg(

@@ -110,6 +110,17 @@ def test_lines_against_brute_force(spark):
     assert lines.without_repeated_lines(docs.limit(0)).count() == 0
 
 
+def test_lines_one_edit_apart_share_a_key():
+    import random
+
+    rng = random.Random(4)
+    for _ in range(400):
+        a = "".join(rng.choice("abc") for _ in range(rng.randrange(16, 40)))
+        i = rng.randrange(len(a) + 1)
+        for b in (a[:i] + "x" + a[i + 1:], a[:i] + "a" + a[i:], a[:i] + a[i + 1:]):
+            assert all(set(lines.around(a, parts)) & set(lines.around(b, parts)) for parts in (2, 8))
+
+
 def test_one_edit():
     words = ["", "a", "b", "ab", "ba", "abc", "abd", "acb", "aabb", "abab", "aab"]
     assert all(lines.within_one(a, b) == (edits(a, b) <= 1) for a in words for b in words)
