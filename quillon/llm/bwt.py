@@ -269,12 +269,22 @@ def _solve(rows: list[dict]) -> Iterator[tuple]:
         at += n
 
 
+def _sieved(batches: Iterator[pa.RecordBatch], sieve, column: str, inside: bool = True) -> Iterator[pa.RecordBatch]:
+    """Rows whose hash is in the sieve, or isn't."""
+    for batch in batches:
+        hit = _in_sieve(sieve.value, batch.column(column).to_numpy().view(np.uint64))
+        yield batch.filter(pa.array(hit == inside))
+
+
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Repeated starts of pieces that arrive sorted by ``center``; merges hold whole keys."""
+    """Repeated starts of pieces that arrive sorted by content within ``center``; merges
+    hold whole keys, and equal pieces once."""
     def rows():
         held, size = [], 0
         for batch in batches:
             for r in batch.to_pylist():
+                if held and all(r[c] == held[-1][c] for c in ("center", "c1", "c2")):
+                    continue
                 if size >= MERGE_ROWS and r["center"] != held[-1]["center"]:
                     yield from _solve(held)
                     held, size = [], 0
@@ -319,9 +329,10 @@ def repeated_starts(texts: DataFrame) -> DataFrame:
         found.append(pieces.join(same, ["center", "c1", "c2"], "left_semi").select(spans))
         keys = materialize(each.groupBy("center").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("n")).where("m > 1 AND n = 1"), "keys")
         few = keys.where(F.col("m") <= CONTEXTS)
-        once = pieces.join(few.select("center"), "center", "left_semi")
-        once = once.dropDuplicates(["center", "c1", "c2"])
-        found.append(once.repartition("center").sortWithinPartitions("center").mapInArrow(
+        # Contexts are shuffled once: a sieve tells which may share a middle with others.
+        some = context.broadcast(_sieve(few, "center"))
+        once = pieces.mapInArrow(functools.partial(_sieved, sieve=some, column="center"), schema)
+        found.append(once.repartition("center").sortWithinPartitions("center", "c1", "c2").mapInArrow(
             _merged, "doc_id long, key long, first long, last long"))
         many = materialize(keys.where(F.col("m") > CONTEXTS).select("center"), "many")
         if size == 1 or many.isEmpty():
@@ -331,7 +342,7 @@ def repeated_starts(texts: DataFrame) -> DataFrame:
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
-    return materialize(out, "starts")
+    return out
 
 
 def _cut(batches: Iterator[pa.RecordBatch], keep_text: bool) -> Iterator[pa.RecordBatch]:
@@ -380,9 +391,14 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     data = F.coalesce(F.col(text_column).cast("binary"), F.lit("").cast("binary"))
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(data).alias("key"), data.alias("data"))
     starts = repeated_starts(texts.where(F.octet_length("data") >= LENGTH))
-    spans = starts.groupBy("doc_id", "key").agg(F.collect_set(F.struct("first", "last")).alias("spans")).select(
-        F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "spans")
-    met = texts.join(spans, texts["doc_id"].eqNullSafe(spans["_id"]) & (texts["key"] == spans["_key"]), "left").select(
-        "doc_id", "data", F.col("spans.first").alias("first"), F.col("spans.last").alias("last"))
+    spans = materialize(starts.groupBy("doc_id", "key").agg(F.collect_set(F.struct("first", "last")).alias("spans")).select(
+        F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "spans"), "spans")
+    # Only texts that may lose something meet their spans; the others stay where they are.
+    sieve = docs.sparkSession.sparkContext.broadcast(_sieve(spans, "_key"))
+    some, rest = (texts.mapInArrow(functools.partial(_sieved, sieve=sieve, column="key", inside=inside), texts.schema) for inside in (True, False))
+    none = F.lit(None).cast("array<long>")
+    met = some.join(spans, some["doc_id"].eqNullSafe(spans["_id"]) & (some["key"] == spans["_key"]), "left").select(
+        "doc_id", "data", F.col("spans.first").alias("first"), F.col("spans.last").alias("last")).unionByName(
+        rest.select("doc_id", "data", none.alias("first"), none.alias("last")))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text
     return met.mapInArrow(functools.partial(_cut, keep_text=keep_text), schema)
