@@ -20,10 +20,19 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8) stays."""
-    found = minhash.near_duplicates(docs)
+    """One document of each group of near copies (five-word shingles, similarity 0.8) stays.
+
+    Rows that share an id are one document, of which one row stays; rows without an id stay.
+    """
+    found = materialize(minhash.near_duplicates(docs).select("doc_id", "kept"), "groups")
     dropped = materialize(found.where(~F.col("kept")).select("doc_id").distinct(), "dropped")
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    left = docs.join(dropped, docs["doc_id"].cast("long") == dropped["doc_id"], "left_anti")
+    # Only rows of repeated ids are shuffled, one per id and task.
+    often = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    often = materialize(often.select("doc_id"), "repeated")
+    again = docs["doc_id"].cast("long") == often["doc_id"]
+    return left.join(often, again, "left_anti").unionByName(
+        left.join(often, again, "left_semi").dropDuplicates(["doc_id"]))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

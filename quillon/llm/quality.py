@@ -110,7 +110,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, epochs
     learners = max(1, -(-min(count, train_rows) // LEARNER_ROWS))
     picked = known.where(F.pmod(F.xxhash64("_id", F.lit("sample")), F.lit(1 << 20)) < int(share * (1 << 20)))
     # Bounded by ``train_rows``, whatever the number of labels.
-    rows = docs.where("text IS NOT NULL").join(F.broadcast(picked), F.col(id_column).cast("long") == F.col("_id")).select(
+    texts = docs.where("text IS NOT NULL").select(F.col(id_column).cast("long").alias("_doc"), "text")
+    rows = texts.join(F.broadcast(picked), F.col("_doc") == F.col("_id")).select(
         F.pmod(F.xxhash64("_id", F.lit("learner")), F.lit(learners)).cast("int").alias("learner"),
         F.xxhash64("_id", F.lit("place")).alias("place"), "label", F.col("text").cast("binary").alias("text"))
     sample = rows.mapInArrow(_featured, "learner int, place long, label int, buckets array<int>, vals array<float>")

@@ -55,12 +55,14 @@ def shard_rows(docs: DataFrame, shards: int = 40, seed: int = 42, id_column: str
 
 
 def sharded(docs: DataFrame, shards: int = 40, seed: int = 42) -> DataFrame:
-    """The documents with all their columns, ``shard`` and ``slot``.
+    """The documents with all their columns, ``shard`` and ``slot`` (which replace columns of
+    these names).
 
     Rows that repeat a document are stored once while shards are dealt, keyed by a hash of
     all columns, checksum and length of the text, and are met again by that key.
     """
     data = F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary"))
+    docs = docs.drop("shard", "slot")
     whole = [F.col(f"`{c}`") for c in docs.columns]
     rows = docs.select(
         F.struct(*whole).alias("row"), F.col("source").alias("_src"), F.xxhash64(*whole).alias("_all"),
