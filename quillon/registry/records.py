@@ -13,7 +13,8 @@ from quillon.operators.points import typed_payload
 from quillon.operators.profile import column_roles, profile
 from quillon.operators.sampling import most_recent, pilot, seeded_sample
 from quillon.registry.fixtures import CUSTOMERS, DOCUMENTS, PAGES, PRODUCTS, line_id, table
-from quillon.sources.tables import read_with_row_index
+from quillon.session import fresh_path
+from quillon.sources.tables import read_table, read_with_row_index
 
 UUID_SQL = """(SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-'
   || substr('89ab', (('0x' || substr(h, 17, 1))::INTEGER & 3) + 1, 1) || substr(h, 18, 3) || '-'
@@ -68,6 +69,19 @@ def row_index(spark, sf_dir):
     return normalize(rows, spec, "row_index").select("record_id", "point_id", "payload")
 
 
+def split_rows(spark, sf_dir):
+    """Labelled documents stored as one split, the others as a second one; both read by name."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    path = fresh_path(spark, "splits")
+    docs.join(labels, "doc_id", "left_semi").write.parquet(f"{path}/train")
+    docs.join(labels, "doc_id", "left_anti").write.parquet(f"{path}/test-00000")
+    train, test = (
+        read_table(spark, path, split=name).select(F.lit(name).alias("split"), "doc_id", F.md5("text").alias("text_md5"))
+        for name in ("train", "test")
+    )
+    return train.unionByName(test)
+
+
 def ordered_index(spark, sf_dir):
     ids = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("record_id"))
     return global_index(ids, ["record_id"])
@@ -179,6 +193,7 @@ QUERIES = {
     "format_template": format_template,
     "payload_coercion": payload_coercion,
     "row_index": row_index,
+    "table_splits": split_rows,
     "ordered_index": ordered_index,
     "null_ids": null_ids,
     "input_contract": contract_of_lines,
@@ -227,6 +242,9 @@ ORACLES = {
         SELECT i::VARCHAR AS record_id, {uuid_sql('i::VARCHAR')} AS point_id,
                '{{"doc_id":' || doc_id || '}}' AS payload
         FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents)""",
+    "table_splits": """
+        SELECT CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'train' ELSE 'test' END AS split,
+               doc_id, md5(text) AS text_md5 FROM documents""",
     "ordered_index": """
         SELECT doc_id::VARCHAR AS record_id, row_number() OVER (ORDER BY doc_id::VARCHAR) - 1 AS row_index
         FROM documents""",

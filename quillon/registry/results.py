@@ -14,6 +14,7 @@ from quillon.registry.fixtures import DIM, PRODUCTS, RESULT_CLASS_SQL, result_li
 from quillon.registry.records import uuid_sql
 from quillon.session import fresh_path
 from quillon.sources.results import attach_batches, read_result_lines, write_result_files
+from quillon.sources.tables import read_vectors
 
 
 def _parsed(spark, sf_dir):
@@ -76,9 +77,9 @@ def collect_rerun(spark, sf_dir):
     records = _records(spark, sf_dir)
     first = rs.collect_vectors(parsed, records)
     rs.append_vectors(first, out)
-    again = rs.collect_vectors(parsed, records, spark.read.parquet(out))
+    again = rs.collect_vectors(parsed, records, read_vectors(spark, out))
     rs.append_vectors(again, out)
-    stored = spark.read.parquet(out)
+    stored = read_vectors(spark, out)
     return stored.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("n"), F.count_if("known").alias("known"),
         F.count_distinct("record_id").alias("ids"),
