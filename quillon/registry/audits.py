@@ -122,9 +122,10 @@ def workspace_report(spark, sf_dir):
     ws = Workspace(spark, root, PRODUCTS, limits)
     ws.ingest(table(spark, sf_dir, "part"), ["p_partkey"])
     ws.build_shards()
-    admitted = materialize(ws.admit(), "admitted")
-    ws.submitted(admitted.select("shard_id", F.concat(F.lit("jobs/"), "shard_id").alias("batch_id")))
-    ws.polled(materialize(ws.embed(functools.partial(hashed_words, 64), results), "polls"))
+    # The limits bound a round, not the table: rounds follow until no shard is admitted.
+    while not (admitted := materialize(ws.admit(), "admitted")).isEmpty():
+        ws.submitted(admitted.select("shard_id", F.concat(F.lit("jobs/"), "shard_id").alias("batch_id")))
+        ws.polled(materialize(ws.embed(functools.partial(hashed_words, 64), results), "polls"))
     ws.collect(results)
     ws.upsert()
     metrics, states = ws.status()
