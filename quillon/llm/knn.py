@@ -116,7 +116,7 @@ def exact_top_k(rows: DataFrame, every: int = 100, k: int = 10, scale: int = 102
 
     Queries are the rows whose id is divisible by ``every``, candidates all rows of another
     id. Vectors belong to the nearest of a few pivots. Summaries of the cells (radius,
-    norms, the k + 1 rows nearest to each pivot) give every query cell a score that its
+    norms, the k + 1 ids nearest to each pivot) give every query cell a score that its
     k-th best surely reaches and every vector the most it can score there; only vectors
     that may reach it are sent, to blocks of bounded size, which a task solves exactly in
     integers. The k best of each block are ranked again per query.
@@ -142,7 +142,9 @@ def exact_top_k(rows: DataFrame, every: int = 100, k: int = 10, scale: int = 102
     if not asked:
         return empty
     near = Window.partitionBy("cell").orderBy("distance")
-    nearest = celled.select("cell", "distance").withColumn("at", F.row_number().over(near)).where(F.col("at") <= k + 1).collect()
+    # One row per id: only one of the counted rows can then be the query's own.
+    apart = celled.groupBy("id").agg(F.min(F.struct("distance", "cell")).alias("least")).select("least.cell", "least.distance")
+    nearest = apart.withColumn("at", F.row_number().over(near)).where(F.col("at") <= k + 1).collect()
 
     cells = len(points)
     counts, radius, reach = np.zeros(cells, int), np.zeros(cells), np.zeros(cells)

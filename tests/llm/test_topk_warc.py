@@ -35,6 +35,17 @@ def test_topk_against_brute_force(spark, monkeypatch):
     assert sorted(map(tuple, knn.exact_top_k(df, 10, 7, pivots=8).collect())) == brute(rows, 10, 7)
 
 
+def test_repeated_query_ids_prune_no_partner(spark):
+    # The rows of one query id fill the places nearest to a pivot; its partners score less.
+    rng = random.Random(4)
+    rows = [(0, [float(8 + i % 2), 8.0]) for i in range(40)]
+    rows += [(i, [rng.uniform(-2, 2), rng.uniform(-2, 2)]) for i in range(1, 60)]
+    found = sorted(map(tuple, knn.exact_top_k(spark.createDataFrame(rows, SCHEMA), 100, 7, pivots=99).collect()))
+    partners = [r for r in rows if r[0]]
+    asked = min(v for i, v in rows if i == 0)
+    assert found == brute([(0, asked), *partners], 100, 7)
+
+
 def test_topk_of_few_rows(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [-1.0, 0.5])]
     assert sorted(map(tuple, knn.exact_top_k(spark.createDataFrame(rows, SCHEMA)).collect())) == brute(rows, 100, 10)
