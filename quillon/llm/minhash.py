@@ -108,8 +108,9 @@ def _confirmed(batches: Iterator[pa.RecordBatch], n: int, percent: int) -> Itera
     last: dict[str, tuple] = {"a": (None, None), "b": (None, None)}
 
     def of(side: str, key: int, text) -> np.ndarray:
-        if last[side][0] != key:
-            last[side] = (key, shingle_set(text.as_py(), n))
+        # An id may carry several texts.
+        if last[side][0] != (key, held := text.as_py()):
+            last[side] = ((key, held), shingle_set(held, n))
         return last[side][1]
 
     for batch in batches:
@@ -236,7 +237,8 @@ def near_duplicates(
         functools.partial(_outlined, n=words), "doc_id long, d1 long, outline binary").dropDuplicates(["doc_id", "d1"]), "outlines")
     held = reps.select("doc_id", "d1", "n_shingles", "bands", *(f"s{i}" for i in range(PACKED))).join(outlines, ["doc_id", "d1"]).drop("d1")
     placed = (
-        open_rows.join(held, "doc_id")
+        # Of an id with several texts, those that are in the bucket.
+        open_rows.distinct().join(held, "doc_id").where(F.array_contains("bands", F.col("band")))
         .withColumn("side", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("i", F.least("side", "other")).withColumn("j", F.greatest("side", "other"))

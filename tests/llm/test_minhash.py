@@ -1,5 +1,7 @@
 import random
 
+import pyarrow as pa
+
 from quillon.llm import minhash, queries
 from quillon.llm.components import components
 
@@ -67,6 +69,36 @@ def test_repeated_and_missing_ids_and_no_rows(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], schema), 2, 80).count() == 0
 
 
+def test_each_text_of_a_repeated_id_is_compared():
+    base = [f"w{i}" for i in range(60)]
+    near, other = " ".join(base).encode(), " ".join(f"o{i}" for i in range(60)).encode()
+    copy = " ".join([*base, "more"]).encode()
+    for texts in ([other, near], [near, other]):
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array([1, 1]), pa.array([2, 2]), pa.array(texts), pa.array([copy, copy])], names=["u", "v", "a", "b"])
+        (found,) = minhash._confirmed(iter([batch]), 2, 80)
+        assert found.to_pydict() == {"u": [1], "v": [2]}
+
+
+def test_repeated_ids_in_open_buckets(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(400)]
+    texts = []
+    for _ in range(4):
+        text = [rng.choice(words) for _ in range(90)]
+        for _ in range(30):
+            text = list(text)
+            text[rng.randrange(90)] = rng.choice(words)
+            texts.append(" ".join(text))
+    # Every third document has a second text under its id.
+    rows = list(enumerate(texts)) + [(i, " ".join(f"a{i}x{j}" for j in range(40))) for i in range(0, 120, 3)]
+    alone = brute([*enumerate(texts)], 2, 80)
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2, 80).collect()
+    assert {(r.doc_id, r.component_id, r.kept) for r in found} == {(d, c, k) for d, _, c, k in alone}
+    assert len(found) == len(rows)
+
+
 def test_components_of_long_chains_and_hubs(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 200 + i) for i in range(300)] + [(5, 5), (900, 900), (None, 3)]
     found = dict(map(tuple, components(spark.createDataFrame(links, "u long, v long")).collect()))
