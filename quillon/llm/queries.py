@@ -6,7 +6,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import quillon
-from quillon.llm import bwt, decontaminate, knn, language, lines, minhash, mixing, quality, sharding, warc
+from quillon.llm import bwt, cascade, decontaminate, interaction, knn, language, lexical, lines, minhash, mixing, quality, sharding, warc
 
 # Python workers need no copy of the package: its functions travel with the tasks.
 cloudpickle.register_pickle_by_value(quillon)
@@ -60,6 +60,20 @@ def op10_repeats(spark, sf_dir):
     return bwt.without_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op11_cascade(spark, sf_dir):
+    """All measures, and the cascade's verdict."""
+    return cascade.quality_rules(_table(spark, sf_dir, "documents"))
+
+
+def op12_lexical(spark, sf_dir):
+    """The ten best documents of each benchmark item."""
+    return lexical.ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_interaction(spark, sf_dir):
+    return interaction.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_mixing": op2_mixing,
@@ -71,6 +85,9 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_quality": op9_quality,
     "op10_repeats": op10_repeats,
+    "op11_cascade": op11_cascade,
+    "op12_lexical": op12_lexical,
+    "op13_interaction": op13_interaction,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -146,4 +163,59 @@ ORACLES = {
           SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
             SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score
             FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0)) WHERE rank <= 10""",
+    "op11_cascade": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+                          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        lines AS (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d),
+        dup AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup FROM lines
+                WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+        runs AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS run FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+        again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, run) AS n FROM runs) WHERE n > 1),
+        rep AS (SELECT r, count(DISTINCT p) AS n_rep FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM again) GROUP BY r),
+        m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+                     length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup, 0)::BIGINT AS n_dup_lines,
+                     coalesce(n_rep, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+              FROM d LEFT JOIN dup USING (r) LEFT JOIN rep USING (r))
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+               NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 10 * n_symbols > n_words
+                    OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 2 * n_dup_lines > n_lines) AS kept
+        FROM m""",
+    "op12_lexical": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(
+                     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS t FROM documents),
+        tf AS (SELECT r, doc_id, t, count(*) AS tf FROM d GROUP BY ALL),
+        sizes AS (SELECT r, sum(tf)::BIGINT AS n FROM tf GROUP BY r),
+        c AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM sizes),
+        w AS (SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, c GROUP BY t, docs),
+        q AS (SELECT item_id, t, count(*)::BIGINT AS often FROM (SELECT item_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS t FROM benchmark) GROUP BY ALL),
+        scored AS (
+          SELECT item_id, r, doc_id, sum(often * w * ((1000000000 * tf::BIGINT) // (1000 * tf::BIGINT + 8 * (25 + (75 * n * docs) // total))))::BIGINT AS score
+          FROM q JOIN w USING (t) JOIN tf USING (t) JOIN sizes USING (r), c GROUP BY item_id, r, doc_id)
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+          SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 10""",
+    "op13_interaction": r"""
+        WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        known AS (SELECT doc_id, max((quality = 1)::INTEGER) AS good, max((toxic = 1)::INTEGER) AS toxic FROM labels GROUP BY doc_id),
+        f AS (
+          SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                 (len(w) < 100)::INTEGER + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INTEGER
+                 + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t))::INTEGER
+                 + 8 * regexp_matches(t, '[#$%&*|]')::INTEGER + 16 * coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)::INTEGER AS bits
+          FROM d LEFT JOIN known ON known.doc_id = d.doc_id),
+        n AS (SELECT part, bits, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, bits),
+        five AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c, unnest([1, 2, 4, 8, 16]) AS b),
+        orders AS (
+          SELECT a.c || b.c || c.c || d.c || e.c AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS o
+          FROM five a, five b, five c, five d, five e WHERE a.b + b.b + c.b + d.b + e.b = 31 AND len(list_distinct([a.b, b.b, c.b, d.b, e.b])) = 5),
+        steps AS (SELECT filter_order, step, o[step] AS f, coalesce(list_sum(o[1:step - 1]), 0)::INTEGER AS b FROM orders, range(1, 6) AS s(step))
+        SELECT part, filter_order, step::INTEGER AS step,
+               coalesce(sum(n) FILTER (WHERE bits & f = 0 AND bits & b = 0), 0)::BIGINT AS kept,
+               coalesce(sum(n) FILTER (WHERE bits & f > 0 AND bits & b = 0), 0)::BIGINT AS removed,
+               coalesce(sum(n) FILTER (WHERE bits & f > 0 AND bits & b > 0), 0)::BIGINT AS redundant,
+               coalesce(sum(n) FILTER (WHERE bits = f), 0)::BIGINT AS unique_fails,
+               coalesce(sum(good) FILTER (WHERE bits & f > 0 AND bits & b = 0), 0)::BIGINT AS good_lost,
+               coalesce(sum(toxic) FILTER (WHERE bits & f > 0 AND bits & b = 0), 0)::BIGINT AS toxic_lost,
+               coalesce(sum(n * (120 // greatest(bit_count(bits), 1))) FILTER (WHERE bits & f > 0), 0)::BIGINT AS shapley
+        FROM n, steps GROUP BY part, filter_order, step""",
 }
