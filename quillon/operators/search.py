@@ -1,4 +1,4 @@
-"""Exact, filtered and two-stage cosine search.
+"""Exact and filtered cosine search, and search by sign sketches.
 
 The corpus stays where it is. Each task scores its own vectors against all queries with one
 matrix product per Arrow batch and keeps only its best ``k`` per query, so neither pairs nor
@@ -8,7 +8,8 @@ sets above a checked size go through the blocked form instead.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -124,7 +125,7 @@ def _scorer(units: np.ndarray, query_ids: list, k: int, out_schema: pa.Schema, s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(len(query_ids), k)
-        for whole in batches:
+        for whole in batches if query_ids else ():
             for batch in _batches(whole, len(query_ids)):
                 best.add(score(units, batch), _id_array(batch.column(0)))
         where, ids, scores = best.rows()
@@ -169,6 +170,22 @@ def _broadcast_top_k(
     return _ranked(fitting.mapInArrow(body, ddl), k)
 
 
+def _by_blocks(
+    queries: DataFrame, query_id: str, query_vector: str, dim: int, block_queries: int, search: Callable[[QuerySet], DataFrame]
+) -> DataFrame:
+    """Hits of all queries, from searches for one block of them after the other."""
+    spark = queries.sparkSession
+    # Equal queries count once, so that a repeated one doesn't fill its block.
+    asked = materialize(queries.select(query_id, query_vector).distinct(), "queries")
+    blocks = max(1, -(-asked.count() // block_queries))
+    path = fresh_path(spark, "hits")
+    for block in range(blocks):
+        part = asked.where(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == block)
+        found = search(_fetched(part, query_id, query_vector, dim))
+        found.write.mode("overwrite").parquet(f"{path}/block={block}")
+    return spark.read.schema(found.schema).parquet(path).select(found.columns)
+
+
 def blocked_top_k(
     corpus: DataFrame, queries: DataFrame, *, dim: int, k: int, block_queries: int = BLOCK_QUERIES,
     id_column: str = "record_id", vector_column: str = "vector",
@@ -180,16 +197,9 @@ def blocked_top_k(
     where it is, is scanned once per block. A block's hits are written before the next one
     starts, so the driver holds one block at a time.
     """
-    spark = corpus.sparkSession
-    asked = materialize(queries.select(query_id, query_vector), "queries")
-    blocks = max(1, -(-asked.count() // block_queries))
-    path = fresh_path(spark, "hits")
-    for block in range(blocks):
-        part = asked.where(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == block)
-        held = _fetched(part, query_id, query_vector, dim)
-        found = _broadcast_top_k(corpus, id_column, vector_column, dim, held, k)
-        found.write.mode("overwrite").parquet(f"{path}/block={block}")
-    return spark.read.schema(found.schema).parquet(path).select("query_id", "id", "score", "rank")
+    return _by_blocks(
+        queries, query_id, query_vector, dim, block_queries,
+        lambda held: _broadcast_top_k(corpus, id_column, vector_column, dim, held, k))
 
 
 def cosine_top_k(
@@ -222,7 +232,7 @@ def self_search(found: DataFrame, threshold: float = 0.99) -> DataFrame:
     )
 
 
-# Two-stage search over sign sketches.
+# Search by sign sketches.
 
 
 def _pack_signs(matrix: np.ndarray) -> np.ndarray:
@@ -262,29 +272,10 @@ def hamming_top_k(
     return found.select("query_id", "id", (-F.col("score")).cast("int").alias("distance"), "rank")
 
 
-def two_stage_top_k(
-    corpus: DataFrame, queries: DataFrame, *, dim: int, k: int = 5, oversampling: int = 4,
-    id_column: str = "record_id", vector_column: str = "vector", sketch_column: str = "sketch",
-    query_id: str = "query_id", query_vector: str = "vector",
-    max_bytes: int = MAX_BROADCAST_BYTES,
+def blocked_hamming_top_k(
+    corpus: DataFrame, queries: DataFrame, *, dim: int, k: int, block_queries: int = BLOCK_QUERIES,
+    id_column: str = "record_id", sketch_column: str = "sketch", query_id: str = "query_id", query_vector: str = "vector",
 ) -> DataFrame:
-    """Cosine search through sign sketches: a shortlist, rescored exactly.
-
-    Sketches, a 32nd of the vectors' bytes, give each query a shortlist of ``k *
-    oversampling`` ids; the vectors of all shortlists are scored. What no shortlist holds is
-    not found: recall grows with ``oversampling``. The ids that travel to the vectors are
-    bounded by the queries, which fit ``max_bytes``; larger query sets are searched plainly.
-    """
-    exact = dict(id_column=id_column, vector_column=vector_column)
-    small = small_queries(queries, query_id, query_vector, dim, max_bytes)
-    if small is None:
-        return cosine_top_k(
-            corpus, queries, dim=dim, k=k, query_id=query_id, query_vector=query_vector,
-            max_bytes=max_bytes, **exact,
-        )
-    shortlist = hamming_top_k(
-        corpus, small, dim=dim, k=k * oversampling, id_column=id_column, sketch_column=sketch_column
-    )
-    near = shortlist.select(F.col("id").alias(id_column)).distinct()
-    candidates = corpus.join(F.broadcast(near), id_column, "left_semi")
-    return _broadcast_top_k(candidates, dim=dim, queries=small, k=k, **exact)
+    """``hamming_top_k`` for any number of queries, a block of them at a time."""
+    search = functools.partial(hamming_top_k, corpus, dim=dim, k=k, id_column=id_column, sketch_column=sketch_column)
+    return _by_blocks(queries, query_id, query_vector, dim, block_queries, lambda held: search(held))

@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import functions as F
 
-from quillon.operators import search as se
+from quillon.operators import multiindex as mi, search as se
 from quillon.operators.embed import embed_texts, hashed_words
 from quillon.operators.normalize import normalize
 from quillon.operators.points import typed_payload, with_sketch
@@ -22,12 +22,18 @@ def _samples(spark, sf_dir, n=20):
     return picked.select(F.col("record_id").alias("query_id"), "vector")
 
 
+def _asked(spark, sf_dir):
+    """Queries of the searches: every vector whose id is divisible by 50."""
+    picked = vectors(spark, sf_dir).where(F.col("vec_id") % 50 == 0)
+    return picked.select(F.col("record_id").alias("query_id"), "vector")
+
+
 def _hits():
     return ["query_id", "id", F.round("score", 4).alias("score"), "rank"]
 
 
 def cosine_topk(spark, sf_dir):
-    found = se.cosine_top_k(vectors(spark, sf_dir), _samples(spark, sf_dir), dim=DIM, k=5)
+    found = se.cosine_top_k(vectors(spark, sf_dir), _asked(spark, sf_dir), dim=DIM, k=5)
     return found.select(*_hits())
 
 
@@ -50,7 +56,7 @@ def self_search_summary(spark, sf_dir):
 def filtered_topk(spark, sf_dir):
     """Only vectors of three labels are searched."""
     kept = vectors(spark, sf_dir).where(F.col("label").isin(1, 4, 7))
-    found = se.cosine_top_k(kept, _samples(spark, sf_dir), dim=DIM, k=5)
+    found = se.cosine_top_k(kept, _asked(spark, sf_dir), dim=DIM, k=5)
     return found.select(*_hits())
 
 
@@ -63,27 +69,32 @@ def payload_filtered_topk(spark, sf_dir):
     typed = typed_payload(points, PRODUCTS.payload.indexes)
     kept = typed.where((F.col("p_size") >= 25) & F.col("p_type").isin("PROMO", "ECONOMY"))
     found = se.cosine_top_k(
-        kept, _samples(spark, sf_dir), dim=DIM, k=5, id_column="vec_id", vector_column="embedding"
+        kept, _asked(spark, sf_dir), dim=DIM, k=5, id_column="vec_id", vector_column="embedding"
     )
     return found.select(*_hits())
 
 
 def hamming_topk(spark, sf_dir):
     sketched = with_sketch(vectors(spark, sf_dir), DIM)
-    queries = se.small_queries(_samples(spark, sf_dir), "query_id", "vector", DIM)
-    return se.hamming_top_k(sketched, queries, dim=DIM, k=20)
+    return se.blocked_hamming_top_k(sketched, _asked(spark, sf_dir), dim=DIM, k=20)
 
 
 def binary_topk(spark, sf_dir):
-    sketched = with_sketch(vectors(spark, sf_dir), DIM)
-    found = se.two_stage_top_k(sketched, _samples(spark, sf_dir), dim=DIM, k=5)
-    return found.select(*_hits())
+    """Through the band index, until nothing further away can be as good."""
+    index = mi.build_index(vectors(spark, sf_dir), DIM)
+    return mi.sketch_top_k(index, _asked(spark, sf_dir), k=5, recall=None).select(*_hits())
+
+
+def sketch_topk(spark, sf_dir):
+    """Through the band index, within the radius that holds good neighbours at 0.95 or more."""
+    index = mi.build_index(vectors(spark, sf_dir), DIM)
+    return mi.sketch_top_k(index, _asked(spark, sf_dir), k=5).select(*_hits())
 
 
 def truncated_topk(spark, sf_dir):
     """Search over the first 16 dimensions."""
     short = vectors(spark, sf_dir).select("record_id", F.slice("vector", 1, 16).alias("vector"))
-    queries = _samples(spark, sf_dir).select("query_id", F.slice("vector", 1, 16).alias("vector"))
+    queries = _asked(spark, sf_dir).select("query_id", F.slice("vector", 1, 16).alias("vector"))
     return se.cosine_top_k(short, queries, dim=16, k=5).select(*_hits())
 
 
@@ -127,6 +138,7 @@ QUERIES = {
     "payload_filtered_topk": payload_filtered_topk,
     "hamming_topk": hamming_topk,
     "binary_topk": binary_topk,
+    "sketch_topk": sketch_topk,
     "truncated_topk": truncated_topk,
     "hash_embed": hash_embed,
     "text_search": text_search,
@@ -136,8 +148,11 @@ QUERIES = {
 _SAMPLE = "SELECT vec_id AS query_id, embedding AS qv FROM embeddings ORDER BY md5('42:' || vec_id), vec_id LIMIT 20"
 
 
+_ASKED = "SELECT vec_id AS query_id, embedding AS qv FROM embeddings WHERE vec_id % 50 = 0"
+
+
 def _topk_sql(
-    k: int, corpus: str = "embeddings", vector: str = "embedding", query: str = "qv", sample: str = _SAMPLE
+    k: int, corpus: str = "embeddings", vector: str = "embedding", query: str = "qv", sample: str = _ASKED
 ) -> str:
     return f"""
         SELECT query_id, id, round(score, 4) AS score, rank FROM (
@@ -154,7 +169,7 @@ _HAMMING_SQL = f"""
             SELECT query_id, vec_id AS id,
                    list_sum(list_transform(range(1, 65), lambda i: ((qv[i] > 0) <> (embedding[i] > 0))::INTEGER))::INTEGER
                    AS distance
-            FROM ({_SAMPLE}) CROSS JOIN embeddings)) WHERE rank <= 20"""
+            FROM ({_ASKED}) CROSS JOIN embeddings)) WHERE rank <= 20"""
 
 
 # Runs of anything but Unicode white space.
@@ -194,21 +209,19 @@ ORACLES = {
     "cosine_topk": _topk_sql(5),
     "blocked_topk": _topk_sql(5, sample="SELECT vec_id AS query_id, embedding AS qv FROM embeddings"),
     "self_search": f"""
-        SELECT query_id, id AS top_id, score, id = query_id AND score > 0.99 AS ok FROM ({_topk_sql(1)})""",
+        SELECT query_id, id AS top_id, score, id = query_id AND score > 0.99 AS ok FROM ({_topk_sql(1, sample=_SAMPLE)})""",
     "self_search_check": f"""
         SELECT 'self_search' AS "check", CASE WHEN count(*) = count(*) FILTER (WHERE id = query_id AND score > 0.99)
                THEN 'PASS' ELSE 'WARN' END AS status,
                count(*) FILTER (WHERE id = query_id AND score > 0.99) AS ok, count(*) AS n
-        FROM ({_topk_sql(1)})""",
+        FROM ({_topk_sql(1, sample=_SAMPLE)})""",
     "filtered_topk": _topk_sql(5, "(SELECT * FROM embeddings WHERE label IN (1, 4, 7))"),
     "payload_filtered_topk": _topk_sql(
         5, "(SELECT e.* FROM embeddings e JOIN part ON vec_id = p_partkey "
         "WHERE p_size >= 25 AND p_type IN ('PROMO', 'ECONOMY'))"
     ),
     "hamming_topk": _HAMMING_SQL,
-    "binary_topk": _topk_sql(
-        5, f"(SELECT * FROM embeddings WHERE vec_id IN (SELECT id FROM ({_HAMMING_SQL})))"
-    ),
+    "binary_topk": _topk_sql(5),
     "truncated_topk": _topk_sql(5, vector="list_slice(embedding, 1, 16)", query="list_slice(qv, 1, 16)"),
     "hash_embed": f"""
         SELECT id AS doc_id, bucket::INTEGER AS bucket, round(x::FLOAT::DOUBLE, 4) AS x

@@ -62,17 +62,6 @@ def test_blocks_take_over_above_the_bound(spark, data):
     assert hits(many) == brute(corpus, queries, 4)
 
 
-def test_two_stages_recall(spark):
-    rng = np.random.default_rng(6)
-    corpus, queries = rng.normal(size=(400, DIM)), rng.normal(size=(20, DIM))
-    sketched, asked = with_sketch(frame(spark, corpus), DIM), frame(spark, queries, "query_id")
-    expected = {h[:2] for h in brute(corpus, queries, 5)}
-    found = {h[:2] for h in hits(se.two_stage_top_k(sketched, asked, dim=DIM, k=5, oversampling=16))}
-    assert len(found & expected) >= 0.9 * len(expected)
-    every = se.two_stage_top_k(sketched, asked, dim=DIM, k=5, oversampling=160)
-    assert hits(every) == brute(corpus, queries, 5)
-
-
 def test_wide_sketch(spark):
     rng = np.random.default_rng(2)
     corpus, queries = rng.normal(size=(90, 130)), rng.normal(size=(3, 130))
@@ -85,7 +74,11 @@ def test_wide_sketch(spark):
         distance = (signs != row).sum(axis=1)
         order = sorted(range(90), key=lambda i: (distance[i], i))[:7]
         expected += [(q, i, int(distance[i]), n + 1) for n, i in enumerate(order)]
-    assert sorted((r.query_id, r.id, r.distance, r["rank"]) for r in found.collect()) == sorted(expected)
+    listed = lambda df: sorted((r.query_id, r.id, r.distance, r["rank"]) for r in df.collect())
+    assert listed(found) == sorted(expected)
+    blocks = se.blocked_hamming_top_k(
+        with_sketch(frame(spark, corpus), 130), frame(spark, queries, "query_id"), dim=130, k=7, block_queries=1)
+    assert listed(blocks) == sorted(expected)
 
 
 def test_empty_filter_and_string_ids(spark, data):
