@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Collection, Iterator, Mapping, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quillon.config import INDEX_TYPES, SpecError
 from quillon.functions.vectors import sign_sketch
-from quillon.operators.dedupe import last_write_wins
 from quillon.operators.state import as_events, upsert_pending
 from quillon.session import materialize
+from quillon.sources.bucketed import BucketedLog
+from quillon.sources.epochs import read_epochs, write_epoch
 
 log = logging.getLogger(__name__)
 
 POINT_COLUMNS = ("point_id", "record_id", "vector", "payload")
+POINT_SCHEMA = "point_id string, record_id string, vector array<float>, payload string"
 UUID_PATTERN = "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
 
 
@@ -25,16 +27,18 @@ def points_to_upsert(
 ) -> DataFrame:
     """Points of records that are embedded but not yet stored; the last vector wins.
 
-    Vectors are deduplicated first: that trims each task's rows before the one wide
-    shuffle, also for a record collected over and over, and both joins reuse its
-    partitioning.
+    ``order`` must be total within a record. Which vector wins is found on keys alone, of
+    pending records alone, and the winners meet the vectors by record: over vectors that
+    are bucketed by record no vector crosses an exchange.
     """
     pending = upsert_pending(state).select("record_id")
-    latest = last_write_wins(vectors, ["record_id"], order).select("record_id", "vector")
-    wanted = latest.join(pending, "record_id", "left_semi")
-    return wanted.join(records.select("record_id", "point_id", "payload"), "record_id").select(
-        *POINT_COLUMNS
-    )
+    keys = vectors.select("record_id", F.struct(*order).alias("_place")).join(pending, "record_id", "left_semi")
+    wanted = keys.groupBy("record_id").agg(F.max("_place").alias("_last")).join(
+        records.select("record_id", "point_id", "payload"), "record_id")
+    placed = vectors.select("record_id", "vector", F.struct(*order).alias("_place"))
+    # Not an equality, so that the record stays the only join key and its buckets serve.
+    met = placed.join(wanted.hint("shuffle_hash"), "record_id").where("_place >= _last")
+    return met.select(*POINT_COLUMNS)
 
 
 def upsert_skipped(state: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -54,9 +58,45 @@ def upsert_events(incoming: DataFrame, seq: int) -> DataFrame:
     ))
 
 
-def append_points(incoming: DataFrame, path: str, version: int) -> None:
-    """Store one upsert as its own version folder; running it again replaces that folder."""
-    incoming.write.mode("overwrite").parquet(f"{path}/version={version}")
+class PointStore:
+    """Versions of points, bucketed by record, with a list of what later versions replace.
+
+    A record's point id is computed from its id, so a record has one point. An upsert
+    writes its points as a version and the keys (record_id, version) that it supersedes as
+    a second, narrow table. Reading leaves superseded rows out by their keys: the points
+    stay in their buckets and no vector is moved or sorted.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int):
+        self.log = BucketedLog(spark, f"{path}/versions", POINT_SCHEMA, "record_id", buckets)
+        self._dead = f"{path}/superseded"
+
+    def _superseded(self, versions: Collection[int]) -> DataFrame:
+        rows = read_epochs(self.log.spark, self._dead, "record_id string, version bigint")
+        rows = rows.where(F.col("epoch").isin(sorted(versions)))
+        return rows.groupBy("record_id").agg(F.max("version").alias("_dead"))
+
+    def _live(self, versions: Collection[int], *columns: str) -> DataFrame:
+        stored = self.log.read(versions).select(*columns, "epoch")
+        dead = self._superseded(versions).withColumnRenamed("record_id", "_record").hint("shuffle_hash")
+        gone = (F.col("record_id") == F.col("_record")) & (F.col("epoch") <= F.col("_dead"))
+        return stored.join(dead, gone, "left_anti")
+
+    def write(self, incoming: DataFrame, version: int, earlier: Collection[int]) -> DataFrame:
+        """Store one upsert over the ``earlier`` versions; running it again replaces it.
+
+        Returns its keys as written (record_id).
+        """
+        self.log.write(incoming, version)
+        written = self.log.read([version]).select("record_id")
+        older = self._live(earlier, "record_id").join(written, "record_id", "left_semi")
+        write_epoch(older.select("record_id", F.col("epoch").alias("version")), self._dead, version)
+        return written
+
+    def current(self, versions: Collection[int]) -> DataFrame:
+        """The newest point of every record among the given versions."""
+        return self._live(versions, *POINT_COLUMNS).select(*POINT_COLUMNS)
+
 
 
 def write_typed_points(
@@ -110,11 +150,6 @@ def deliver_points(
     return materialize(sent, "delivered")
 
 
-def current_points(log: DataFrame) -> DataFrame:
-    """Points of a version log (merge on read): the highest version of each id."""
-    return last_write_wins(log, ["point_id"], ["version"]).drop("version")
-
-
 def with_sketch(points: DataFrame, dim: int, vector: str = "vector") -> DataFrame:
     """Add the packed sign bits, a 32nd of the vector's size, as their own column."""
     return points.withColumn("sketch", sign_sketch(F.col(vector), dim))

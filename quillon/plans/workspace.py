@@ -29,6 +29,7 @@ from quillon.operators.jobs import latest_states
 from quillon.operators.normalize import normalize, split_null_ids
 from quillon.operators.sampling import pilot, seeded_sample
 from quillon.session import materialize
+from quillon.sources.bucketed import BucketedLog
 from quillon.sources.epochs import read_epochs, read_or_empty, write_epoch
 from quillon.sources.results import POSITION, attach_batches, read_result_lines, write_result_files
 
@@ -45,7 +46,7 @@ SCHEMAS = {
         "file_path string, file_block bigint, line_no bigint"
     ),
     "collected": "batch_id string",
-    "points": "point_id string, record_id string, vector array<float>, payload string",
+    "layout": "buckets int",
 }
 
 
@@ -54,11 +55,25 @@ class Workspace:
 
     def __init__(
         self, spark: SparkSession, root: str, spec: DatasetSpec,
-        limits: Limits = Limits(), model: str = "models/embedder",
+        limits: Limits = Limits(), model: str = "models/embedder", buckets: int | None = None,
     ):
+        """``buckets`` of vectors and points, fixed when the folder is first used.
+
+        By default as many as the session has shuffle partitions.
+        """
         self.spark, self.root, self.spec = spark, root.rstrip("/"), spec
         self.limits, self.model = limits, model
         self._committed: dict[int, str] | None = None
+        n = self._layout(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
+        self._vectors = BucketedLog(spark, self._path("vectors"), SCHEMAS["vectors"], "record_id", n)
+        self._points = pt.PointStore(spark, self._path("points"), n)
+
+    def _layout(self, buckets: int) -> int:
+        schema = T.StructType.fromDDL(SCHEMAS["layout"])
+        stored = read_or_empty(self.spark, self._path("layout"), schema).agg(F.min("buckets")).first()[0]
+        if stored is None:
+            self.spark.range(1).select(F.lit(buckets).alias("buckets")).coalesce(1).write.mode("append").parquet(self._path("layout"))
+        return stored or buckets
 
     # Tables.
 
@@ -116,11 +131,16 @@ class Workspace:
     def batches(self) -> DataFrame:
         return bt.fold_batches(self._read("batch_events").drop("epoch"))
 
+    def _epochs_of(self, step: str) -> list[int]:
+        return [e for e, done in self.commits().items() if done == step]
+
     def vectors(self) -> DataFrame:
-        return self._read("vectors")
+        """All vectors ever collected, bucketed by record."""
+        return self._vectors.read(self._epochs_of("collect"))
 
     def points(self) -> DataFrame:
-        return pt.current_points(self._read("points").withColumnRenamed("epoch", "version"))
+        """The current point of every record."""
+        return self._points.current(self._epochs_of("upsert"))
 
     def _next_epoch(self) -> int:
         self.refresh()
@@ -276,9 +296,9 @@ class Workspace:
         lines = attach_batches(read_result_lines(self.spark, results), batches)
         parsed = materialize(rs.parse_result_lines(lines, self.limits.embedding_dim), "parsed")
         vectors = rs.collect_vectors(parsed, self.records(), done)
+        self._vectors.write(self._vectors.placed(vectors), epoch)
         self._commit(
             "collect", epoch,
-            vectors=vectors.select(*T.StructType.fromDDL(SCHEMAS["vectors"]).names),
             record_events=rs.result_events(parsed, epoch),
             collected=parsed.select("batch_id").distinct(),
         )
@@ -288,15 +308,12 @@ class Workspace:
         """Store the points of embedded records; returns one row of counts."""
         epoch = self._next_epoch()
         state, vectors = self.state(), self.vectors()
-        incoming = materialize(
-            pt.points_to_upsert(state, self.records(), vectors, ["epoch", *POSITION]), "incoming"
-        )
+        incoming = pt.points_to_upsert(state, self.records(), vectors, ["epoch", *POSITION])
+        written = self._points.write(incoming, epoch, self._epochs_of("upsert"))
         skipped = pt.upsert_skipped(state, vectors).agg(F.count(F.lit(1)).alias("n"))
-        counts = incoming.agg(F.count(F.lit(1)).alias("upserted")).withColumn("skipped", skipped.scalar())
+        counts = written.agg(F.count(F.lit(1)).alias("upserted")).withColumn("skipped", skipped.scalar())
         counts = materialize(counts, "counts")
-        self._commit(
-            "upsert", epoch, points=incoming, record_events=pt.upsert_events(incoming, 2 * epoch)
-        )
+        self._commit("upsert", epoch, record_events=pt.upsert_events(written, 2 * epoch))
         return counts
 
     def compact(self) -> None:

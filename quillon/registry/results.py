@@ -137,13 +137,13 @@ def upsert_snapshot(spark, sf_dir):
 def upsert_log(spark, sf_dir):
     """The same through a version log, with the second upsert run twice."""
     state, records, stored = _store(spark, sf_dir)
-    path = fresh_path(spark, "points")
     old = stored.where("seq = 1").join(records, "record_id").select(*pt.POINT_COLUMNS)
     incoming = pt.points_to_upsert(state, records, stored, ["seq"])
-    pt.append_points(old, path, 1)
-    pt.append_points(incoming, path, 2)
-    pt.append_points(incoming, path, 2)
-    return pt.current_points(spark.read.parquet(path)).select(*_point_columns())
+    store = pt.PointStore(spark, fresh_path(spark, "points"), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    store.write(old, 1, [])
+    store.write(incoming, 2, [1])
+    store.write(incoming, 2, [1])
+    return store.current([1, 2]).select(*_point_columns())
 
 
 def _accepting_writer():
