@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quillon.session import materialize
 
 WINDOW = 10
-#: Windows above this number are met by a shuffle instead of a broadcast (about 200 bytes each).
+#: Windows that travel to a scan of the documents (about 200 bytes each); a benchmark of
+#: more windows is met in blocks, one scan each.
 BROADCAST_WINDOWS = 500_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -15,52 +18,67 @@ _BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 def words(text: Column) -> Column:
     """Lower-cased runs of ASCII letters and digits and all other characters; null has none."""
-    parts = F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), _BETWEEN)
-    return F.filter(parts, lambda w: w != "")
+    return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), _BETWEEN), "")
+
+
+def _hash(place: Column, length: int) -> Column:
+    """Hash of the ``length`` words from a zero-based place on, without making the window."""
+    return F.xxhash64(F.lit(length), *(F.get("words", place + i) for i in range(length)))
 
 
-def _windows(length: Column | int) -> Column:
-    """Every run of ``length`` words, with its place, as an array."""
-    size = F.lit(length) if isinstance(length, int) else length
-    last = F.size("words") - size
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
-        i.alias("place"), F.slice("words", i + 1, size).alias("run")))).otherwise(
-        F.array().cast("array<struct<place:int,run:array<string>>>"))
+def _placed(rows: DataFrame, lengths: Sequence[int], *keep: str) -> DataFrame:
+    """A row for each place of each document (-1 stands for the document itself), and for
+    each window length a row with the hash ``h`` of the window there, null past the end.
+
+    The words are split once; a row holds a reference to them, not a copy.
+    """
+    each = rows.select(*keep, "words", F.explode_outer(F.sequence(F.lit(-1), F.size("words") - 1)).alias("place"))
+    inside = lambda n: (F.col("place") >= 0) & (F.col("place") + n <= F.size("words"))
+    if len(lengths) == 1:
+        return each.select("*", F.lit(lengths[0]).alias("long"), F.when(inside(lengths[0]), _hash(F.col("place"), lengths[0])).alias("h"))
+    hashes = F.array(*(F.struct(F.lit(n).alias("long"), F.when(inside(n), _hash(F.col("place"), n)).alias("h")) for n in lengths))
+    return each.select("*", F.explode(hashes).alias("w")).select(*each.columns, "w.long", "w.h")
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(h, run, items): each distinct window of the items with the ids that hold it.
+    """(h, run, long, items): each distinct window of the items with the ids that hold it.
 
     An item of fewer words than a window is one window; one without words has none.
     """
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("words"))
-    items = items.where(F.size("words") > 0).withColumn("long", F.least(F.size("words"), F.lit(window)))
-    runs = items.select("item", F.explode(_windows(F.col("long"))).alias("w")).select("item", F.col("w.run").alias("run"))
+    runs = None
+    for n in range(1, window + 1):
+        mine = items.where(F.size("words") >= n if n == window else F.size("words") == n)
+        placed = _placed(mine, [n], "item").where("h IS NOT NULL")
+        part = placed.select("h", "long", F.slice("words", F.greatest(F.col("place") + 1, F.lit(1)), F.lit(n)).alias("run"), "item")
+        runs = part if runs is None else runs.unionByName(part)
     # Items of one window are few: a test passage is not a key of the documents.
-    return runs.groupBy("run").agg(F.sort_array(F.collect_set("item")).alias("items")).select(
-        F.xxhash64("run").alias("h"), F.size("run").alias("long"), "run", "items")
+    return runs.groupBy("h", "long", "run").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per distinct (doc_id, text): n_words, its hits (place, length) and items.
 
-    All windows of a document are hashed and met with the benchmark's hash table inside
-    the scan's stage; a hit must agree in its words. Only hits and one row per document are
-    shuffled. ``copies`` counts equal rows.
+    All windows of a document are hashed and met with the benchmark's hashes inside the
+    scan's stage, in time linear in the text; a window is made only where a hash is met,
+    and must agree in its words. Only hits and one row per document are shuffled, whatever
+    the size of the benchmark. ``copies`` counts equal rows.
     """
     held = materialize(benchmark_windows(benchmark, window), "windows")
-    lengths = [r[0] for r in held.select("long").distinct().collect()]  # at most ``window`` values
-    table = held.select(F.col("h").alias("_h"), F.col("run").alias("_run"), "items")
-    if held.count() <= BROADCAST_WINDOWS:
-        table = F.broadcast(table)
+    lengths = sorted(r[0] for r in held.select("long").distinct().collect()) or [window]  # at most ``window`` values
+    blocks = max(1, -(-held.count() // BROADCAST_WINDOWS))
     rows = docs.select(F.col("doc_id"), F.xxhash64("text").alias("key"), F.octet_length("text").alias("bytes"), words(F.col("text")).alias("words"))
-    nothing = F.array(F.struct(F.lit(-1).alias("place"), F.lit(None).cast("array<string>").alias("run")))
-    spans = F.concat(nothing, *(_windows(n) for n in sorted(lengths)))
-    runs = rows.select("doc_id", "key", "bytes", F.size("words").alias("n_words"), F.explode(spans).alias("w")).select(
-        "doc_id", "key", "bytes", "n_words", F.col("w.place").alias("place"), F.col("w.run").alias("run"), F.xxhash64("w.run").alias("h"))
-    met = runs.join(table, (F.col("h") == F.col("_h")) & (F.col("run") == F.col("_run")), "left")
-    found = met.where("place = -1 OR items IS NOT NULL").select(
-        "doc_id", "key", "bytes", "n_words", "place", F.size("run").alias("long"), "items")
+    placed = _placed(rows, lengths, "doc_id", "key", "bytes")
+    found = None
+    for block in range(blocks):
+        table = held.where(F.pmod("h", F.lit(blocks)) == block)
+        table = F.broadcast(table.select(F.col("h").alias("_h"), F.col("run").alias("_run"), "items"))
+        same = F.slice("words", F.greatest(F.col("place") + 1, F.lit(1)), F.col("long")) == F.col("_run")
+        # The hash alone is the key of the join; only rows that meet one make their window.
+        met = placed.join(table, F.col("h") == F.col("_h"), "left").where((F.col("place") == -1) | (F.col("_h").isNotNull() & same))
+        met = met.where("place >= 0 OR long = %d" % (lengths[0] if block == 0 else -1)).select(
+            "doc_id", "key", "bytes", F.size("words").alias("n_words"), "place", "long", "items")
+        found = met if found is None else found.unionByName(met)
     hit = F.when(F.col("place") >= 0, F.struct("place", "long"))
     # Both lists are bounded by one document and by the benchmark.
     return found.groupBy("doc_id", "key", "bytes").agg(
@@ -110,14 +128,16 @@ def without_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
     What stands between words stays. Texts without hits are returned as they are.
     """
-    hits = materialize(matches(docs, benchmark, window).where(F.size("hits") > 0).select(
-        F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("bytes").alias("_bytes"), F.col("hits").alias("_hits")), "hits")
-    same = docs["doc_id"].eqNullSafe(hits["_id"]) & (F.xxhash64(docs["text"]) == hits["_key"]) & F.octet_length(docs["text"]).eqNullSafe(hits["_bytes"])
-    met = docs.join(hits, same, "left")
+    hits = materialize(matches(docs, benchmark, window).where(F.size("hits") > 0).select("doc_id", "key", "bytes", "hits"), "hits")
+    # Columns of the documents stay in a struct, so that their names can't clash.
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).alias("d")
+    text, h = F.col("row.text"), hits.alias("h")
+    same = F.col("row.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.xxhash64(text) == F.col("h.key")) & F.octet_length(text).eqNullSafe(F.col("h.bytes"))
+    met = rows.join(h, same, "left").select("row", "hits")
     own = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
-    runs, gaps = F.regexp_extract_all("text", F.lit(own), F.lit(0)), F.split("text", own)
+    runs, gaps = F.regexp_extract_all(text, F.lit(own), F.lit(0)), F.split(text, own)
     kept = F.zip_with(gaps, F.transform(runs, lambda w, i: F.when(
-        F.exists("_hits", lambda h: (h["place"] <= i) & (i < h["place"] + h["long"])), F.lit("")).otherwise(w)),
+        F.exists("hits", lambda x: (x["place"] <= i) & (i < x["place"] + x["long"])), F.lit("")).otherwise(w)),
         lambda g, w: F.concat(F.coalesce(g, F.lit("")), F.coalesce(w, F.lit(""))))
-    text = F.when(F.col("_hits").isNotNull(), F.array_join(kept, "")).otherwise(F.col("text"))
-    return met.withColumn("text", text).select(docs.columns)
+    cut = F.when(F.col("hits").isNotNull(), F.array_join(kept, "")).otherwise(text)
+    return met.select(F.col("row").withField("text", cut).alias("row")).select("row.*")

@@ -22,14 +22,35 @@ TEXT_WORDS = 40.0
 #: Different languages a model may tell apart.
 LANGUAGES = 1000
 
-_SKIPPED = re.compile(r"(?is)<(script|style|nav|noscript|template)\b.*?</\1\s*>|<!--.*?-->")
+_OPEN = re.compile(r"(?i)<(?:(script|style|nav|noscript|template)\b|!--)")
+_CLOSE = {name: re.compile(rf"(?i)</{name}\s*>") for name in ("script", "style", "nav", "noscript", "template")}
+_CLOSE[""] = re.compile("-->")
 _TAG = re.compile(r"<[^<>]*>")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def _without_skipped(page: str) -> str:
+    """The page without comments and skipped elements that are closed, each a space instead.
+
+    What has no end further on stays; it is looked for once per kind, so that the time is
+    linear in the page.
+    """
+    kept, start, at, endless = [], 0, 0, set()
+    while opened := _OPEN.search(page, at):
+        name = (opened[1] or "").lower()
+        closed = None if name in endless else _CLOSE[name].search(page, opened.end())
+        at = closed.end() if closed else opened.end()
+        if closed:
+            kept.append(page[start : opened.start()])
+            start = at
+        else:
+            endless.add(name)
+    return " ".join([*kept, page[start:]])
+
+
 def visible(page: str) -> str:
     """Text between the tags, without scripts, styles and navigation."""
-    return markup.unescape(_TAG.sub(" ", _SKIPPED.sub(" ", page)))
+    return markup.unescape(_TAG.sub(" ", _without_skipped(page)))
 
 
 def buckets(text: str) -> np.ndarray:
@@ -103,7 +124,7 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     langs, model = train(docs)
     n = len(langs)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), "^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#]+)", 1))
-    declared = F.lower(F.regexp_extract(F.coalesce("html", F.lit("")), "(?i)<html[^>]*?\\slang\\s*=\\s*[\"']?([a-zA-Z]+)", 1))
+    declared = F.lower(F.regexp_extract(F.coalesce("html", F.lit("")), "(?i)<html[^<>]*?\\slang\\s*=\\s*[\"']?([a-zA-Z]+)", 1))
     rows = pages.select("page_id", host.alias("host"), F.regexp_extract(host, "([^.]+\\.)?[^.]*$", 0).alias("suffix"), declared.alias("declared"), "html")
     if not n:
         none = F.lit(None).cast("string")

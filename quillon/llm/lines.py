@@ -163,13 +163,16 @@ def without_repeated_lines(docs: DataFrame, least: int = LEAST, id_column: str =
     aren't compared. Documents that share an id are told apart by their text; rows that
     repeat a document keep the same lines, as none is earlier. No rows give no rows.
     """
-    gone = repeated_lines(docs, least, id_column, text_column).groupBy("doc_id", "key").agg(F.collect_set("line").alias("_gone"))
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "_gone")
-    met = docs.join(gone, docs[id_column].cast("long").eqNullSafe(gone["_id"]) & (F.xxhash64(docs[text_column]) == gone["_key"]), "left")
-    lines = F.split(F.col(text_column), "\n")
-    kept = F.filter(lines, lambda _, i: ~F.array_contains(F.coalesce("_gone", F.array().cast("array<int>")), i))
-    n = F.when(F.col(text_column) != "", F.size(lines)).otherwise(0).cast("long")
-    out = met.withColumn("n_lines", n).withColumn("n_removed", F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long"))
-    own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    return out.withColumn(text_column, F.when(F.col("_gone").isNull(), F.col(text_column)).otherwise(F.array_join(kept, "\n"))).select(
-        *own, "n_lines", "n_removed")
+    gone = repeated_lines(docs, least, id_column, text_column).groupBy("doc_id", "key").agg(F.collect_set("line").alias("gone")).alias("g")
+    # Columns of the documents stay in a struct, so that their names can't clash.
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    own_id, text = F.col("row").getField(id_column).cast("long"), F.col("row").getField(text_column)
+    met = rows.join(gone, own_id.eqNullSafe(F.col("g.doc_id")) & (F.xxhash64(text) == F.col("g.key")), "left")
+    lines = F.split(text, "\n")
+    kept = F.filter(lines, lambda _, i: ~F.array_contains(F.coalesce("gone", F.array().cast("array<int>")), i))
+    n = F.when(text != "", F.size(lines)).otherwise(0).cast("long")
+    left = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(kept, "\n"))
+    row = F.col("row").withField(text_column, left).alias("row")
+    found = met.select(row, n.alias("n_lines"), F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_removed"))
+    own = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return found.select(*own, "n_lines", "n_removed")

@@ -99,11 +99,13 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, epochs
 
     Held out are rows with crc32 of the id as text divisible by 5. Of the others at most
     about ``train_rows`` are taken, by a hash of the id; they are dealt to learners of
-    LEARNER_ROWS that train apart, in a hashed order, and their weights are averaged. Null
-    ids, labels and texts are left out; without any row the weights are 0 (score 0.5).
+    LEARNER_ROWS that train apart, in a hashed order, and their weights are averaged. An id
+    counts once: of several labels or texts the least is taken. Null ids, labels and texts
+    are left out; without any row the weights are 0 (score 0.5).
     """
     known = labels.where(f"{id_column} IS NOT NULL AND {label_column} IS NOT NULL").select(
         F.col(id_column).cast("long").alias("_id"), F.col(label_column).cast("int").alias("label"))
+    known = known.groupBy("_id").agg(F.min("label").alias("label"))
     known = known.where(F.crc32(F.col("_id").cast("string").cast("binary")) % 5 != 0)
     count = known.count()
     share = min(1.0, train_rows / max(1, count))
@@ -111,7 +113,10 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, epochs
     picked = known.where(F.pmod(F.xxhash64("_id", F.lit("sample")), F.lit(1 << 20)) < int(share * (1 << 20)))
     # Bounded by ``train_rows``, whatever the number of labels.
     texts = docs.where("text IS NOT NULL").select(F.col(id_column).cast("long").alias("_doc"), "text")
-    rows = texts.join(F.broadcast(picked), F.col("_doc") == F.col("_id")).select(
+    # One row per id, so that a learner stays within its rows however often an id repeats.
+    met = texts.join(F.broadcast(picked), F.col("_doc") == F.col("_id")).groupBy("_id").agg(
+        F.min("label").alias("label"), F.min("text").alias("text"))
+    rows = met.select(
         F.pmod(F.xxhash64("_id", F.lit("learner")), F.lit(learners)).cast("int").alias("learner"),
         F.xxhash64("_id", F.lit("place")).alias("place"), "label", F.col("text").cast("binary").alias("text"))
     sample = rows.mapInArrow(_featured, "learner int, place long, label int, buckets array<int>, vals array<float>")

@@ -103,6 +103,17 @@ def test_every_stage_takes_edge_rows(spark):
 def test_near_dedup_keeps_one_row_of_each_group(spark):
     near = " ".join(f"w{i}" for i in range(90))
     rows = [(7, near, "a"), (7, near, "a"), (9, near + " more", "a"), (None, near, None), (None, near, None),
-            (3, "alone with other words", "a"), (4, "", "b"), (5, None, "b"), (8, "one text", "b"), (8, "two texts", "b")]
+            (3, "alone with other words", "a"), (4, "", "b"), (4, "", "b"), (5, None, "b"), (8, "one text", "b"), (8, "two texts", "b")]
     kept = corpus_pipeline.near_dedup(spark, as_docs(spark, rows), SF).collect()
-    assert Counter(r.doc_id for r in kept) == {7: 1, None: 2, 3: 1, 4: 1, 5: 1, 8: 1}
+    assert Counter((r.doc_id, r.text) for r in kept) == {
+        (7, near): 1, (3, "alone with other words"): 1, (4, ""): 2, (5, None): 1, (8, "one text"): 1, (8, "two texts"): 1}
+
+
+def test_near_dedup_tells_texts_of_one_id_apart(spark):
+    """Clean texts under a shared id stay; a near copy goes without the other texts of its id."""
+    texts = [" ".join(f"t{i}w{j}" for j in range(60)) for i in range(6)]
+    rows = [(8, texts[0], "a"), (8, texts[1], "a"), (2, texts[0], "a"), (8, texts[2] + " x", "a"), (None, texts[2], "a"), (None, texts[3], "a"),
+            (None, texts[3] + " y", "a"), (None, texts[4], "a"), (None, texts[4], "a"), (8, texts[5], "a")]
+    kept = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, as_docs(spark, rows), SF).collect())
+    assert kept.pop((None, texts[3]), 0) + kept.pop((None, texts[3] + " y"), 0) == 1
+    assert kept == {(2, texts[0]): 1, (8, texts[1]): 1, (8, texts[2] + " x"): 1, (None, texts[4]): 1, (8, texts[5]): 1}

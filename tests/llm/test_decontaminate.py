@@ -39,7 +39,8 @@ ITEMS = [(10, LONG), (9, "short item"), (2, " ".join(f"w{i}" for i in range(5, 1
 
 
 def frames(spark, docs=DOCS, items=ITEMS):
-    return (spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "'x' AS words", "1 AS items", "2 AS key", "3 AS h"),
+    return (spark.createDataFrame(docs, "doc_id long, text string").selectExpr(
+        "*", "'x' AS words", "1 AS items", "2 AS key", "3 AS h", "4 AS _hits", "5 AS _id", "6 AS _key", "7 AS place", "8 AS row", "9 AS hits"),
             spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS run"))
 
 
@@ -48,12 +49,26 @@ def test_against_brute_force(spark):
     assert sorted(map(tuple, found), key=str) == brute(DOCS, ITEMS)
 
 
-def test_shuffled_windows_find_the_same(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+def test_blocks_of_windows_find_the_same(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 9)
     found = decontaminate.contamination(*frames(spark)).collect()
     assert sorted(map(tuple, found), key=str) == brute(DOCS, ITEMS)
 
 
+def test_no_window_is_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 9)
+    plan = decontaminate.matches(*frames(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and plan.count("BroadcastHashJoin") > 1
+
+
+def test_very_long_text_with_many_lengths(spark):
+    items = [(n, " ".join(f"b{n}x{i}" for i in range(n))) for n in range(1, 11)]
+    text = " ".join(f"w{i % 9973}" for i in range(200_000)) + " " + " - ".join(t for _, t in items)
+    docs = [(1, text), (2, text[:50])]
+    found = decontaminate.contamination(*frames(spark, docs, items)).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_hit, r.n_items) for r in found)[0] == (1, 200_055, 55, 10)
+
+
 def test_empty_tables(spark):
     docs, items = frames(spark)
     assert decontaminate.contamination(docs.limit(0), items).count() == 0

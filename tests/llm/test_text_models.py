@@ -1,6 +1,10 @@
+import math
+import re
+import time
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from quillon.llm import language, lines, quality, queries
 
@@ -37,6 +41,65 @@ def test_ftrl_separates_and_shrinks():
     assert np.count_nonzero(w) < 100
 
 
+def plain_ftrl(rows, epochs=5, alpha=4.0, beta=1.0, l1=0.005, l2=0.05):
+    """Scorer from follow-the-regularised-leader updates, written out one coordinate at a time."""
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    def score(x):
+        return 1 / (1 + math.exp(-max(-35, min(35, sum(weight(i) * v for i, v in x.items())))))
+
+    for _ in range(epochs):
+        for x, label in rows:
+            p, old = score(x), {i: weight(i) for i in x}
+            for i, v in x.items():
+                g, before = (p - label) * v, n.get(i, 0.0)
+                n[i] = before + g * g
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(n[i]) - math.sqrt(before)) / alpha * old[i]
+    return score
+
+
+def test_quality_query_against_plain_updates(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumn("place", F.xxhash64("doc_id", F.lit("place"))).collect()
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    sparse = lambda t: {**dict(zip(*(a.tolist() for a in quality.features((t or "").encode())))), "bias": 1.0}
+    train = sorted((r for r in docs if r.doc_id in labels and zlib.crc32(str(r.doc_id).encode()) % 5), key=lambda r: r.place)
+    score = plain_ftrl([(sparse(r.text), labels[r.doc_id]) for r in train])
+    found = {r.doc_id: r.score for r in queries.QUERIES["op9_quality"](spark, sf).collect()}
+    assert len(train) > 40 and all(abs(found[r.doc_id] - score(sparse(r.text))) < 1e-4 for r in docs)
+
+
+def test_repeated_ids_train_once(spark, monkeypatch):
+    """Half of all rows under one id, with labels repeated as well, change no weight."""
+    monkeypatch.setattr(quality, "LEARNER_ROWS", 10)
+    rows = [(i, f"{'good fine' if i % 2 else 'BAD!! $$'} words {i}") for i in range(30)]
+    labels = [(i, i % 2) for i in range(30)]
+    frame = lambda r, l: (spark.createDataFrame(r, "doc_id long, text string"), spark.createDataFrame(l, "doc_id long, quality int"))
+    once = quality.fit(*frame(rows, labels))
+    often = quality.fit(*frame(rows + [rows[3]] * 40 + [(3, "zz later text")] * 5, labels + [labels[3]] * 40))
+    assert np.count_nonzero(once) and np.array_equal(once, often)
+
+
+def test_skipped_elements_in_one_pass():
+    slow = re.compile(r"(?is)<(script|style|nav|noscript|template)\b.*?</\1\s*>|<!--.*?-->")
+    import random
+
+    rng = random.Random(8)
+    parts = ["<script>", "</script >", "<SCRIPT x>", "</nav>", "<nav", "<!--", "-->", "<!-->", "a", " ", "\n", "<b>", "</style>", "<styles>", "<style>", "<template/>", "</template"]
+    for _ in range(3000):
+        page = "".join(rng.choice(parts) for _ in range(rng.randrange(25)))
+        assert language._without_skipped(page) == slow.sub(" ", page), page
+    start = time.perf_counter()
+    for unit in ("<script>", "<nav ", "<!-- ", "<script></nav>", "<", "&amp", "</script "):
+        language.visible(unit * (2_000_000 // len(unit)))
+    assert time.perf_counter() - start < 60
+
+
 def test_language_follows_all_evidence(spark):
     texts = {"en": "the house and the garden of the old king ", "de": "das haus und der garten des alten kaisers "}
     docs = spark.createDataFrame([(i, t * 5, lang) for i, (lang, t) in enumerate(texts.items())] + [(9, None, "en"), (8, "x", None)], "doc_id long, text string, lang string")
@@ -96,7 +159,7 @@ def test_lines_against_brute_force(spark):
     texts = [(1, f"{base}\nunique line number one\n\nshort"), (2, f"{base}!\n{base}\nshort"), (0, f"xx\n{base[:7]}{base[8:]}\n\n"), (3, None), (4, ""),
              (5, "\n".join([base[:12] + "Z" + base[13:], "the quick brown fox jump", "é" * 40, "é" * 39, "é" * 38])), (None, "short\nunique line number one"),
              (6, "y" * 60_000), (7, "y" * 59_999 + "z"), (7, "y" * 59_999 + "z")]
-    docs = spark.createDataFrame(texts, "doc_id long, text string").selectExpr("*", "1 AS line", "2 AS key", "3 AS h1", "4 AS n_lines")
+    docs = spark.createDataFrame(texts, "doc_id long, text string").selectExpr("*", "1 AS line", "2 AS key", "3 AS h1", "4 AS n_lines", "5 AS _gone", "6 AS _id", "7 AS _key", "8 AS gone", "9 AS row")
     place = lambda d, i: (-1 if d is None else d, i)
     every = [(place(d, i), x) for d, t in texts if t for i, x in enumerate(t.split("\n")) if x]
     near = lambda a, b: a == b or (min(len(a), len(b)) >= 16 and abs(len(a) - len(b)) < 2 and (lines.within_one(a, b) if len(a) > 100 else edits(a, b) <= 1))
