@@ -22,17 +22,24 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8) stays.
 
-    Rows that share an id are one document, of which one row stays; rows without an id stay.
+    Each row is a document, whatever its id: rows are numbered as they are written, so rows
+    that share an id are compared by their texts and rows without one take part. Of a group
+    the row with the least id stays (a null one last), of equal ids the first. Texts without
+    words are no copies of anything.
     """
-    found = materialize(minhash.near_duplicates(docs).select("doc_id", "kept"), "groups")
-    dropped = materialize(found.where(~F.col("kept")).select("doc_id").distinct(), "dropped")
-    left = docs.join(dropped, docs["doc_id"].cast("long") == dropped["doc_id"], "left_anti")
-    # Only rows of repeated ids are shuffled, one per id and task.
-    often = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    often = materialize(often.select("doc_id"), "repeated")
-    again = docs["doc_id"].cast("long") == often["doc_id"]
-    return left.join(often, again, "left_anti").unionByName(
-        left.join(often, again, "left_semi").dropDuplicates(["doc_id"]))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = materialize(docs.select(F.monotonically_increasing_id().alias("number"), row), "numbered")
+    texts = rows.select("number", F.col("row.doc_id").cast("long").alias("id"), F.col("row.text").alias("text"))
+    found = minhash.near_duplicates(texts, id_column="number").where("n_shingles > 0").select(
+        F.col("doc_id").alias("number"), F.col("component_id").alias("root"))
+    found = materialize(found, "groups")
+    # Groups of one row have nothing to lose.
+    groups = materialize(found.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("root"), "several")
+    members = found.join(groups, "root", "left_semi").join(texts.select("number", "id"), "number")
+    members = materialize(members, "members")
+    stays = members.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "number")).alias("first"))
+    dropped = materialize(members.join(stays, "root").where("number <> first.number").select("number"), "dropped")
+    return rows.join(dropped, "number", "left_anti").select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
