@@ -12,6 +12,7 @@ from quillon.registry.results import ORACLES as RESULT_ORACLES, _records
 from quillon.session import fresh_path
 from quillon.sources.results import write_result_files
 from quillon.streaming.collect import collect_stream
+from quillon.streaming.expiry import expiry_stream
 from quillon.streaming.ingest import ingest_stream
 from quillon.streaming.status import status_stream
 
@@ -44,6 +45,27 @@ def stream_status(spark, sf_dir):
     return states.select("batch_id", "state", "seq", "terminal")
 
 
+TIMEOUT_SECONDS, DELAY_SECONDS = 2 * 86400, 3600
+
+
+def stream_expiry(spark, sf_dir):
+    """Polls by the hour they were made, half an hour out of order; the query stops halfway and goes on."""
+    source = fresh_path(spark, "polls")
+    polls = _polls(spark, sf_dir).join(
+        table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("at")), "seq")
+    arrival = F.col("at").cast("double") + F.pmod("seq", F.lit(2)) * 1800
+    states, offsets = fresh_path(spark, "ended"), fresh_path(spark, "offsets")
+    middle = F.lit("2024-01-16").cast("timestamp").cast("double")
+    ended = None
+    for wave in (arrival < middle, arrival >= middle):
+        polls.where(wave).repartitionByRange(4, arrival).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(polls.schema).parquet(source)
+        ended = expiry_stream(stream, states, offsets, timeout_seconds=TIMEOUT_SECONDS, delay_seconds=DELAY_SECONDS)
+    return ended.select(
+        "batch_id", "state", F.unix_millis("ended_at").alias("ended_ms"), F.unix_millis("last_poll_at").alias("last_poll_ms")
+    )
+
+
 def stream_ingest(spark, sf_dir):
     """Order lines arrive in several files; ids repeat within and across them."""
     source = fresh_path(spark, "lines")
@@ -59,12 +81,28 @@ def stream_ingest(spark, sf_dir):
 QUERIES = {
     "stream_collect": stream_collect,
     "stream_status": stream_status,
+    "stream_expiry": stream_expiry,
     "stream_ingest": stream_ingest,
 }
 
 ORACLES = {
     "stream_collect": RESULT_ORACLES["collect_join"],
     "stream_status": JOB_STATES_SQL,
+    "stream_expiry": f"""
+        WITH p AS (SELECT user_id::VARCHAR AS batch_id, event_id AS seq, date_trunc('milliseconds', ts) AS made,
+                     CASE WHEN event_type = 'purchase' AND value > 90 THEN 'SUCCEEDED'
+                          WHEN event_type = 'error' AND value > 120 THEN 'FAILED'
+                          WHEN event_type = 'error' AND value > 100 THEN 'EXPIRED' END AS final
+                   FROM events WHERE user_id IS NOT NULL AND event_id IS NOT NULL AND ts IS NOT NULL),
+        w AS (SELECT max(made) - INTERVAL {DELAY_SECONDS} SECOND AS mark FROM p),
+        n AS (SELECT *, lead(made) OVER (PARTITION BY batch_id ORDER BY made, seq) AS following FROM p),
+        e AS (SELECT batch_id, final AS state, made AS ended_at, made AS last_poll_at, seq FROM n WHERE final IS NOT NULL
+              UNION ALL
+              SELECT batch_id, 'EXPIRED', made + INTERVAL {TIMEOUT_SECONDS} SECOND, made, NULL FROM n
+              WHERE following IS NULL OR following > made + INTERVAL {TIMEOUT_SECONDS} SECOND),
+        f AS (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY ended_at, seq) AS place FROM e)
+        SELECT batch_id, state, epoch_ms(ended_at) AS ended_ms, epoch_ms(last_poll_at) AS last_poll_ms
+        FROM f, w WHERE place = 1 AND ended_at < mark""",
     "stream_ingest": """
         SELECT DISTINCT l_orderkey || '-' || l_linenumber AS record_id, 'order ' || l_orderkey AS text,
                '{"l_orderkey":' || l_orderkey || '}' AS payload FROM lineitem""",
