@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quillon.config import DatasetSpec, Limits
 from quillon.functions.keys import request_file_name
@@ -10,6 +10,7 @@ from quillon.functions.requests import content_parts, has_content, request_line
 from quillon.operators.dedupe import top_per_key
 from quillon.operators.numbering import global_index
 from quillon.operators.state import active_batches, as_events, pending_shards
+from quillon.sources.packs import one_place, pack_index, read_packed, write_packed
 
 
 def next_shard_id(batches: DataFrame) -> DataFrame:
@@ -77,21 +78,46 @@ def request_lines(
     return joined.select("shard_id", "record_id", line.alias("line")).where("line IS NOT NULL")
 
 
-def write_request_shards(lines: DataFrame, path: str) -> None:
-    """One folder of JSON lines per shard, in id order.
+def write_request_shards(lines: DataFrame, path: str, epoch: int = 0) -> None:
+    """Request files, many shards to a pack, each shard's lines together and in id order.
 
-    A shard holds a fixed number of records, so sending it to one task is bounded.
+    A shard holds a fixed number of records, so sending it to one task is bounded. The
+    number of files follows the bytes and tasks, not the shards. Writing the shards of an
+    epoch again changes nothing that is read.
     """
-    (
-        lines.repartition("shard_id")
-        .sortWithinPartitions("shard_id", "record_id")
-        .select("shard_id", F.col("line").alias("value"))
-        .write.partitionBy("shard_id")
-        .mode("append")
-        .text(path)
+    placed = lines.repartition("shard_id").sortWithinPartitions("shard_id", "record_id")
+    write_packed(
+        placed.select(
+            F.concat(F.lit(f"{epoch}:"), F.col("shard_id").cast("string")).alias("key"),
+            F.encode(F.concat("line", F.lit("\n")), "UTF-8").alias("content"),
+        ),
+        path,
     )
 
 
+def request_index(spark: SparkSession, path: str) -> DataFrame:
+    """(epoch, shard_id, pack, offset, length) of the written shards."""
+    part = F.split("key", ":")
+    return one_place(pack_index(spark, path)).select(
+        part[0].cast("long").alias("epoch"), part[1].cast("long").alias("shard_id"), "pack", "offset", "length"
+    )
+
+
+def read_request_shards(places: DataFrame, path: str) -> DataFrame:
+    """The rows of ``places`` with ``value``, a row for each line of their shards.
+
+    ``places`` are rows of :func:`request_index`, all or some, perhaps with more columns;
+    only their byte ranges are read.
+    """
+    found = read_packed(places, path, lines=True)
+    return found.withColumn("value", F.decode("content", "UTF-8")).drop("pack", "offset", "length", "content")
+
+
+def request_files(index: DataFrame) -> DataFrame:
+    """(file_name, length): each written shard as the request file it stands for."""
+    return index.select(request_file_name(F.col("shard_id")).alias("file_name"), "length")
+
+
 def in_flight_budget(batches: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """One row: tokens in flight, free job slots and remaining tokens."""
     active = active_batches(batches).agg(

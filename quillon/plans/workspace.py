@@ -102,6 +102,18 @@ class Workspace:
     def blobs(self) -> DataFrame:
         return im.stored_blobs(self.spark, self._path("blobs"))
 
+    def request_index(self) -> DataFrame:
+        """Where each shard's requests lie (epoch, shard_id, pack, offset, length)."""
+        packed = sh.request_index(self.spark, self._path("requests"))
+        return packed.where(F.col("epoch").isin(list(self.commits())))
+
+    def requests(self, shards: DataFrame | None = None) -> DataFrame:
+        """(shard_id, value): request lines of all shards, or of those in ``shards`` (shard_id)."""
+        places = self.request_index()
+        if shards is not None:
+            places = places.join(shards.select("shard_id"), "shard_id", "left_semi")
+        return sh.read_request_shards(places, self._path("requests")).select("shard_id", "value")
+
     def state(self) -> DataFrame:
         """Current state of every record: the last snapshot plus newer events."""
         snapshots = [e for e, step in self.commits().items() if step == "compact"]
@@ -221,7 +233,7 @@ class Workspace:
             usable, assignment, self.spec, dim=self.limits.embedding_dim, model=self.model,
             blobs=self.blobs() if self.spec.needs_image else None,
         )
-        sh.write_request_shards(lines, f"{self.root}/requests/epoch={epoch}")
+        sh.write_request_shards(lines, self._path("requests"), epoch)
         shards = sh.shard_batches(assignment, self.limits)
         self._commit(
             "build_shards", epoch,
@@ -247,13 +259,11 @@ class Workspace:
     def embed(self, make_embedder: Callable[[], Embedder], results: str) -> DataFrame:
         """Answer all submitted shards in Spark, in place of a remote job; returns their polls.
 
-        Reads the request files and writes one result folder per batch.
+        Reads the packed requests and writes one result folder per batch.
         """
         active = st.active_batches(self.batches()).select("batch_id", "shard_id")
-        requests = self.spark.read.schema("value string, epoch bigint, shard_id bigint").text(
-            self._path("requests")
-        ).where(F.col("epoch").isin(list(self.commits())))
-        asked = requests.join(active, "shard_id").select("batch_id", "value")
+        places = self.request_index().join(active, "shard_id")
+        asked = sh.read_request_shards(places, self._path("requests")).select("batch_id", "value")
         answers = answer_requests(asked, make_embedder, self.limits.embedding_dim)
         write_result_files(answers, results)
         return active.select(
@@ -345,7 +355,10 @@ class Workspace:
     def reclaimable(
         self, shard_files: DataFrame, result_files: DataFrame, image_files: DataFrame, scope: str = "all"
     ) -> DataFrame:
-        """What could be deleted, by kind of artifact, from listings of the files there are."""
+        """What could be deleted, by kind of artifact, from listings of the files there are.
+
+        Shards are listed by ``request_files(self.request_index())``; a pack can go once all its shards can.
+        """
         return cl.reclaimable(
             self.batches(), self.state(), cl.artifact_files(shard_files), cl.artifact_files(result_files),
             image_files, scope,

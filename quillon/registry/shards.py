@@ -46,8 +46,8 @@ def shard_files(spark, sf_dir):
     path = fresh_path(spark, "shards")
     sh.write_request_shards(lines, path)
     body = F.from_json("value", "key string, request struct<content:struct<parts:array<struct<text:string>>>>")
-    return spark.read.text(path).select("shard_id", body.alias("b")).select(
-        F.col("shard_id").cast("long").alias("shard_id"),
+    return sh.read_request_shards(sh.request_index(spark, path), path).select("shard_id", body.alias("b")).select(
+        "shard_id",
         F.col("b.key").alias("record_id"),
         F.md5(F.col("b.request.content.parts")[0]["text"]).alias("text_md5"),
     )

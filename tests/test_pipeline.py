@@ -16,6 +16,7 @@ from quillon.operators import fetch as fe
 from quillon.operators import images as im
 from quillon.operators.cleanup import artifact_files
 from quillon.operators.embed import hashed_words
+from quillon.operators.shards import request_files
 from quillon.plans.workspace import Workspace
 from quillon.sources.files import list_files, read_blobs, read_images
 from quillon.sources.results import attach_batches, read_result_lines, unknown_lines, write_result_files
@@ -160,8 +161,7 @@ def test_text_pipeline(spark, tmp_path):
 
     results = tmp_path / "results"
     results.mkdir()
-    requests = spark.read.text(str(tmp_path / "ws" / "requests"))
-    answer(requests, results, fail={"k03"})
+    answer(ws.requests(), results, fail={"k03"})
 
     for expected in ([0, 1], [2]):
         admitted = ws.admit()
@@ -193,8 +193,7 @@ def test_text_pipeline(spark, tmp_path):
     assert ws.build_shards().first().shard_id == 3
     ws.submitted(spark.createDataFrame([(3, "jobs/3")], "shard_id bigint, batch_id string"))
     ws.polled(spark.createDataFrame([("jobs/3", 3, "JOB_STATE_SUCCEEDED")], "batch_id string, seq bigint, job_state string"))
-    requests = spark.read.text(str(tmp_path / "ws" / "requests"))
-    answer(requests, results)
+    answer(ws.requests(), results)
     assert tuple(ws.collect(str(results)).first())[:2] == (10, 0)
     assert tuple(ws.upsert().first()) == (10, 0)
     report = {r.check: (r.status, r.ok, r.n) for r in ws.verify(functools.partial(hashed_words, DIM)).collect()}
@@ -248,7 +247,7 @@ def test_picture_pipeline(spark, tmp_path):
     assert counts == {"ok": 2, "failed_404": 1, "failed_other": 1}
     assert ws.blobs().count() == 1
     assert [r.record_count for r in ws.build_shards().collect()] == [2]
-    line = json.loads(spark.read.option("recursiveFileLookup", "true").text(str(tmp_path / "urls" / "requests")).first().value)
+    line = json.loads(ws.requests().first().value)
     assert line["request"]["content"]["parts"][0]["inline_data"] == {
         "mime_type": "image/png", "data": base64.b64encode(PNG + b"http://x/one").decode()}
 
@@ -344,7 +343,7 @@ def test_reclaimable_of_written_files(spark, tmp_path):
     ws.polled(ws.embed(functools.partial(hashed_words, DIM), results))
     ws.collect(results)
     ws.upsert()
-    listed = [list_files(spark, p, "*.txt") for p in (str(tmp_path / "ws" / "requests"), results)]
+    listed = [request_files(ws.request_index()), list_files(spark, results, "*.txt")]
     report = {r.artifact: r for r in ws.reclaimable(*listed, listed[0], "shards").collect()}
     for kind, files in zip(("shards", "results"), listed):
         size = files.agg(F.sum("length")).first()[0]
