@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from quillon.functions.keys import content_hash
 from quillon.operators.state import as_events
-from quillon.sources.epochs import read_or_empty
+from quillon.session import materialize
+from quillon.sources.packs import one_place, pack_index, read_packed, write_packed
 
 # PNG's colour types by number of channels.
 PNG_COLOURS = {1: 0, 3: 2, 4: 6}
@@ -20,27 +21,36 @@ PIXEL_SCHEMA = "height int, width int, n_channels int, pixels binary"
 LANCZOS_SUPPORT = 3.0
 
 
-def new_blobs(blobs: DataFrame, store: DataFrame | None = None) -> DataFrame:
-    """(sha, content) of blobs the store lacks, each once.
+#: So many hashes of new pictures travel to every task: 64 bytes each.
+MAX_HASHES = 1_000_000
 
-    Copies are merged by hash inside each task before the shuffle.
+
+def store_blobs(blobs: DataFrame, path: str) -> None:
+    """Append the pictures of a table (content) to a pack folder, found by hash.
+
+    Copies are settled on hashes: a task packs its first copy, and the index tells which
+    of several packed copies is read. The bytes stay where they are scanned. Pictures the
+    store has already are left out as long as the hashes of the new ones are few enough
+    to travel (checked); beyond that they may be packed once more, which costs space only.
     """
-    hashed = blobs.where("content IS NOT NULL").select(
-        content_hash(F.col("content")).alias("sha"), "content"
-    )
-    unique = hashed.dropDuplicates(["sha"])
-    return unique if store is None else unique.join(store.select("sha"), "sha", "left_anti")
+    hashed = blobs.where("content IS NOT NULL").select(content_hash(F.col("content")).alias("key"), "content")
+    known = blob_index(blobs.sparkSession, path)
+    if not known.isEmpty():
+        new = hashed.select("key").distinct().join(known.select(F.col("sha").alias("key")), "key", "left_anti")
+        new = materialize(new, "hashes")
+        if new.count() <= MAX_HASHES:
+            hashed = hashed.join(F.broadcast(new), "key", "left_semi")
+    write_packed(hashed, path, once=True)
 
 
-def store_blobs(blobs: DataFrame, path: str) -> None:
-    """Append the new blobs of a table to a store folder."""
-    new = new_blobs(blobs, stored_blobs(blobs.sparkSession, path))
-    new.write.mode("append").parquet(path)
+def blob_index(spark: SparkSession, path: str) -> DataFrame:
+    """(sha, pack, offset, length) of every stored picture; empty before the first write."""
+    return one_place(pack_index(spark, path)).withColumnRenamed("key", "sha")
 
 
 def stored_blobs(spark: SparkSession, path: str) -> DataFrame:
-    """The store's table; empty before the first write."""
-    return read_or_empty(spark, path, T.StructType.fromDDL("sha string, content binary"))
+    """(sha, content) of every stored picture."""
+    return read_packed(blob_index(spark, path), path).select("sha", "content")
 
 
 def target_size(width: int, height: int, max_side: int) -> tuple[int, int]:

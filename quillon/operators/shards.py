@@ -8,9 +8,10 @@ from quillon.config import DatasetSpec, Limits
 from quillon.functions.keys import request_file_name
 from quillon.functions.requests import content_parts, has_content, request_line
 from quillon.operators.dedupe import top_per_key
+from quillon.operators.images import blob_index
 from quillon.operators.numbering import global_index
 from quillon.operators.state import active_batches, as_events, pending_shards
-from quillon.sources.packs import one_place, pack_index, read_packed, write_packed
+from quillon.sources.packs import one_place, pack_index, read_packed, with_content, write_packed
 
 
 def next_shard_id(batches: DataFrame) -> DataFrame:
@@ -55,39 +56,57 @@ def shard_batches(assignment: DataFrame, limits: Limits = Limits()) -> DataFrame
 
 def request_lines(
     records: DataFrame, assignment: DataFrame, spec: DatasetSpec, *, dim: int, model: str,
-    blobs: DataFrame | None = None,
+    blobs: str | None = None,
 ) -> DataFrame:
     """(shard_id, record_id, line) of every assigned record that has content.
 
-    ``records`` needs record_id and text; with ``blobs`` (sha, content) also image_sha.
-    Blobs are unique by hash, so a picture shared by many records is a skewed left side
-    that adaptive execution can split.
+    ``records`` needs record_id and text; with ``blobs``, the folder of a blob store, also
+    image_sha. Records then meet the store's index by hash and move to the task of their
+    shard with the place of their picture; its bytes are read there and cross no exchange.
+    A shard's lines lie together and in id order.
     """
     joined = assignment.join(records, "record_id")
     if blobs is not None:
-        # Records without a picture would all meet under the null key.
-        bare = joined.where("image_sha IS NULL").withColumn("image", F.lit(None).cast("binary"))
-        joined = joined.where("image_sha IS NOT NULL").join(
-            blobs.select(F.col("sha").alias("image_sha"), F.col("content").alias("image")),
-            "image_sha", "left",
-        ).unionByName(bare)
-    elif "image" not in records.columns:
-        joined = joined.withColumn("image", F.lit(None).cast("binary"))
+        joined = by_shard(_with_places(joined, blob_index(records.sparkSession, blobs)))
+        joined = with_content(joined, blobs).withColumnRenamed("content", "image")
+    else:
+        if "image" not in records.columns:
+            joined = joined.withColumn("image", F.lit(None).cast("binary"))
+        joined = by_shard(joined)
     parts = content_parts(spec, F.col("text"), F.col("image"))
     line = request_line(F.col("record_id"), parts, dim=dim, model=model)
     return joined.select("shard_id", "record_id", line.alias("line")).where("line IS NOT NULL")
 
 
+def by_shard(rows: DataFrame) -> DataFrame:
+    """Each shard's rows in one task, in id order; a shard holds a fixed number of records."""
+    return rows.repartition("shard_id").sortWithinPartitions("shard_id", "record_id")
+
+
+def _with_places(records: DataFrame, index: DataFrame) -> DataFrame:
+    """Records with the place of their picture, nulls for those without one.
+
+    The index is unique by hash, so a picture shared by many records is a skewed left side
+    that adaptive execution can split; records without a picture stay out of the join, where
+    all would meet under the null key.
+    """
+    rows = records.select("shard_id", "record_id", "text", "image_sha")
+    bare = rows.where("image_sha IS NULL")
+    for name, kind in (("pack", "string"), ("offset", "long"), ("length", "long")):
+        bare = bare.withColumn(name, F.lit(None).cast(kind))
+    found = rows.where("image_sha IS NOT NULL").join(index.withColumnRenamed("sha", "image_sha"), "image_sha", "left")
+    return found.unionByName(bare)
+
+
 def write_request_shards(lines: DataFrame, path: str, epoch: int = 0) -> None:
-    """Request files, many shards to a pack, each shard's lines together and in id order.
+    """Request files, many shards to a pack.
 
-    A shard holds a fixed number of records, so sending it to one task is bounded. The
-    number of files follows the bytes and tasks, not the shards. Writing the shards of an
-    epoch again changes nothing that is read.
+    ``lines`` come from :func:`request_lines`, each shard's together and in id order, and are
+    written where they lie. The number of files follows the bytes and tasks, not the
+    shards. Writing the shards of an epoch again changes nothing that is read.
     """
-    placed = lines.repartition("shard_id").sortWithinPartitions("shard_id", "record_id")
     write_packed(
-        placed.select(
+        lines.select(
             F.concat(F.lit(f"{epoch}:"), F.col("shard_id").cast("string")).alias("key"),
             F.encode(F.concat("line", F.lit("\n")), "UTF-8").alias("content"),
         ),

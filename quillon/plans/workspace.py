@@ -231,7 +231,7 @@ class Workspace:
         assignment = materialize(sh.assign_shards(usable, self.batches(), self.limits), "assignment")
         lines = sh.request_lines(
             usable, assignment, self.spec, dim=self.limits.embedding_dim, model=self.model,
-            blobs=self.blobs() if self.spec.needs_image else None,
+            blobs=self._path("blobs") if self.spec.needs_image else None,
         )
         sh.write_request_shards(lines, self._path("requests"), epoch)
         shards = sh.shard_batches(assignment, self.limits)

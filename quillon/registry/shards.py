@@ -8,7 +8,7 @@ from quillon.config import DatasetSpec, Limits
 from quillon.functions.keys import base64_text, content_hash, zero_padded
 from quillon.functions.requests import content_parts, has_content, request_line
 from quillon.operators import shards as sh
-from quillon.operators.images import store_blobs, stored_blobs
+from quillon.operators.images import store_blobs
 from quillon.operators.normalize import normalize
 from quillon.registry.fixtures import DOCUMENTS, ORDER_BATCHES_SQL, order_batches, table
 from quillon.session import fresh_path
@@ -116,9 +116,7 @@ def image_requests(spark, sf_dir):
     records = own.unionByName(lang)
     assignment = sh.assign_shards(records, table(spark, sf_dir, "region").select(
         F.col("r_regionkey").alias("shard_id")), LIMITS)
-    lines = sh.request_lines(
-        records, assignment, spec, dim=64, model="models/embedder", blobs=stored_blobs(spark, path)
-    )
+    lines = sh.request_lines(records, assignment, spec, dim=64, model="models/embedder", blobs=path)
     parts = F.from_json(
         "line", "request struct<content:struct<parts:array<struct<text:string,inline_data:struct<data:string>>>>>"
     )["request"]["content"]["parts"]

@@ -29,6 +29,8 @@ ARROW_INDEX = pa.schema([("pack", pa.string()), ("key", pa.string()), ("offset",
 PACK_BYTES = 128 << 20
 #: Bytes a reader hands on at a time.
 BATCH_BYTES = 8 << 20
+#: Packs a reading task keeps open.
+OPEN_PACKS = 32
 
 
 def filesystem(path: str) -> tuple[fs.FileSystem, str]:
@@ -159,7 +161,14 @@ def one_place(index: DataFrame) -> DataFrame:
 def _contents(batches: Iterator[pa.RecordBatch], path: str, lines: bool) -> Iterator[pa.RecordBatch]:
     """The rows with their bytes, or with one line of them each, in batches of bounded size."""
     files, base = filesystem(path)
-    name = source = None
+    opened: dict[str, pa.NativeFile] = {}
+
+    def read(pack: str, offset: int, length: int) -> bytes:
+        if pack not in opened:
+            if len(opened) >= OPEN_PACKS:
+                opened.pop(next(iter(opened))).close()
+            opened[pack] = files.open_input_file(f"{base}/data/{pack}")
+        return opened[pack].read_at(length, offset)
 
     def packed(batch: pa.RecordBatch, rows: list[int], found: list[bytes | None]) -> pa.RecordBatch:
         kept = batch.take(pa.array(rows, pa.int64()))
@@ -174,11 +183,7 @@ def _contents(batches: Iterator[pa.RecordBatch], path: str, lines: bool) -> Iter
                 rows.append(i)
                 found.append(None)
                 continue
-            if pack != name:
-                if source is not None:
-                    source.close()
-                name, source = pack, files.open_input_file(f"{base}/data/{pack}")
-            data = source.read_at(length, offset)
+            data = read(pack, offset, length)
             pieces = data.removesuffix(b"\n").split(b"\n") if lines else [data]
             for piece in pieces:
                 rows.append(i)
@@ -189,7 +194,7 @@ def _contents(batches: Iterator[pa.RecordBatch], path: str, lines: bool) -> Iter
                     rows, found, size = [], [], 0
         if rows:
             yield packed(batch, rows, found)
-    if source is not None:
+    for source in opened.values():
         source.close()
 
 

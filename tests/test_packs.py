@@ -5,6 +5,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from quillon.config import DatasetSpec
+from quillon.functions.keys import content_hash
+from quillon.operators import images as im
 from quillon.operators import shards as sh
 from quillon.sources import packs as pk
 
@@ -69,6 +72,7 @@ def test_files_do_not_follow_the_shards(spark, tmp_path):
     lines = spark.range(3000).select(
         F.floor(F.col("id") / 5).cast("long").alias("shard_id"), F.format_string("r%05d", "id").alias("record_id"),
         F.concat(F.lit('{"é": '), F.col("id").cast("string"), F.lit("}")).alias("line"))
+    lines = sh.by_shard(lines)
     sh.write_request_shards(lines, path, epoch=3)
     sh.write_request_shards(lines, path, epoch=3)  # a step that crashed behind its write is repeated
     places = sh.request_index(spark, path)
@@ -91,3 +95,25 @@ def test_one_shard_reads_its_bytes_only(spark, tmp_path):
     with open(f"{path}/data/{files(path)[0]}", "r+b") as pack:
         pack.truncate(5)
     assert bytes(pk.read_packed(place, path).first().content) == b"first"
+
+
+def test_pictures_cross_no_exchange(spark, tmp_path):
+    path = str(tmp_path / "blobs")
+    pictures = spark.createDataFrame([(f"r{i:02d}", f"t{i}", bytes([i % 4]) * 50) for i in range(20)],
+                                     "record_id string, text string, content binary")
+    im.store_blobs(pictures, path)
+    sizes = len(files(path))
+    im.store_blobs(pictures, path)  # all known: no new pack
+    assert len(files(path)) == sizes
+    assert {bytes(r.content) for r in im.stored_blobs(spark, path).collect()} == {bytes([i]) * 50 for i in range(4)}
+    records = pictures.select("record_id", "text", content_hash(F.col("content")).alias("image_sha")).unionByName(
+        spark.createDataFrame([("bare", "no picture", None), ("lost", "", "gone")], "record_id string, text string, image_sha string"))
+    records.write.parquet(str(tmp_path / "records"))
+    records = spark.read.parquet(str(tmp_path / "records"))
+    assignment = records.select("record_id", (F.crc32("record_id") % 3).alias("shard_id"))
+    lines = sh.request_lines(records, assignment, DatasetSpec(dataset="d", image_column="i"), dim=8, model="m", blobs=path)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    # The map that reads the pictures stands above every exchange.
+    assert plan.index("MapInArrow") < plan.index("Exchange")
+    assert "content" not in plan[plan.index("Exchange"):]
+    assert {r.record_id for r in lines.collect()} == {f"r{i:02d}" for i in range(20)} | {"bare"}
