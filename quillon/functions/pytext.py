@@ -80,19 +80,27 @@ def _timestamp_text(value: Column) -> Column:
     return F.when(value == F.date_trunc("second", value), whole).otherwise(micros)
 
 
-def payload_json(spec: DatasetSpec, schema: T.StructType) -> Column:
-    """Payload object of a row; requested columns the table lacks are null.
+def payload_fields(spec: DatasetSpec, schema: T.StructType) -> dict[str, T.DataType | None]:
+    """Name and type of each payload column in order, no type for requested ones a table lacks.
 
-    An image column travels as its URL; picture bytes stay out of the payload.
+    The id stays out, and so does a picture that is stored as bytes: it travels as its URL
+    or not at all.
     """
     types = {f.name: f.dataType for f in schema.fields}
-    image = spec.image_column
-    stored = image in types and not isinstance(types[image], T.StringType)
-    names = [n for n in spec.payload_columns(schema.names) if not (stored and n == image)]
-    if not names:
+    left_out = set(spec.payload.exclude) | {spec.id_column}
+    if not isinstance(types.get(spec.image_column, T.StringType()), T.StringType):
+        left_out.add(spec.image_column)
+    requested = types if spec.payload.include is None else dict.fromkeys(spec.payload.include)
+    return {name: types.get(name) for name in requested if name not in left_out}
+
+
+def payload_json(spec: DatasetSpec, schema: T.StructType) -> Column:
+    """Payload object of a row; requested columns the table lacks are null."""
+    fields = payload_fields(spec, schema)
+    if not fields:
         return F.lit("{}")
     values = [
-        (json_scalar(F.col(f"`{n}`"), types[n]) if n in types else F.lit(None).cast("string")).alias(n)
-        for n in names
+        (F.lit(None).cast("string") if kind is None else json_scalar(F.col(f"`{name}`"), kind)).alias(name)
+        for name, kind in fields.items()
     ]
     return F.to_json(F.struct(*values), {"ignoreNullFields": "false"})

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from quillon.config import INDEX_TYPES, DatasetSpec, SpecError
+from quillon.functions.pytext import payload_fields
 
 IMAGE_TYPES = (T.StringType, T.BinaryType)
 
@@ -59,7 +60,7 @@ def require_valid(df: DataFrame, spec: DatasetSpec) -> None:
 
 def unreachable_indexes(df: DataFrame, spec: DatasetSpec) -> list[str]:
     """Indexed columns that never reach the payload (accepted, but useless)."""
-    stored = set(spec.payload_columns(df.columns))
+    stored = payload_fields(spec, df.schema)
     return [c for c in spec.payload.indexes if c not in stored]
 
 
