@@ -10,6 +10,7 @@ from quillon.functions.requests import content_parts, has_content, request_line
 from quillon.operators import shards as sh
 from quillon.operators.images import store_blobs
 from quillon.operators.normalize import normalize
+from quillon.operators.schedule import admission_schedule
 from quillon.registry.fixtures import DOCUMENTS, ORDER_BATCHES_SQL, order_batches, table
 from quillon.session import fresh_path
 
@@ -153,6 +154,12 @@ def admission_tight(spark, sf_dir):
     return sh.admission_round(_waiting(spark, sf_dir), limits)
 
 
+def schedule(spark, sf_dir):
+    """Rounds of nine slots and 9,000 tokens, followed in blocks of 1,000 shards."""
+    limits = Limits(max_enqueued_tokens=9_000)
+    return admission_schedule(_waiting(spark, sf_dir), limits, block_size=1000)
+
+
 def oversized(spark, sf_dir):
     return sh.oversized_shards(order_batches(spark, sf_dir), Limits(max_enqueued_tokens=2_000)).select(
         "shard_id", "est_tokens"
@@ -189,6 +196,7 @@ QUERIES = {
     "in_flight_budget": in_flight,
     "admission_round": admission,
     "admission_tight": admission_tight,
+    "admission_schedule": schedule,
     "oversized_shards": oversized,
     "cost_estimate": cost,
     "request_file_names": file_names,
@@ -260,6 +268,17 @@ ORACLES = {
         FROM ({ORDER_BATCHES_SQL}) WHERE state = 'SUBMITTED'""",
     "admission_round": _admission_sql(9, 18000),
     "admission_tight": _admission_sql(60, 40000),
+    "admission_schedule": f"""
+        WITH RECURSIVE q AS (
+          SELECT shard_id, est_tokens, row_number() OVER w AS i, sum(est_tokens) OVER w AS spent
+          FROM ({ORDER_BATCHES_SQL}) WHERE est_tokens <= 9000 WINDOW w AS (ORDER BY shard_id ROWS UNBOUNDED PRECEDING)),
+        f AS (SELECT a.i, max(b.i) + 1 AS following FROM q a JOIN q b
+              ON b.i BETWEEN a.i AND a.i + 8 AND b.spent <= a.spent - a.est_tokens + 9000 GROUP BY 1),
+        r(i, following, round) AS (
+          SELECT i, following, 0 FROM f WHERE i = 1
+          UNION ALL SELECT f.i, f.following, r.round + 1 FROM r JOIN f ON f.i = r.following)
+        SELECT q.shard_id, q.est_tokens::BIGINT AS est_tokens, r.round::BIGINT AS round
+        FROM r JOIN q ON q.i >= r.i AND q.i < r.following""",
     "oversized_shards": f"""
         SELECT shard_id, est_tokens FROM ({ORDER_BATCHES_SQL}) WHERE state = 'PENDING' AND est_tokens > 2000""",
     "cost_estimate": """
