@@ -81,6 +81,11 @@ def _needed(batches: Iterator[pa.RecordBatch], base, reach, floor, group, parts,
                     names=["id", "v", "g", "part", "block", "asks"])
 
 
+def _saturated(a: np.ndarray, b: np.ndarray) -> int:
+    """Inner product in integers of any size, then the nearest one of 64 bits."""
+    return min(max(sum(x * y for x, y in zip(a.tolist(), b.tolist())), -(1 << 63)), (1 << 63) - 1)
+
+
 def _solved(table: pa.Table, dim: int, k: int) -> pa.Table:
     """The k best of one block of vectors for each query that meets it."""
     asks = table["asks"].combine_chunks().to_numpy(zero_copy_only=False)
@@ -88,21 +93,27 @@ def _solved(table: pa.Table, dim: int, k: int) -> pa.Table:
     vectors = matrix(pa.concat_arrays(table["v"].chunks) if table["v"].num_chunks else pa.array([], pa.list_(pa.int64())), dim)
     order = np.argsort(ids[~asks], kind="stable")
     data, held = vectors[~asks][order], ids[~asks][order]
-    bound = int(np.abs(vectors).max(initial=0)) ** 2 * dim
-    if bound >= 1 << 62:
-        raise OverflowError("scores of these vectors don't fit into 64 bits")
-    exact = np.float64 if bound < 1 << 53 else np.int64
-    data = data.astype(exact).T
+    reach = np.linalg.norm(data.astype(np.float64), axis=1)
+    asked = np.linalg.norm(vectors[asks].astype(np.float64), axis=1)
+    # Partial sums stay below the product of the norms of absolute values, these same norms.
+    largest = reach.max(initial=0) * asked.max(initial=0)
+    exact = np.float64 if largest < 1 << 52 else np.int64
+    wide, data = data, data.astype(exact).T
     out: list[list] = [[], [], []]
     for start in range(0, int(asks.sum()), 256):
         asking = ids[asks][start : start + 256]
-        scores = (vectors[asks][start : start + 256].astype(exact) @ data).astype(np.int64)
+        some = vectors[asks][start : start + 256]
+        scores = (some.astype(exact) @ data).astype(np.int64)
+        # Sums wrap around in 64 bits, which is right in the end where the score fits.
+        beyond = np.outer(asked[start : start + 256], reach) >= 2.0**62 if largest >= 2.0**62 else np.zeros((0, 0))
+        for q, v in np.argwhere(beyond):
+            scores[q, v] = _saturated(some[q], wide[v])
         for query, row in zip(asking, scores):
             other = np.flatnonzero(held != query)
             if len(other) > k:
                 least = np.partition(row[other], len(other) - k)[len(other) - k]
                 other = other[row[other] >= least]
-            best = other[np.argsort(-row[other], kind="stable")[:k]]
+            best = other[np.argsort(~row[other], kind="stable")[:k]]
             out[0].append(np.full(len(best), query))
             out[1].append(held[best])
             out[2].append(row[best])
@@ -123,7 +134,8 @@ def exact_top_k(rows: DataFrame, every: int = 100, k: int = 10, scale: int = 102
 
     Vectors of different length are padded with zeros. Of a repeated query id one vector is
     asked (the least); candidates of one id are rows of their own. Fewer rows than k give
-    fewer ranks; no usable vector, no rows. Other columns are ignored.
+    fewer ranks; no usable vector, no rows. Components and scores beyond 64 bits are the nearest
+    64-bit integer. Other columns are ignored.
     """
     data = materialize(integer_vectors(rows, id_column, vector_column, scale), "vectors")
     spark = rows.sparkSession
@@ -158,6 +170,9 @@ def exact_top_k(rows: DataFrame, every: int = 100, k: int = 10, scale: int = 102
         least = products[:, cell] - radius[:, None] * lengths[cell] - reach[:, None] * distance
         floor = np.sort(least, axis=1)[:, -(k + 1)]  # one of them may be the query itself
     floor = floor - 1 - 1e-9 * np.abs(np.where(np.isfinite(floor), floor, 0))
+    # Rounding of the largest terms, and scores that end at the ends of 64 bits.
+    floor -= 1e-12 * (np.abs(products).max(axis=1) + radius * lengths.max() + reach * max((r.distance for r in nearest), default=0))
+    floor = np.where(floor <= -(2.0**63), -np.inf, np.minimum(floor, 2.0**63 * (1 - 1e-9)))
     base = products + radius[:, None] * lengths * (1 + 1e-9)
     group = _groups(points, counts, QUERY_BLOCK)
     parts = [int(np.ceil(counts[group == g].sum() / QUERY_BLOCK)) for g in range(group.max() + 1)]

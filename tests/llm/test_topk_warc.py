@@ -54,9 +54,22 @@ def test_topk_of_few_rows(spark):
     assert knn.exact_top_k(spark.createDataFrame(rows[:1], SCHEMA)).count() == 0
 
 
-def test_scores_beyond_64_bits_are_refused(spark):
-    with pytest.raises(Exception, match="64 bits"):
-        knn.exact_top_k(spark.createDataFrame([(0, [1e12] * 4), (1, [1e12] * 4)], SCHEMA)).collect()
+def test_large_components_spoil_no_other_score(spark):
+    """Scores that fit are exact beside ones that end at the ends of 64 bits."""
+    rng = random.Random(5)
+    rows = [(i, [float(rng.randrange(-9, 9)) for _ in range(4)]) for i in range(120)]
+    rows += [(200, [2.0**40] * 4), (201, [-(2.0**40)] * 4), (202, [2.0**41, 0.0, 0.0, 1.0]), (300, [2.0**30, -(2.0**30), 0.0, 0.0])]
+    got = sorted(map(tuple, knn.exact_top_k(spark.createDataFrame(rows, SCHEMA), 20, 130, pivots=8).collect()))
+    low, high = -(1 << 63), (1 << 63) - 1
+    good = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows]
+    wanted = []
+    for q, x in good:
+        if q % 20 == 0:
+            scores = sorted((-min(max(sum(a * b for a, b in zip(x, y)), low), high), i) for i, y in good if i != q)
+            wanted += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores)]
+    assert got == sorted(wanted)
+    few = sorted(map(tuple, knn.exact_top_k(spark.createDataFrame(rows, SCHEMA), 20, 3, pivots=8).collect()))
+    assert few == sorted(r for r in wanted if r[1] <= 3)
 
 
 PAGES = [(1, "http://a/é b", "<p>é</p>"), (2, "http://b", "<p>é</p>"), (3, None, None), (4, "http://d", ""), (5, "http://e", "x\r\n\r\nWARC/1.1\r\n" * 40_000),
