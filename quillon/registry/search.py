@@ -6,11 +6,13 @@ import functools
 
 from pyspark.sql import functions as F
 
-from quillon.operators import multiindex as mi, search as se
+from quillon.operators import geoindex as gi, multiindex as mi, search as se
+from quillon.operators.admitted import admitted_top_k
 from quillon.operators.embed import embed_texts, hashed_words
 from quillon.operators.normalize import normalize
 from quillon.operators.points import typed_payload, with_sketch
 from quillon.operators.sampling import seeded_sample
+from quillon.operators.textindex import build_text_index, text_matches
 from quillon.operators.verify import recall_hits, self_search_check
 from quillon.registry.fixtures import DIM, PRODUCTS, table, vectors
 
@@ -74,6 +76,30 @@ def payload_filtered_topk(spark, sf_dir):
     return found.select(*_hits())
 
 
+def text_filtered_topk(spark, sf_dir):
+    """Documents with embeddings: each query searches those that hold the first two words of its own."""
+    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), "text")
+    words = F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    own = documents.where(F.col("record_id") % 50 == 0).select(
+        F.col("record_id").alias("query_id"), F.array_join(F.slice(words, 1, 2), " ").alias("text"))
+    pairs = text_matches(build_text_index(documents), own, filter_id="query_id").withColumnRenamed("filter_id", "query_id")
+    return admitted_top_k(vectors(spark, sf_dir), _asked(spark, sf_dir), pairs, dim=DIM, k=5).select(*_hits())
+
+
+def geo_filtered(spark, sf_dir):
+    """Customers within every supplier's radius, places read from the payload's geo field."""
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    place = F.struct((nation * 14 - 170 + key * 7919 % 1000 / 500).alias("lon"), (nation * 6 - 75 + key * 1047 % 1000 / 500).alias("lat"))
+    points = table(spark, sf_dir, "customer").select(key.alias("record_id"), F.to_json(F.struct(place.alias("place"))).alias("payload"))
+    typed = typed_payload(points, {"place": "geo"}).select("record_id", "place.lon", "place.lat")
+    nation = F.col("s_nationkey")
+    circles = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("filter_id"), (nation * 14 - 169).alias("lon"), (nation * 6 - 74).alias("lat"),
+        ((F.col("s_suppkey") % 7 + 1) * 5000).alias("radius"))
+    found = gi.geo_circles(gi.build_geo_index(typed), circles)
+    return found.select(F.col("filter_id").alias("s_suppkey"), F.col("id").alias("c_custkey"), F.round(F.col("metres") / 1000, 3).alias("km"))
+
+
 def hamming_topk(spark, sf_dir):
     sketched = with_sketch(vectors(spark, sf_dir), DIM)
     return se.blocked_hamming_top_k(sketched, _asked(spark, sf_dir), dim=DIM, k=20)
@@ -136,6 +162,8 @@ QUERIES = {
     "self_search_check": self_search_summary,
     "filtered_topk": filtered_topk,
     "payload_filtered_topk": payload_filtered_topk,
+    "text_filtered_topk": text_filtered_topk,
+    "geo_filtered": geo_filtered,
     "hamming_topk": hamming_topk,
     "binary_topk": binary_topk,
     "sketch_topk": sketch_topk,
@@ -172,6 +200,29 @@ _HAMMING_SQL = f"""
             FROM ({_ASKED}) CROSS JOIN embeddings)) WHERE rank <= 20"""
 
 
+_TOKENS = r"regexp_extract_all({text}, '[\p{{L}}\p{{N}}]+')"
+
+_TEXT_FILTERED_SQL = f"""
+        WITH d AS (SELECT doc_id, {_TOKENS.format(text='lower(text)')} AS words FROM documents),
+        f AS (SELECT doc_id AS query_id, words[1:2] AS need FROM d WHERE doc_id % 50 = 0 AND len(words) > 0),
+        m AS (SELECT query_id, doc_id AS id FROM f JOIN d ON list_has_all(words, need))
+        SELECT query_id, id, round(score, 4) AS score, rank FROM (
+          SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank
+          FROM (SELECT m.query_id, m.id, round(list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 9) AS score
+                FROM m JOIN embeddings q ON q.vec_id = m.query_id JOIN embeddings e ON e.vec_id = m.id)) WHERE rank <= 5"""
+
+_GEO_SQL = """
+        WITH c AS (SELECT c_custkey, c_nationkey * 14 - 170 + c_custkey * 7919 % 1000 / 500 AS lon,
+                          c_nationkey * 6 - 75 + c_custkey * 1047 % 1000 / 500 AS lat FROM customer),
+        s AS (SELECT s_suppkey, s_nationkey * 14 - 169 AS lon, s_nationkey * 6 - 74 AS lat,
+                     (s_suppkey % 7 + 1) * 5000 AS radius FROM supplier),
+        p AS (SELECT s_suppkey, c_custkey, radius, 2 * 6371008.8 * asin(sqrt(least(1.0,
+                power(sin(radians(s.lat - c.lat) / 2), 2)
+                + cos(radians(s.lat)) * cos(radians(c.lat)) * power(sin(radians(s.lon - c.lon) / 2), 2)))) AS metres
+              FROM s CROSS JOIN c)
+        SELECT s_suppkey, c_custkey, round(metres / 1000, 3) AS km FROM p WHERE metres <= radius"""
+
+
 # Runs of anything but Unicode white space.
 _WORD = (
     r"[^\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
@@ -221,6 +272,8 @@ ORACLES = {
         "WHERE p_size >= 25 AND p_type IN ('PROMO', 'ECONOMY'))"
     ),
     "hamming_topk": _HAMMING_SQL,
+    "text_filtered_topk": _TEXT_FILTERED_SQL,
+    "geo_filtered": _GEO_SQL,
     "binary_topk": _topk_sql(5),
     "truncated_topk": _topk_sql(5, vector="list_slice(embedding, 1, 16)", query="list_slice(qv, 1, 16)"),
     "hash_embed": f"""
