@@ -17,6 +17,7 @@ from quillon.operators import batches as bt
 from quillon.operators import cleanup as cl
 from quillon.operators import fetch as fe
 from quillon.operators import images as im
+from quillon.operators import orphans as orp
 from quillon.operators import points as pt
 from quillon.operators import results as rs
 from quillon.operators import shards as sh
@@ -27,11 +28,13 @@ from quillon.operators.dedupe import insert_or_ignore
 from quillon.operators.embed import Embedder, answer_requests, embed_texts
 from quillon.operators.jobs import latest_states
 from quillon.operators.normalize import normalize, split_null_ids
+from quillon.operators.rollup import ProfileStore
 from quillon.operators.sampling import pilot, seeded_sample
 from quillon.session import materialize
 from quillon.sources.bucketed import BucketedLog
 from quillon.sources.epochs import read_epochs, read_or_empty, write_epoch
-from quillon.sources.results import POSITION, attach_batches, read_result_lines, write_result_files
+from quillon.sources.packs import one_place, pack_index
+from quillon.sources.results import POSITION, attach_batches, read_result_lines, unknown_lines, write_result_files
 
 SCHEMAS = {
     "records": "record_id string, point_id string, text string, image_url string, payload string",
@@ -67,6 +70,7 @@ class Workspace:
         n = self._layout(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
         self._vectors = BucketedLog(spark, self._path("vectors"), SCHEMAS["vectors"], "record_id", n)
         self._points = pt.PointStore(spark, self._path("points"), n)
+        self._profiles = ProfileStore(spark, self._path("profiles"))
 
     def _layout(self, buckets: int) -> int:
         schema = T.StructType.fromDDL(SCHEMAS["layout"])
@@ -168,12 +172,13 @@ class Workspace:
     # Steps.
 
     def ingest(
-        self, df: DataFrame, order: list[str], row_index: str | None = None, limit: int | None = None
+        self, df: DataFrame, order: list[str], row_index: str | None = None, limit: int | None = None, profiled: bool = False,
     ) -> DataFrame:
         """Add rows whose id is new; among copies of an id the first by ``order`` wins.
 
         ``order`` names columns of ``df``. ``limit`` takes only the first rows by the first
-        of them, for a trial. Returns one row of counts.
+        of them, for a trial. With ``profiled`` the rows read, whether new or not, count in
+        ``profile()``, for one more pass over them. Returns one row of counts.
         """
         if limit is not None:
             df = materialize(pilot(df, order[0], limit), "pilot")
@@ -194,6 +199,8 @@ class Workspace:
             self.records(), usable.drop("image"), ["record_id"], [f"_order_{c}" for c in order]
         )
         fresh = materialize(fresh, "fresh")
+        if profiled:
+            self._profiles.add(df, epoch)
         tables = {"records": fresh.select(*T.StructType.fromDDL(SCHEMAS["records"]).names)}
         if pictures:
             tables["record_events"] = im.embedded_image_events(fresh.where("had_image"), 2 * epoch)
@@ -303,7 +310,9 @@ class Workspace:
         batches = st.succeeded_batches(self.batches()).select("batch_id").join(
             self._read("collected").select("batch_id"), "batch_id", "left_anti"
         )
-        lines = attach_batches(read_result_lines(self.spark, results), batches)
+        read = read_result_lines(self.spark, results)
+        unknown = unknown_lines(read, self.batches().where("batch_id IS NOT NULL"))
+        lines = attach_batches(read, batches)
         parsed = materialize(rs.parse_result_lines(lines, self.limits.embedding_dim), "parsed")
         vectors = rs.collect_vectors(parsed, self.records(), done)
         self._vectors.write(self._vectors.placed(vectors), epoch)
@@ -312,7 +321,8 @@ class Workspace:
             record_events=rs.result_events(parsed, epoch),
             collected=parsed.select("batch_id").distinct(),
         )
-        return rs.collect_totals(parsed)
+        lost = unknown.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+        return rs.collect_totals(parsed).withColumn("unknown", lost.scalar())
 
     def upsert(self) -> DataFrame:
         """Store the points of embedded records; returns one row of counts."""
@@ -342,7 +352,7 @@ class Workspace:
         state, records, points = self.state(), self.records(), self.points()
         dim = self.limits.embedding_dim
         report = vf.count_match(state, points).unionByName(vf.spot_check(state, records, points, seed=seed))
-        report = report.unionByName(vf.self_search_check(points, dim, seed=seed))
+        report = report.unionByName(vf.self_search_check(points, dim, seed=seed)).unionByName(vf.size_check(points, dim))
         if make_embedder is None or not self.spec.template_columns:
             return report.unionByName(vf.skipped_check("cross_modal", self.spark))
         stored = state.where("upsert_status = 'ok'").select("record_id")
@@ -352,6 +362,24 @@ class Workspace:
         asked = embed_texts(sample.where(F.trim("text") != ""), make_embedder, dim)
         return report.unionByName(vf.recall_check(vf.recall_hits(sample, points, asked, dim)))
 
+    def profile(self) -> DataFrame:
+        """Profile of all rows ever ingested with ``profiled``, from the sketches of their epochs."""
+        return self._profiles.profile(self._epochs_of("ingest"))
+
+    def orphans(self, before: int) -> DataFrame:
+        """(kind, name, bytes): stored files and blobs that no committed step refers to.
+
+        Leaves out what may belong to a step begun at ``before`` (milliseconds) or later.
+        """
+        files = orp.stored_files(self.spark, self.root)
+        epochs = self.spark.createDataFrame([(e,) for e in self.commits()], "epoch bigint")
+        found = orp.orphan_epochs(files, epochs, before)
+        blobs = pack_index(self.spark, self._path("blobs"))
+        places, used = one_place(blobs), self.state().select(F.col("image_sha").alias("key"))
+        read = places.join(used.distinct(), "key", "left_semi").select("pack")
+        found = found.unionByName(orp.orphan_packs(files, self.request_index().select("pack").unionByName(read), before))
+        return found.unionByName(orp.orphan_entries(blobs, places, used))
+
     def reclaimable(
         self, shard_files: DataFrame, result_files: DataFrame, image_files: DataFrame, scope: str = "all"
     ) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quillon.config import Limits
 from quillon.operators import cleanup as cl
+from quillon.operators import orphans as orp
 from quillon.operators import state as st
 from quillon.operators import verify as vf
 from quillon.operators.embed import hashed_words
@@ -18,6 +19,7 @@ from quillon.registry.fixtures import (
 )
 from quillon.session import fresh_path, materialize
 from quillon.sources.files import list_files
+from quillon.sources.packs import one_place, pack_index, write_packed
 from quillon.sources.results import write_result_files
 
 
@@ -103,6 +105,29 @@ def file_listing(spark, sf_dir):
     return cl.artifact_files(list_files(spark, folder, "*.txt"))
 
 
+def orphans(spark, sf_dir):
+    """What crashed epochs, unread packs and unused blobs of a store made from tables hold.
+
+    Two of five order epochs were never committed; texts of every third document are stored
+    once more by a write whose entries are not used, and those of Latin documents by none.
+    """
+    root, committed = fresh_path(spark, "store"), spark.createDataFrame([(1,), (2,), (4,)], "epoch bigint")
+    orders = table(spark, sf_dir, "orders").select(F.left("o_orderpriority", F.lit(1)).cast("long").alias("epoch"), F.col("o_orderkey").cast("string").alias("value"))
+    orders.write.partitionBy("epoch").text(f"{root}/orders")
+    docs = table(spark, sf_dir, "documents").select(F.sha2("text", 256).alias("key"), F.encode("text", "UTF-8").alias("content"), "doc_id", "lang")
+    docs = docs.where("content IS NOT NULL")
+    write_packed(docs, f"{root}/blobs")
+    write_packed(docs.where("doc_id % 3 = 0").select(F.concat(F.lit("unused "), "key").alias("key"), "content"), f"{root}/blobs")
+    index = pack_index(spark, f"{root}/blobs")
+    places, used = one_place(index), docs.where("lang <> 'de'").select("key")
+    files = orp.stored_files(spark, root)
+    later = 1 << 50
+    packs = places.join(used.distinct(), "key", "left_semi").select("pack")
+    found = orp.orphan_epochs(files, committed, later).unionByName(orp.orphan_packs(files, packs, later))
+    return found.unionByName(orp.orphan_entries(index, places, used)).groupBy("kind").agg(
+        F.count_if(F.col("kind") != "pack").alias("n"), F.sum("bytes").alias("bytes"))
+
+
 def status_report(spark, sf_dir):
     """Record metrics and batches by state in one table."""
     metrics = vf.metric_rows(st.status_counts(line_states(spark, sf_dir))).select(
@@ -148,6 +173,7 @@ QUERIES = {
     "reclaimable": reclaimable,
     "reclaimable_images": reclaimable_images,
     "file_listing": file_listing,
+    "orphans": orphans,
 }
 
 _COUNT_SQL = """
@@ -210,6 +236,13 @@ ORACLES = {
     "file_listing": """
         SELECT 'jobs:é_a=b%x ' || o_orderpriority || '.jsonl' AS file_name, sum(length(o_orderkey::VARCHAR) + 1)::BIGINT AS length
         FROM orders GROUP BY 1""",
+    "orphans": """
+        WITH d AS (SELECT text, strlen(text) AS size, count(*) AS copies, bool_or(lang <> 'de') AS used, count(*) FILTER (doc_id % 3 = 0) AS more
+                   FROM documents GROUP BY text)
+        SELECT 'epoch' AS kind, count(DISTINCT left(o_orderpriority, 1)) AS n, sum(length(o_orderkey::VARCHAR) + 1)::BIGINT AS bytes
+        FROM orders WHERE left(o_orderpriority, 1) IN ('3', '5')
+        UNION ALL SELECT 'blob', count(*) FILTER (copies > 1 OR NOT used), sum((copies - used::INTEGER) * size)::BIGINT FROM d
+        UNION ALL SELECT 'pack', 0, sum(more * size)::BIGINT FROM d""",
     "cleanup_eligible_shards": _SHARDS_SQL,
     "cleanup_eligible_results": _RESULTS_SQL,
     "reclaimable": f"""

@@ -11,9 +11,10 @@ from quillon.operators.normalize import normalize, split_null_ids
 from quillon.operators.numbering import global_index
 from quillon.operators.points import typed_payload
 from quillon.operators.profile import column_roles, profile
+from quillon.operators.rollup import RANK_ERROR, ProfileStore
 from quillon.operators.sampling import most_recent, pilot, seeded_sample
 from quillon.registry.fixtures import CUSTOMERS, DOCUMENTS, PAGES, PRODUCTS, line_id, table
-from quillon.session import fresh_path
+from quillon.session import fresh_path, materialize
 from quillon.sources.tables import read_table, read_with_row_index
 
 UUID_SQL = """(SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-'
@@ -133,6 +134,29 @@ def profile_distinct(spark, sf_dir):
     return profile(lines).join(exact, "column").select("column", "exact", close.alias("close"))
 
 
+def profile_epochs(spark, sf_dir):
+    """Lines profiled in three epochs, merged from their sketches, beside what must be close."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")
+    store = ProfileStore(spark, fresh_path(spark, "profiles"))
+    for epoch in range(3):
+        store.add(lines.where(F.col("l_orderkey") % 3 == epoch), epoch)
+    merged = materialize(store.profile(top=1), "profile")
+    medians = {r.column: r.quantiles[1] for r in merged.where("quantiles IS NOT NULL").select("column", "quantiles").collect()}
+    close = []
+    for c in lines.columns:
+        below, upto = F.lit(0.5), F.lit(0.5)
+        if c in medians:
+            below, upto = F.avg((F.col(c) < medians[c]).cast("int")), F.avg((F.col(c) <= medians[c]).cast("int"))
+        close.append(F.struct(F.lit(c).alias("column"), F.count_distinct(c).alias("exact"),
+                              ((below <= 0.5 + RANK_ERROR) & (upto >= 0.5 - RANK_ERROR)).alias("median_close")))
+    exact = lines.agg(F.array(*close).alias("rows")).select(F.inline("rows"))
+    near = F.abs(F.col("approx_distinct") - F.col("exact")) <= 0.05 * F.col("exact")
+    few = F.col("exact") <= 100
+    return merged.join(exact, "column").select(
+        "column", "type", "n_rows", "n_nulls", near.alias("distinct_close"), "median_close",
+        F.when(few, F.col("top")[0]["item"]).alias("top_value"), F.when(few, F.col("top")[0]["count"]).alias("top_count"))
+
+
 def column_role_rows(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("id", F.col("doc_id").cast("string"))
     return column_roles(profile(docs.select("lang", "id", "text", "source", "n_chars"), distinct=False))
@@ -200,6 +224,7 @@ QUERIES = {
     "profile_products": profile_products,
     "profile_labelled": profile_labelled,
     "profile_distinct": profile_distinct,
+    "profile_epochs": profile_epochs,
     "column_roles": column_role_rows,
     "payload_typed_filter": typed_filter,
     "payload_typed_props": typed_props,
@@ -288,6 +313,18 @@ ORACLES = {
         UNION ALL SELECT 'l_partkey', count(DISTINCT l_partkey), true FROM lineitem
         UNION ALL SELECT 'l_returnflag', count(DISTINCT l_returnflag), true FROM lineitem
         UNION ALL SELECT 'l_shipdate', count(DISTINCT l_shipdate), true FROM lineitem""",
+    "profile_epochs": """
+        WITH n AS (SELECT count(*) AS n_rows FROM lineitem),
+        v AS (SELECT 'l_returnflag' AS "column", l_returnflag AS item, count(*) AS n FROM lineitem GROUP BY 2
+              UNION ALL SELECT 'l_linestatus', l_linestatus, count(*) FROM lineitem GROUP BY 2
+              UNION ALL SELECT 'l_quantity', CASE WHEN l_quantity = floor(l_quantity) THEN l_quantity::BIGINT || '.0' ELSE l_quantity::VARCHAR END,
+                               count(*) FROM lineitem GROUP BY 2),
+        t AS (SELECT "column", item, n, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, item) AS place FROM v)
+        SELECT c AS "column", kind AS type, n_rows, 0::BIGINT AS n_nulls, true AS distinct_close, true AS median_close,
+               item AS top_value, t.n AS top_count
+        FROM (VALUES ('l_orderkey', 'int64'), ('l_quantity', 'float64'), ('l_extendedprice', 'float64'),
+                     ('l_returnflag', 'string'), ('l_linestatus', 'string')) AS k(c, kind)
+        CROSS JOIN n LEFT JOIN t ON t."column" = c AND place = 1""",
     "column_roles": """
         SELECT * FROM (VALUES ('id', 'id'), ('lang', 'template'), ('text', 'template'),
                               ('text', 'modality')) AS t("column", role)

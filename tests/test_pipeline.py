@@ -177,6 +177,8 @@ def test_text_pipeline(spark, tmp_path):
 
     assert tuple(ws.collect(str(results)).first())[:2] == (14, 1)
     assert tuple(ws.collect(str(results)).first())[:2] == (0, 0)
+    (results / "strange.jsonl").write_text("{}\n\n{}\n")
+    assert ws.collect(str(results)).first().unknown == 2
     assert ws.vectors().count() == 14
     assert tuple(ws.upsert().first()) == (14, 0)
     assert tuple(ws.upsert().first()) == (0, 0)
@@ -198,7 +200,7 @@ def test_text_pipeline(spark, tmp_path):
     assert tuple(ws.upsert().first()) == (10, 0)
     report = {r.check: (r.status, r.ok, r.n) for r in ws.verify(functools.partial(hashed_words, DIM)).collect()}
     assert report == {"count_match": ("PASS", 24, 24), "spot_check": ("PASS", 24, 24),
-                      "self_search": ("PASS", 20, 20), "cross_modal": ("PASS", 5, 5)}
+                      "self_search": ("PASS", 20, 20), "cross_modal": ("PASS", 5, 5), "vector_size": ("PASS", 24, 24)}
     shard_files = spark.createDataFrame([(f"shard_{i:05d}.jsonl", 100) for i in range(4)], "file_name string, length bigint")
     result_files = list_files(spark, str(results)).select("file_name", "length")
     none = shard_files.where("false")
