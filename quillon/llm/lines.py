@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, functions as F
 from quillon.llm.text import mix
 from quillon.session import materialize
 
-#: Shorter lines are compared for equality alone: one edit is too much of them.
-LEAST = 16
+#: Shorter lines are compared for equality alone; every line that isn't empty has neighbours.
+LEAST = 1
 #: Parts of a line for the first sieve, over all lines, and for the second, over the rest.
 FIRST, SECOND = 2, 8
 _BASE = np.uint64(0x9E3779B97F4A7C15)

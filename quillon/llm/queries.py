@@ -134,10 +134,13 @@ ORACLES = {
           SELECT DISTINCT t, p, n, k FROM (
             SELECT *, unnest(['a' || (n // 2) || ':' || left(t, n // 2), 'a' || ((n - 1) // 2) || ':' || left(t, (n - 1) // 2),
                               'z' || ((n + 1) // 2) || ':' || right(t, (n + 1) // 2), 'z' || (n // 2) || ':' || right(t, n // 2)]) AS k
-            FROM kinds WHERE n >= 16)),
+            FROM kinds)),
         near AS (
           SELECT a.t, min(b.p) AS q FROM halves a JOIN halves b ON a.k = b.k AND a.t <> b.t AND abs(a.n - b.n) <= 1
-          WHERE levenshtein(a.t, b.t) <= 1 GROUP BY a.t),
+          WHERE levenshtein(a.t, b.t) <= 4 -- bytes, of which a character has up to four
+            AND len(list_filter(range(1, greatest(a.n, b.n) + 1), lambda i: left(a.t, i - 1) = left(b.t, i - 1)
+                                AND substr(a.t, i + (a.n >= b.n)::BIGINT) = substr(b.t, i + (b.n >= a.n)::BIGINT))) > 0
+          GROUP BY a.t),
         kept AS (
           SELECT doc_id, l.line, l.t, l.t <> '' AND least(p, coalesce(q, p)) < (doc_id, line) AS gone
           FROM l LEFT JOIN kinds ON l.t = kinds.t LEFT JOIN near ON near.t = l.t),
