@@ -13,6 +13,7 @@ from quillon.operators.state import fold_events
 from quillon.registry.fixtures import DIM, PRODUCTS, RESULT_CLASS_SQL, result_lines, table, vectors
 from quillon.registry.records import uuid_sql
 from quillon.session import fresh_path
+from quillon.sources.lines import read_lines, with_line_numbers
 from quillon.sources.results import attach_batches, read_result_lines, write_result_files
 from quillon.sources.tables import read_vectors
 
@@ -41,6 +42,17 @@ def result_split(spark, sf_dir):
     return ok.unionByName(failed)
 
 
+def split_lines(spark, sf_dir):
+    """Events written in order, a file for each type, and numbered from ranges of the files."""
+    folder = fresh_path(spark, "lines")
+    events = table(spark, sf_dir, "events").select(F.to_json(F.struct("*")).alias("value"), F.col("event_type").alias("type"), "event_id")
+    placed = events.repartition("type").sortWithinPartitions("type", "event_id").select("value", "type")
+    placed.write.partitionBy("type").text(folder)
+    numbered = with_line_numbers(read_lines(spark, folder, range_bytes=1 << 16))
+    return numbered.select(F.regexp_extract("file_path", "/type=([^/]+)/", 1).alias("event_type"), "number",
+                           F.get_json_object("value", "$.event_id").cast("long").alias("event_id"))
+
+
 def collect_totals(spark, sf_dir):
     return rs.collect_totals(_parsed(spark, sf_dir))
 
@@ -202,6 +214,7 @@ def point_keys(spark, sf_dir):
 QUERIES = {
     "parse_results": parse_results,
     "result_split": result_split,
+    "split_lines": split_lines,
     "collect_totals": collect_totals,
     "error_classes": error_classes,
     "result_states": result_states,
@@ -236,6 +249,8 @@ _SNAPSHOT_SQL = f"""
   FROM part p JOIN embeddings ON vec_id = p.p_partkey LEFT JOIN ({_INCOMING_SQL}) i ON i.p_partkey = p.p_partkey"""
 
 ORACLES = {
+    "split_lines": """
+        SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS number, event_id FROM events""",
     "parse_results": f"""
         SELECT vec_id, 'batches/' || label AS batch_id,
                CASE WHEN {_KEYED} THEN vec_id::VARCHAR END AS key, error_class,
