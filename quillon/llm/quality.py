@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -19,6 +20,8 @@ TRAIN_ROWS = 20_000
 #: Rows per learner: learners train apart and their weights are averaged.
 LEARNER_ROWS = 5_000
 THRESHOLD = 0.3
+#: Rows whose features, or whose scored copies, a task holds at a time.
+ROWS_AT_ONCE = 256
 
 _SHAPE = bytes(
     ord("A") if 65 <= c <= 90 else ord("0") if 48 <= c <= 57 else ord("a") if 97 <= c <= 122 or c >= 128 else c
@@ -72,8 +75,14 @@ class Ftrl:
         self.n[at] = grown
 
 
-def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(start, ROWS_AT_ONCE)
+
+
+def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _slices(batches):
         pairs = [features(t.as_py()) for t in batch.column("text")]
         yield pa.RecordBatch.from_arrays(
             [batch.column("learner"), batch.column("place"), batch.column("label"),
@@ -82,10 +91,11 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _trained(table: pa.Table, epochs: int) -> pa.Table:
-    table = table.sort_by([("place", "ascending"), ("label", "ascending")])
+    # Rows are read in their order from where they are: features aren't copied to sort them.
+    order = pc.sort_indices(table.select(["place", "label"]), [("place", "ascending"), ("label", "ascending")]).to_pylist()
     model = Ftrl()
-    rows = [(b.values.to_numpy(), v.values.to_numpy(), y) for b, v, y in zip(
-        table["buckets"], table["vals"], table["label"].to_pylist())]
+    labels, columns = table["label"].to_pylist(), (table["buckets"], table["vals"])
+    rows = [(*(c[i].values.to_numpy() for c in columns), labels[i]) for i in order]
     for _ in range(epochs):
         for buckets, values, label in rows:
             model.learn(buckets, values, label)
@@ -128,7 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, epochs
 
 
 def _scored(batches: Iterator[pa.RecordBatch], weights: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _slices(batches):
         scores = np.empty(batch.num_rows)
         for i, text in enumerate(batch.column(batch.num_columns - 1)):
             buckets, values = features(text.as_py())
