@@ -29,12 +29,13 @@ def points_to_upsert(
 
     ``order`` must be total within a record. Which vector wins is found on keys alone, of
     pending records alone, and the winners meet the vectors by record: over vectors that
-    are bucketed by record no vector crosses an exchange.
+    are bucketed by record no vector crosses an exchange. Both sides of every join grow with
+    the records, so none is broadcast through the driver, however small its files look.
     """
-    pending = upsert_pending(state).select("record_id")
+    pending = upsert_pending(state).select("record_id").hint("merge")
     keys = vectors.select("record_id", F.struct(*order).alias("_place")).join(pending, "record_id", "left_semi")
     wanted = keys.groupBy("record_id").agg(F.max("_place").alias("_last")).join(
-        records.select("record_id", "point_id", "payload"), "record_id")
+        records.select("record_id", "point_id", "payload").hint("merge"), "record_id")
     placed = vectors.select("record_id", "vector", F.struct(*order).alias("_place"))
     # Not an equality, so that the record stays the only join key and its buckets serve.
     met = placed.join(wanted.hint("shuffle_hash"), "record_id").where("_place >= _last")
@@ -43,12 +44,12 @@ def points_to_upsert(
 
 def upsert_skipped(state: DataFrame, vectors: DataFrame) -> DataFrame:
     """Pending records without any vector."""
-    return upsert_pending(state).join(vectors.select("record_id"), "record_id", "left_anti")
+    return upsert_pending(state).join(vectors.select("record_id").hint("merge"), "record_id", "left_anti")
 
 
 def upsert_points(points: DataFrame, incoming: DataFrame) -> DataFrame:
     """New snapshot: incoming points replace those with the same id."""
-    kept = points.join(incoming.select("point_id"), "point_id", "left_anti")
+    kept = points.join(incoming.select("point_id").hint("merge"), "point_id", "left_anti")
     return kept.unionByName(incoming)
 
 
@@ -89,7 +90,7 @@ class PointStore:
         """
         self.log.write(incoming, version)
         written = self.log.read([version]).select("record_id")
-        older = self._live(earlier, "record_id").join(written, "record_id", "left_semi")
+        older = self._live(earlier, "record_id").join(written.hint("merge"), "record_id", "left_semi")
         write_epoch(older.select("record_id", F.col("epoch").alias("version")), self._dead, version)
         return written
 

@@ -141,7 +141,7 @@ def upsert_skipped(spark, sf_dir):
 def upsert_snapshot(spark, sf_dir):
     """A snapshot of first vectors takes the last vectors of pending records."""
     state, records, stored = _store(spark, sf_dir)
-    old = stored.where("seq = 1").join(records, "record_id").select(*pt.POINT_COLUMNS)
+    old = stored.where("seq = 1").join(records.hint("merge"), "record_id").select(*pt.POINT_COLUMNS)
     incoming = pt.points_to_upsert(state, records, stored, ["seq"])
     return pt.upsert_points(old, incoming).select(*_point_columns())
 
@@ -149,7 +149,7 @@ def upsert_snapshot(spark, sf_dir):
 def upsert_log(spark, sf_dir):
     """The same through a version log, with the second upsert run twice."""
     state, records, stored = _store(spark, sf_dir)
-    old = stored.where("seq = 1").join(records, "record_id").select(*pt.POINT_COLUMNS)
+    old = stored.where("seq = 1").join(records.hint("merge"), "record_id").select(*pt.POINT_COLUMNS)
     incoming = pt.points_to_upsert(state, records, stored, ["seq"])
     store = pt.PointStore(spark, fresh_path(spark, "points"), int(spark.conf.get("spark.sql.shuffle.partitions")))
     store.write(old, 1, [])
