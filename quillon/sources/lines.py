@@ -8,7 +8,7 @@ inside files it has read before. Files are plain text, read through pyarrow's fi
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from urllib.parse import quote
 
@@ -24,10 +24,12 @@ FORMAT = "quillon_lines"
 SCHEMA = "file_path string, file_block bigint, line_no bigint, offset bigint, value string"
 ARROW_SCHEMA = pa.schema([("file_path", pa.string()), ("file_block", pa.int64()), ("line_no", pa.int64()), ("offset", pa.int64()), ("value", pa.string())])
 RANGE_BYTES = 128 << 20
+#: Bytes of ranges, however short each is, that a task reads one after the other.
+TASK_BYTES = 16 << 20
 #: Bytes read, and rows handed on, at a time.
 READ_BYTES = 4 << 20
 BATCH_ROWS = 8192
-#: Bytes looked at at a time for the last newline of a file.
+#: Bytes looked at at a time for the last newline of a file, and for the end of a range's last line.
 TAIL_BYTES = 64 << 10
 
 
@@ -48,6 +50,25 @@ def _sizes(files: fs.FileSystem, base: str) -> dict[str, int]:
     return {f.path: f.size for f in shown}
 
 
+@dataclass
+class Bundle(InputPartition):
+    """Ranges of one task."""
+
+    ranges: list[Range]
+
+
+def bundled(ranges: Iterable[Range]) -> list[Bundle]:
+    """Ranges in their order, as many to a task as make up ``TASK_BYTES``, at least one."""
+    bundles, held = [], TASK_BYTES
+    for part in ranges:
+        if held >= TASK_BYTES:
+            bundles.append(Bundle([]))
+            held = 0
+        bundles[-1].ranges.append(part)
+        held += part.stop - part.start
+    return bundles
+
+
 def cut(path: str, start: int, end: int, size: int) -> list[Range]:
     return [Range(path, at, min(at + size, end), end) for at in range(start, end, size)]
 
@@ -72,7 +93,8 @@ def _whole_lines(source: pa.NativeFile, part: Range) -> Iterator[tuple[int, byte
     at = begins = _first_line(source, part)
     rest: list[bytes] = []
     while begins < part.stop and at < part.end:
-        chunk = source.read_at(min(READ_BYTES, part.end - at), at)
+        # No more than the range and the end of its last line: ranges can be far shorter than a read.
+        chunk = source.read_at(min(READ_BYTES, part.end - at, max(part.stop - at, TAIL_BYTES)), at)
         if not chunk:
             break
         done = 0
@@ -108,19 +130,19 @@ class _Ranges:
     def __init__(self, options: dict):
         self.folder, self.size = options["path"], int(options.get("range_bytes", RANGE_BYTES))
 
-    def read(self, part: Range) -> Iterator[pa.RecordBatch]:
-        return range_lines(filesystem(self.folder)[0], part)
+    def read(self, part: Bundle) -> Iterator[pa.RecordBatch]:
+        files = filesystem(self.folder)[0]
+        for one in part.ranges:
+            yield from range_lines(files, one)
 
 
 class LineReader(_Ranges, DataSourceReader):
     """All lines there are, also a last one without its newline."""
 
-    def partitions(self) -> list[Range]:
+    def partitions(self) -> list[Bundle]:
         files, base = filesystem(self.folder)
-        return [r for path, size in sorted(_sizes(files, base).items()) for r in cut(path, 0, size, self.size)] or [Range("", 0, 0, 0)]
-
-    def read(self, part: Range) -> Iterator[pa.RecordBatch]:
-        return super().read(part) if part.path else iter(())
+        found = bundled(r for path, size in sorted(_sizes(files, base).items()) for r in cut(path, 0, size, self.size))
+        return found or [Bundle([])]
 
 
 class LineStreamReader(_Ranges, DataSourceStreamReader):
@@ -154,9 +176,9 @@ class LineStreamReader(_Ranges, DataSourceStreamReader):
                 at = begin
         return low
 
-    def partitions(self, start: dict, end: dict) -> list[Range]:
+    def partitions(self, start: dict, end: dict) -> list[Bundle]:
         begun, ends = json.loads(start["ends"]), json.loads(end["ends"])
-        return [r for path, stop in ends.items() for r in cut(path, begun.get(path, 0), stop, self.size)]
+        return bundled(r for path, stop in ends.items() for r in cut(path, begun.get(path, 0), stop, self.size))
 
     def commit(self, end: dict) -> None:
         """Nothing is kept for epochs that are done."""

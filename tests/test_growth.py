@@ -1,6 +1,9 @@
 """What a step needs on the driver or in one task doesn't grow with the tables."""
 
+from pyarrow import fs
+
 from quillon.operators import points as pt
+from quillon.sources import lines as ln
 
 
 def plan(df):
@@ -18,3 +21,41 @@ def test_upserts_broadcast_no_table(spark):
     assert sorted((r.record_id, r.vector) for r in snapshot.collect()) == [("a", [2.0]), ("b", [8.0])]
     assert [r.record_id for r in skipped.collect()] == ["c"]
     assert "Broadcast" not in plan(snapshot) and "Broadcast" not in plan(skipped)
+
+
+def test_short_ranges_share_tasks_and_reads(tmp_path, monkeypatch):
+    lines = [f"{i} " + "x" * (i % 40) for i in range(9_000)]
+    (tmp_path / "a.txt").write_text("\n".join(lines))
+    (tmp_path / "b.txt").write_text("one\n" + "y" * 300_000 + "\nthree")
+    reader = ln.LineReader({"path": str(tmp_path), "range_bytes": "100"})
+    parts = reader.partitions()
+    assert sum(len(p.ranges) for p in parts) > 1000 and len(parts) == 1
+    asked, opened = [], fs.LocalFileSystem.open_input_file
+
+    class Counted:
+        def __init__(self, source):
+            self.source = source
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.source.close()
+
+        def read_at(self, n, at):
+            asked.append(n)
+            return self.source.read_at(n, at)
+
+    class Files:
+        open_input_file = staticmethod(lambda path: Counted(opened(fs.LocalFileSystem(), path)))
+
+    monkeypatch.setattr(ln, "filesystem", lambda folder: (Files, folder))
+    monkeypatch.setattr(ln, "TAIL_BYTES", 100)
+    found = [r for b in reader.read(parts[0]) for r in b.to_pylist()]
+    assert [r["value"] for r in found if r["file_path"].endswith("a.txt")] == lines
+    assert [len(r["value"]) for r in found if r["file_path"].endswith("b.txt")] == [3, 300_000, 5]
+    assert max(asked) <= 100
+    monkeypatch.undo()
+    reader.size = 1 << 16
+    monkeypatch.setattr(ln, "TASK_BYTES", 1 << 17)
+    assert all(1 <= len(p.ranges) <= 4 for p in reader.partitions()) and len(reader.partitions()) > 1
