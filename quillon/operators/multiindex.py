@@ -201,8 +201,7 @@ def _scan(batches: Iterator[pa.RecordBatch], queries: QuerySet, floors: np.ndarr
             vectors, ids = unit_rows(list_matrix(batch.column(1), dim)), _id_array(batch.column(0))
             scores = np.full((len(queries.ids), batch.num_rows), -np.inf)
             for q in range(len(queries.ids)):
-                own = best.scores[q][-1] if len(best.scores[q]) >= k else -np.inf
-                radius = radii.of(q, max(own, floors[q]))
+                radius = radii.of(q, max(best.floors[q], floors[q]))
                 near = np.flatnonzero(np.bitwise_count(stored ^ asked[q]).sum(axis=1, dtype=np.int64) <= radius)
                 scores[q, near] = np.round(vectors[near] @ units[q], SCORE_DIGITS)
             best.add(scores, ids)

@@ -22,6 +22,8 @@ SCORE_DIGITS = 9
 MAX_BROADCAST_BYTES = 128 << 20
 BLOCK_QUERIES = 4096
 SCORE_CELLS = 4 << 20
+#: Bytes of query vectors that one scan of the corpus serves.
+SCAN_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -76,32 +78,52 @@ def _query_set(rows: pa.Table, queries: DataFrame, id_column: str, vector_column
 
 
 class _Best:
-    """Running best ``k`` of each query inside one task: higher score first, then lower id."""
+    """Running best ``k`` of each query inside one task: higher score first, then lower id.
+
+    ``floors`` holds each query's k-th best score so far, -inf while it has fewer.
+    """
 
     def __init__(self, n_queries: int, k: int):
         self.k = k
-        self.scores: list[np.ndarray] = [np.empty(0)] * n_queries
-        self.ids: list[np.ndarray] = [np.empty(0, dtype=object)] * n_queries
-
-    def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
-        floors = np.array([s[-1] if len(s) >= self.k else -np.inf for s in self.scores])
-        reached = scores >= floors[:, None]
-        for q in np.flatnonzero(reached.any(axis=1)):
-            row, keep = scores[q], np.flatnonzero(reached[q])
-            if len(keep) > self.k:
-                # Everything tied with the k-th score stays in, so ids can break the tie.
-                kth = np.partition(row[keep], len(keep) - self.k)[len(keep) - self.k]
-                keep = keep[row[keep] >= kth]
-            all_scores = np.concatenate([self.scores[q], row[keep]])
-            all_ids = np.concatenate([self.ids[q], ids[keep]])
-            best = np.lexsort((all_ids, -all_scores))[: self.k]
-            self.scores[q], self.ids[q] = all_scores[best], all_ids[best]
+        self.floors = np.full(n_queries, -np.inf)
+        self._where, self._scores, self._ids = np.empty(0, np.int64), np.empty(0), None
+
+    def _lowest(self, scores: np.ndarray) -> np.ndarray:
+        """Below this no score of a query can be among its best."""
+        lowest, few = self.floors.copy(), np.flatnonzero(np.isneginf(self.floors))
+        if len(few) and scores.shape[1] > self.k:
+            known = scores[few]
+            known = np.where(np.isnan(known), -np.inf, known)
+            if np.count_nonzero(known > -np.inf) > 4 * self.k * len(few):
+                lowest[few] = np.partition(known, -self.k, axis=1)[:, -self.k]
+        return lowest
+
+    def add(self, scores: np.ndarray, ids: np.ndarray, digits: int | None = None) -> None:
+        """Take in a row of scores per query; -inf and NaN count as none.
+
+        With ``digits`` scores are rounded before they are compared, though only those that
+        can matter: all within one unit of the last digit of the k-th stay in.
+        """
+        slack = 0.0 if digits is None else 10.0**-digits
+        lowest = np.maximum(self._lowest(scores) - slack, np.finfo(np.float64).min)
+        q, i = np.nonzero(scores >= lowest[:, None])
+        found = scores[q, i] if digits is None else np.round(scores[q, i], digits)
+        kept = found >= self.floors[q]
+        if not kept.any():
+            return
+        # Everything tied with the k-th score stays in, so ids can break the tie.
+        where = np.concatenate([self._where, q[kept]])
+        all_scores = np.concatenate([self._scores, found[kept]])
+        all_ids = ids[i[kept]] if self._ids is None else np.concatenate([self._ids, ids[i[kept]]])
+        order = np.lexsort((all_ids, -all_scores, where))
+        place = np.arange(len(order)) - np.searchsorted(where[order], where[order])
+        order, place = order[place < self.k], place[place < self.k]
+        self._where, self._scores, self._ids = where[order], all_scores[order], all_ids[order]
+        last = place == self.k - 1
+        self.floors[self._where[last]] = self._scores[last]
 
     def rows(self) -> tuple[list[int], list, list[float]]:
-        where = [q for q, s in enumerate(self.scores) for _ in s]
-        ids = [i for row in self.ids for i in row]
-        scores = [float(s) for row in self.scores for s in row]
-        return where, ids, scores
+        return self._where.tolist(), [] if self._ids is None else self._ids.tolist(), self._scores.tolist()
 
 
 def _id_array(column: pa.Array) -> np.ndarray:
@@ -116,22 +138,28 @@ def _batches(batch: pa.RecordBatch, n_queries: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, step)
 
 
-def _cosine(units: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    return np.round(units @ unit_rows(vectors).T, SCORE_DIGITS)
-
+def _scorer(
+    units: np.ndarray, query_ids: list, k: int, out_schema: pa.Schema, read, score,
+    digits: int | None = None, block: int = BLOCK_QUERIES,
+):
+    """mapInArrow body: ``score(units, read(batch))`` gives one row of scores per query.
 
-def _scorer(units: np.ndarray, query_ids: list, k: int, out_schema: pa.Schema, score):
-    """mapInArrow body: ``score(units, batch)`` gives one row of scores per query."""
+    A batch is read once and meets the queries ``block`` at a time.
+    """
+    starts = range(0, len(query_ids), block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _Best(len(query_ids), k)
-        for whole in batches if query_ids else ():
-            for batch in _batches(whole, len(query_ids)):
-                best.add(score(units, batch), _id_array(batch.column(0)))
-        where, ids, scores = best.rows()
-        columns = [[query_ids[q] for q in where], ids, scores]
-        arrays = [pa.array(c, t) for c, t in zip(columns, out_schema.types)]
-        yield pa.RecordBatch.from_arrays(arrays, schema=out_schema)
+        parts = [(units[at : at + block], _Best(len(query_ids[at : at + block]), k)) for at in starts]
+        for whole in batches if parts else ():
+            for batch in _batches(whole, min(block, len(query_ids))):
+                stored, ids = read(batch), _id_array(batch.column(0))
+                for own, best in parts:
+                    best.add(score(own, stored), ids, digits)
+        for at, (_, best) in zip(starts, parts):
+            where, ids, scores = best.rows()
+            columns = [[query_ids[at + q] for q in where], ids, scores]
+            arrays = [pa.array(c, t) for c, t in zip(columns, out_schema.types)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=out_schema)
 
     return run
 
@@ -157,15 +185,16 @@ def _ranked(scored: DataFrame, k: int) -> DataFrame:
 
 
 def _broadcast_top_k(
-    corpus: DataFrame, id_column: str, vector_column: str, dim: int, queries: QuerySet, k: int
+    corpus: DataFrame, id_column: str, vector_column: str, dim: int, queries: QuerySet, k: int,
+    block: int = BLOCK_QUERIES,
 ) -> DataFrame:
     id_type = corpus.schema[id_column].dataType.simpleString()
     ddl, out_schema = _search_schema(queries.id_type, id_type)
 
-    def score(units, batch):
-        return _cosine(units, list_matrix(batch.column(1), dim))
+    def read(batch):
+        return unit_rows(list_matrix(batch.column(1), dim)).T
 
-    body = _scorer(queries.units, queries.ids, k, out_schema, score)
+    body = _scorer(queries.units, queries.ids, k, out_schema, read, np.matmul, SCORE_DIGITS, block)
     fitting = corpus.select(id_column, vector_column).where(F.size(vector_column) == dim)
     return _ranked(fitting.mapInArrow(body, ddl), k)
 
@@ -193,13 +222,15 @@ def blocked_top_k(
 ) -> DataFrame:
     """The same search for any number of queries.
 
-    Queries are hashed into blocks of about ``block_queries``, and the corpus, which stays
-    where it is, is scanned once per block. A block's hits are written before the next one
-    starts, so the driver holds one block at a time.
+    A scan of the corpus, which stays where it is, serves as many blocks of ``block_queries``
+    as fit ``SCAN_BYTES``; queries are hashed into such scans. A scan's hits are written
+    before the next one starts, so the driver holds the queries of one scan at a time, and a
+    task scores one block at a time.
     """
+    blocks = max(1, SCAN_BYTES // (8 * dim * block_queries))
     return _by_blocks(
-        queries, query_id, query_vector, dim, block_queries,
-        lambda held: _broadcast_top_k(corpus, id_column, vector_column, dim, held, k))
+        queries, query_id, query_vector, dim, blocks * block_queries,
+        lambda held: _broadcast_top_k(corpus, id_column, vector_column, dim, held, k, block_queries))
 
 
 def cosine_top_k(
@@ -263,11 +294,13 @@ def hamming_top_k(
     id_type = corpus.schema[id_column].dataType.simpleString()
     ddl, out_schema = _search_schema(queries.id_type, id_type)
 
-    def score(signs, batch):
-        stored = _sketch_bytes(batch.column(1), dim)
+    def read(batch):
+        return _sketch_bytes(batch.column(1), dim)
+
+    def score(signs, stored):
         return -np.stack([np.bitwise_count(stored ^ q).sum(axis=1) for q in signs]).astype(np.float64)
 
-    body = _scorer(_query_bytes(queries.vectors, dim), queries.ids, k, out_schema, score)
+    body = _scorer(_query_bytes(queries.vectors, dim), queries.ids, k, out_schema, read, score)
     found = _ranked(corpus.select(id_column, sketch_column).mapInArrow(body, ddl), k)
     return found.select("query_id", "id", (-F.col("score")).cast("int").alias("distance"), "rank")
 

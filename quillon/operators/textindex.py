@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from quillon.operators.numbering import global_index
 from quillon.session import fresh_path, materialize
 
 TOKEN = r"[\p{L}\p{N}]+"
@@ -67,7 +68,7 @@ def build_text_index(texts: DataFrame, *, id_column: str = "record_id", text_col
 
 
 def blocks_of(index: TextIndex, wanted: DataFrame) -> DataFrame:
-    """(filter_id, need, token, slice, ids): blocks of the wanted tokens (filter_id, need, token).
+    """Blocks (token, slice, ids) of the wanted tokens, with the other columns of ``wanted``.
 
     Up to a checked number of distinct tokens the scan itself opens only their folders and
     row groups; beyond it the join alone selects.
@@ -81,13 +82,43 @@ def blocks_of(index: TextIndex, wanted: DataFrame) -> DataFrame:
     return blocks.drop("folder").join(wanted, "token")
 
 
-def text_matches(index: TextIndex, filters: DataFrame, *, filter_id: str = "filter_id", text: str = "text") -> DataFrame:
+@dataclass(frozen=True)
+class TermMatches:
+    """Matches without their pairs: a filter passes an id that holds all terms it needs.
+
+    ``held`` (id, terms) has one row per id that holds any needed term, ``needed`` (filter_id,
+    terms) one per filter. Both are as large as the postings and the filters, whereas pairs
+    grow with the product of texts and filters.
+    """
+
+    held: DataFrame
+    needed: DataFrame
+
+
+def term_matches(index: TextIndex, filters: DataFrame, *, filter_id: str = "filter_id", text: str = "text") -> TermMatches:
+    """What ``text_matches`` finds, as terms: every asked posting travels once, to its id."""
+    asked = filters.select(F.col(filter_id).alias("filter_id"), F.explode(tokens(F.col(text))).alias("token")).where("filter_id IS NOT NULL")
+    asked = materialize(asked.distinct(), "asked")
+    names = materialize(global_index(asked.select("token").distinct(), ["token"], "term"), "terms")
+    needed = asked.join(names, "token").groupBy("filter_id").agg(F.sort_array(F.collect_list("term")).alias("terms"))
+    postings = blocks_of(index, names).select("term", F.explode("ids").alias("id"))
+    held = postings.groupBy("id").agg(F.collect_list("term").alias("terms"))
+    return TermMatches(held, materialize(needed, "needed"))
+
+
+def text_matches(
+    index: TextIndex, filters: DataFrame, *, filter_id: str = "filter_id", text: str = "text", paired: bool = True,
+) -> DataFrame | TermMatches:
     """(filter_id, id): texts that hold every token of a filter's text, each pair once.
 
+    Without ``paired`` the same matches as :class:`TermMatches`, for a search that needs no pairs.
+
     A filter without tokens, or with a null id, passes nothing; of a repeated filter id every
     text must be met as if they were one. Slices that lack one of a filter's tokens drop out
     before any id is looked at; a group then holds, per token, the ids of one slice.
     """
+    if not paired:
+        return term_matches(index, filters, filter_id=filter_id, text=text)
     asked = filters.select(F.col(filter_id).alias("filter_id"), F.explode(tokens(F.col(text))).alias("token")).where("filter_id IS NOT NULL")
     asked = asked.distinct()
     needs = asked.groupBy("filter_id").agg(F.count(F.lit(1)).alias("need"))

@@ -82,8 +82,8 @@ def text_filtered_topk(spark, sf_dir):
     words = F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
     own = documents.where(F.col("record_id") % 50 == 0).select(
         F.col("record_id").alias("query_id"), F.array_join(F.slice(words, 1, 2), " ").alias("text"))
-    pairs = text_matches(build_text_index(documents), own, filter_id="query_id").withColumnRenamed("filter_id", "query_id")
-    return admitted_top_k(vectors(spark, sf_dir), _asked(spark, sf_dir), pairs, dim=DIM, k=5).select(*_hits())
+    matches = text_matches(build_text_index(documents), own, filter_id="query_id", paired=False)
+    return admitted_top_k(vectors(spark, sf_dir), _asked(spark, sf_dir), matches, dim=DIM, k=5).select(*_hits())
 
 
 def geo_filtered(spark, sf_dir):

@@ -1,10 +1,14 @@
 """What a step needs on the driver or in one task doesn't grow with the tables."""
 
+import numpy as np
 from pyarrow import fs
 
-from quillon.operators import points as pt
+from quillon.operators import admitted as ad, points as pt, search as se, textindex as ti
+from quillon.operators.admitted import admitted_top_k
 from quillon.sources import lines as ln
 
+from test_search import brute, frame, hits
+
 
 def plan(df):
     mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
@@ -59,3 +63,33 @@ def test_short_ranges_share_tasks_and_reads(tmp_path, monkeypatch):
     reader.size = 1 << 16
     monkeypatch.setattr(ln, "TASK_BYTES", 1 << 17)
     assert all(1 <= len(p.ranges) <= 4 for p in reader.partitions()) and len(reader.partitions()) > 1
+
+
+def test_text_filtered_search_makes_no_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [(i, " ".join(rng.choice(["red", "blue", "ring", "bolt"], 2))) for i in range(90)] + [(90, None), (None, "red")]
+    filters = [(i, t) for i, t in texts[:9]] + [(9, " - "), (10, "red absent"), (10, "blue"), (None, "red"), (11, "ring")]
+    vectors = rng.normal(size=(80, 8))
+    vectors[:30] = vectors[0]
+    index = ti.build_text_index(spark.createDataFrame(texts, "record_id long, text string"), slice_ids=20)
+    asked = spark.createDataFrame(filters, "filter_id long, text string")
+    corpus, queries = frame(spark, vectors), frame(spark, vectors[:11], "query_id")
+    pairs = ti.text_matches(index, asked).withColumnRenamed("filter_id", "query_id")
+    expected = hits(admitted_top_k(corpus, queries, pairs, dim=8, k=4))
+    matches = ti.text_matches(index, asked, paired=False)
+    monkeypatch.setattr(ad, "_scored", None)
+    for block in (4096, 3):
+        assert hits(admitted_top_k(corpus, queries, matches, dim=8, k=4, block_queries=block)) == expected != []
+    assert matches.held.count() <= 90 and matches.needed.count() <= 13
+
+
+def test_a_scan_serves_many_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    corpus = np.vstack([rng.normal(size=(150, 8)), np.repeat(rng.normal(size=(1, 8)), 60, axis=0)])
+    scans, search = [], se._broadcast_top_k
+    monkeypatch.setattr(se, "_broadcast_top_k", lambda *a: scans.append(a) or search(*a))
+    found = se.blocked_top_k(frame(spark, corpus).repartition(3), frame(spark, corpus, "query_id"), dim=8, k=5, block_queries=20)
+    assert hits(found) == brute(corpus, corpus, 5) and len(scans) == 1
+    monkeypatch.setattr(se, "SCAN_BYTES", 8 * 8 * 40)
+    found = se.blocked_top_k(frame(spark, corpus), frame(spark, corpus, "query_id"), dim=8, k=5, block_queries=20)
+    assert hits(found) == brute(corpus, corpus, 5) and len(scans) == 1 + 6
