@@ -53,7 +53,7 @@ class KeyHistory:
         suspects = materialize(placed.where(_all_set("sieve", "bits")).select("record_id", "bucket"), "suspects")
         hit = [r.bucket for r in suspects.select("bucket").distinct().collect()]  # at most ``buckets``
         seen = earlier_epochs(read_epochs(self.spark, f"{self.path}/ids", "record_id string, bucket int"), epoch)
-        return seen.where(F.col("bucket").isin(hit)).join(suspects.select("record_id"), "record_id", "left_semi").select("record_id").distinct()
+        return seen.where(F.col("bucket").isin(hit)).join(suspects.select("record_id").hint("shuffle_hash"), "record_id", "left_semi").select("record_id").distinct()
 
     def add(self, ids: DataFrame, epoch: int) -> None:
         """Store the new ids of an epoch; running the epoch again replaces them."""

@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from quillon.config import DatasetSpec
 from quillon.operators.dedupe import first_write_wins
 from quillon.operators.normalize import normalize, split_null_ids
-from quillon.session import materialize
+from quillon.session import materialize, session_setting
 from quillon.sources.epochs import read_epochs, write_epoch
 from quillon.streaming.history import KeyHistory
 from quillon.streaming.sink import run_available
 
+PARTITIONS = "spark.sql.shuffle.partitions"
+#: Rows of an epoch that a task sorts.
+TASK_ROWS = 500_000
 RECORD_SCHEMA = "record_id string, point_id string, text string, image_url string, payload string"
 
 
@@ -32,11 +35,15 @@ def ingest_stream(
     columns = [part.split()[0] for part in RECORD_SCHEMA.split(", ")]
 
     def each(batch: DataFrame, epoch: int) -> None:
-        usable, _ = split_null_ids(normalize(batch, spec))
-        first = materialize(first_write_wins(usable.select(*columns), ["record_id"], list(order)), "arrived")
+        tasks = -(-batch.count() // TASK_ROWS)
+        # A task sorts the rows it has read, and again those of its ids: both stay small.
+        usable, _ = split_null_ids(normalize(batch.repartition(tasks) if tasks > 1 else batch, spec))
+        parts = max(tasks, int(batch.sparkSession.conf.get(PARTITIONS)))
+        with session_setting(batch.sparkSession, PARTITIONS, str(parts)):
+            first = materialize(first_write_wins(usable.select(*columns), ["record_id"], list(order)), "arrived")
         history = KeyHistory(batch.sparkSession, f"{path}/history", buckets, blocks)
         known = history.known(first.select("record_id"), epoch)
-        write_epoch(first.join(known, "record_id", "left_anti"), f"{path}/records", epoch)
+        write_epoch(first.join(known.hint("shuffle_hash"), "record_id", "left_anti"), f"{path}/records", epoch)
         stored = read_epochs(batch.sparkSession, f"{path}/records", RECORD_SCHEMA)
         history.add(stored.where(F.col("epoch") == epoch).select("record_id"), epoch)
 
