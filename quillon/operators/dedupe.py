@@ -35,4 +35,4 @@ def insert_or_ignore(
     Duplicates fall before the anti join, which therefore sees unique keys on both sides.
     """
     fresh = first_write_wins(incoming, keys, order)
-    return fresh.join(state.select(*keys), list(keys), "left_anti")
+    return fresh.join(state.select(*keys).hint("merge"), list(keys), "left_anti")

@@ -90,11 +90,11 @@ def collect_vectors(
     latest = last_write_wins(ok, ["batch_id", "record_id"], list(POSITION))
     if collected is not None:
         latest = latest.join(
-            collected.select("batch_id", "record_id"), ["batch_id", "record_id"], "left_anti"
+            collected.select("batch_id", "record_id").hint("merge"), ["batch_id", "record_id"], "left_anti"
         )
     keys = ok.select("batch_id", "record_id").distinct()
-    known = keys.join(records.select("record_id"), "record_id", "left_semi").withColumn("_known", F.lit(True))
-    joined = latest.join(known, ["batch_id", "record_id"], "left")
+    known = keys.join(records.select("record_id").hint("merge"), "record_id", "left_semi").withColumn("_known", F.lit(True))
+    joined = latest.join(known.hint("merge"), ["batch_id", "record_id"], "left")
     is_known = F.coalesce("_known", F.lit(False))
     return joined.select(
         "batch_id",

@@ -65,7 +65,7 @@ def request_lines(
     shard with the place of their picture; its bytes are read there and cross no exchange.
     A shard's lines lie together and in id order.
     """
-    joined = assignment.join(records, "record_id")
+    joined = assignment.join(records.hint("merge"), "record_id")
     if blobs is not None:
         joined = by_shard(_with_places(joined, blob_index(records.sparkSession, blobs)))
         joined = with_content(joined, blobs).withColumnRenamed("content", "image")

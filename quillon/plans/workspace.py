@@ -118,22 +118,26 @@ class Workspace:
             places = places.join(shards.select("shard_id"), "shard_id", "left_semi")
         return sh.read_request_shards(places, self._path("requests")).select("shard_id", "value")
 
-    def state(self) -> DataFrame:
-        """Current state of every record: the last snapshot plus newer events."""
+    def state(self, only: DataFrame | None = None) -> DataFrame:
+        """Current state of every record, or of those in ``only`` (record_id): the last snapshot plus newer events."""
+        def picked(rows: DataFrame) -> DataFrame:
+            return rows if only is None else rows.join(only.select("record_id"), "record_id", "left_semi")
+
+        records = picked(self.records().select("record_id"))
         snapshots = [e for e, step in self.commits().items() if step == "compact"]
         if not snapshots:
-            folded = st.fold_events(self._read("record_events").drop("epoch"))
+            folded = st.fold_events(picked(self._read("record_events").drop("epoch")))
         else:
             newest = max(snapshots)
-            snapshot = self._read("state", after=newest - 1).drop("epoch")
-            inserted = self.records().select(
+            snapshot = picked(self._read("state", after=newest - 1).drop("epoch"))
+            inserted = records.select(
                 "record_id", F.lit(0).cast("long").alias("seq"), F.lit("insert").alias("event")
             )
-            newer = self._read("record_events", after=newest).drop("epoch")
-            unseen = inserted.join(snapshot.select("record_id"), "record_id", "left_anti")
+            newer = picked(self._read("record_events", after=newest).drop("epoch"))
+            unseen = inserted.join(snapshot.select("record_id").hint("merge"), "record_id", "left_anti")
             folded = st.apply_events(snapshot, newer.unionByName(st.as_events(unseen)))
         # A record exists as soon as it is ingested; without events it is all pending.
-        return self.records().select("record_id").join(folded, "record_id", "left").select(
+        return records.join(folded.hint("merge"), "record_id", "left").select(
             "record_id",
             F.coalesce("image_status", F.lit("pending")).alias("image_status"),
             "image_sha",
@@ -144,6 +148,18 @@ class Workspace:
             F.coalesce("updated_seq", F.lit(0).cast("long")).alias("updated_seq"),
         )
 
+    def _members(self, event: str, column: str, wanted: DataFrame) -> DataFrame:
+        """(record_id): records that an event ever gave one of the wanted ids, written once.
+
+        State of these alone is folded where a step changes a few shards or batches.
+        """
+        named = self._read("record_events").where(F.col("event") == event)
+        return materialize(named.join(wanted.select(column), column, "left_semi").select("record_id").distinct(), "members")
+
+    def _undone(self, failed: DataFrame, seq: int) -> DataFrame:
+        """Events that free the records of failed batches (batch_id)."""
+        return st.reset_events(self.state(self._members("submit", "batch_id", failed)), failed, seq)
+
     def batches(self) -> DataFrame:
         return bt.fold_batches(self._read("batch_events").drop("epoch"))
 
@@ -232,7 +248,7 @@ class Workspace:
         epoch = self._next_epoch()
         eligible = st.embeddable(self.state(), self.spec.modality, self.limits.max_attempts)
         content = eligible.select("record_id", "image_sha").join(
-            self.records().select("record_id", "text"), "record_id"
+            self.records().select("record_id", "text").hint("merge"), "record_id"
         )
         usable, _ = sh.split_by_content(content, self.spec, F.col("image_sha").isNotNull())
         assignment = materialize(sh.assign_shards(usable, self.batches(), self.limits), "assignment")
@@ -260,7 +276,7 @@ class Workspace:
         self._commit(
             "submitted", epoch,
             batch_events=bt.as_batch_events(sent, 2 * epoch),
-            record_events=st.submit_events(self.state(), jobs, 2 * epoch),
+            record_events=st.submit_events(self.state(self._members("assign", "shard_id", jobs)), jobs, 2 * epoch),
         )
 
     def embed(self, make_embedder: Callable[[], Embedder], results: str) -> DataFrame:
@@ -288,7 +304,7 @@ class Workspace:
         self._commit(
             "polled", epoch,
             batch_events=bt.as_batch_events(changed, 2 * epoch),
-            record_events=st.reset_events(self.state(), st.failed_batches(changed), 2 * epoch),
+            record_events=self._undone(st.failed_batches(changed), 2 * epoch),
         )
         return changed
 
@@ -300,7 +316,7 @@ class Workspace:
         self._commit(
             "cancel", epoch,
             batch_events=bt.as_batch_events(failed, 2 * epoch),
-            record_events=st.reset_events(self.state(), failed, 2 * epoch),
+            record_events=self._undone(failed, 2 * epoch),
         )
 
     def collect(self, results: str) -> DataFrame:

@@ -2,10 +2,14 @@
 
 import numpy as np
 from pyarrow import fs
+from pyspark.sql import functions as F
 
-from quillon.operators import admitted as ad, points as pt, search as se, textindex as ti
+from quillon.config import DatasetSpec, Limits
+from quillon.operators import admitted as ad, points as pt, search as se, state as st, textindex as ti
 from quillon.operators.admitted import admitted_top_k
+from quillon.plans.workspace import Workspace
 from quillon.sources import lines as ln
+from quillon.streaming import ingest
 
 from test_search import brute, frame, hits
 
@@ -93,3 +97,43 @@ def test_a_scan_serves_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(se, "SCAN_BYTES", 8 * 8 * 40)
     found = se.blocked_top_k(frame(spark, corpus), frame(spark, corpus, "query_id"), dim=8, k=5, block_queries=20)
     assert hits(found) == brute(corpus, corpus, 5) and len(scans) == 1 + 6
+
+
+def test_an_epoch_is_sorted_in_small_tasks(spark, tmp_path, monkeypatch):
+    lines = spark.createDataFrame([(f"id{i % 70}", i % 140) for i in range(200)], "id string, n int")
+    lines.coalesce(1).write.parquet(str(tmp_path / "rows"))
+    spec = DatasetSpec(dataset="lines", id_column="id", text_template="n {n}", modality="text")
+    seen, first = [], ingest.first_write_wins
+
+    def spied(rows, *keys):
+        sizes = [r[0] for r in rows.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        seen.append((max(sizes), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+        return first(rows, *keys)
+
+    monkeypatch.setattr(ingest, "TASK_ROWS", 10)
+    monkeypatch.setattr(ingest, "first_write_wins", spied)
+    stream = spark.readStream.schema(lines.schema).parquet(str(tmp_path / "rows"))
+    found = ingest.ingest_stream(stream, spec, str(tmp_path / "records"), str(tmp_path / "offsets"))
+    expected = sorted((f"id{i}", min(f"n {i}", f"n {i + 70}")) for i in range(70))
+    assert sorted((r.record_id, r.text) for r in found.collect()) == expected
+    assert len(seen) == 1 and seen[0][0] <= 20 and seen[0][1] == 20
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+
+
+def test_a_round_folds_its_own_records(spark, tmp_path, monkeypatch):
+    spec = DatasetSpec(dataset="d", id_column="id", text_template="{text}", modality="text")
+    ws = Workspace(spark, str(tmp_path / "ws"), spec, Limits(embedding_dim=8, records_per_shard=2, max_concurrent_jobs=1), buckets=2)
+    ws.ingest(spark.createDataFrame([(f"r{i}", f"text {i}") for i in range(6)], "id string, text string"), ["id"])
+    ws.build_shards()
+    jobs = spark.createDataFrame([(1, "jobs/1")], "shard_id long, batch_id string")
+    folded, fold = [], st.fold_events
+    monkeypatch.setattr(st, "fold_events", lambda events: folded.append({r[0] for r in events.select("record_id").collect()}) or fold(events))
+    ws.submitted(jobs)
+    assert folded == [{"r2", "r3"}]
+    ws.cancel(jobs)
+    assert folded[1:] == [{"r2", "r3"}]
+    ws.compact()
+    state = {r.record_id: (r.embed_status, r.embed_attempts, r.batch_id, r.shard_id) for r in ws.state().collect()}
+    assert {k for k, v in state.items() if v == ("pending", 1, None, None)} == {"r2", "r3"}
+    only = spark.createDataFrame([("r2",), ("r5",), ("none",)], "record_id string")
+    assert {r.record_id: (r.embed_status, r.embed_attempts, r.batch_id, r.shard_id) for r in ws.state(only).collect()} == {k: state[k] for k in ("r2", "r5")}
