@@ -53,6 +53,21 @@ SCHEMAS = {
 }
 
 
+#: Steps that write events of batches, each time; "settled" is a poll that freed no records.
+BATCH_STEPS = ("build_shards", "submitted", "polled", "settled", "cancel")
+#: Steps that free records of failed batches.
+RESET_STEPS = ("polled", "cancel")
+#: What a session has written for itself, folded batches and the index of requests, is read
+#: again for so long, unless a step has changed it.
+KEPT_SECONDS = 3600
+
+
+def _within(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """Rows between the least and the greatest wanted id: a filter that scans use to skip what they can."""
+    low, high = wanted.agg(F.min(column), F.max(column)).first()
+    return rows.where(F.lit(False) if low is None else F.col(column).between(low, high))
+
+
 class Workspace:
     """One dataset's pipeline: ingest, fetch, shard, submit, collect, upsert, audit."""
 
@@ -66,7 +81,11 @@ class Workspace:
         """
         self.spark, self.root, self.spec = spark, root.rstrip("/"), spec
         self.limits, self.model = limits, model
-        self._committed: dict[int, str] | None = None
+        self._committed: dict[int, str] = {}
+        self._commit_files: set[str] = set()
+        self._looked = False
+        self._folded: tuple[set[int], DataFrame, float] | None = None
+        self._indexed: tuple[list[int], DataFrame, float] | None = None
         n = self._layout(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
         self._vectors = BucketedLog(spark, self._path("vectors"), SCHEMAS["vectors"], "record_id", n)
         self._points = pt.PointStore(spark, self._path("points"), n)
@@ -86,22 +105,35 @@ class Workspace:
 
     def commits(self) -> dict[int, str]:
         """Epochs of finished steps with the step's name: one entry per step ever run."""
-        if self._committed is None:
-            schema = T.StructType.fromDDL("epoch bigint, step string")
-            rows = read_or_empty(self.spark, self._path("commits"), schema).orderBy("epoch").collect()
-            self._committed = {r.epoch: r.step for r in rows}
+        if not self._looked:
+            schema, folder = T.StructType.fromDDL("epoch bigint, step string"), self._path("commits")
+            stored = read_or_empty(self.spark, folder, schema)
+            # A commit is a file that never changes: those known are listed, but not read again.
+            names = {f.rsplit("/", 1)[-1] for f in stored.inputFiles()}
+            if new := sorted(names - self._commit_files):
+                if self._commit_files:
+                    stored = self.spark.read.schema(schema).parquet(*[f"{folder}/{name}" for name in new])
+                found = {r.epoch: r.step for r in stored.collect()}
+                self._committed = dict(sorted({**self._committed, **found}.items()))
+                self._commit_files = names
+            self._looked = True
         return self._committed
 
     def refresh(self) -> None:
         """Look for steps committed by other sessions; every step does so when it starts."""
-        self._committed = None
+        self._looked = False
 
     def _read(self, table: str, after: int = -1) -> DataFrame:
         stored = read_epochs(self.spark, self._path(table), SCHEMAS[table])
         return stored.where(F.col("epoch").isin([e for e in self.commits() if e > after]))
 
+    def _written_by(self, table: str, *steps: str, after: int = -1) -> DataFrame:
+        """Rows of a table by steps that write it each time: only their folders are looked at."""
+        epochs = [e for e, step in self.commits().items() if step in steps and e > after]
+        return read_epochs(self.spark, self._path(table), SCHEMAS[table], epochs)
+
     def records(self) -> DataFrame:
-        return self._read("records").drop("epoch")
+        return self._written_by("records", "ingest").drop("epoch")
 
     def blobs(self) -> DataFrame:
         return im.stored_blobs(self.spark, self._path("blobs"))
@@ -109,7 +141,7 @@ class Workspace:
     def request_index(self) -> DataFrame:
         """Where each shard's requests lie (epoch, shard_id, pack, offset, length)."""
         packed = sh.request_index(self.spark, self._path("requests"))
-        return packed.where(F.col("epoch").isin(list(self.commits())))
+        return packed.where(F.col("epoch").isin(self._epochs_of("build_shards")))
 
     def requests(self, shards: DataFrame | None = None) -> DataFrame:
         """(shard_id, value): request lines of all shards, or of those in ``shards`` (shard_id)."""
@@ -120,20 +152,32 @@ class Workspace:
 
     def state(self, only: DataFrame | None = None) -> DataFrame:
         """Current state of every record, or of those in ``only`` (record_id): the last snapshot plus newer events."""
+        return self._state(only)
+
+    def _state(self, only: DataFrame | None, *steps: str) -> DataFrame:
+        """With ``steps`` the newer events of these alone: right for columns that no other step sets."""
+        def events(after: int = -1) -> DataFrame:
+            logged = self._written_by("record_events", *steps, after=after) if steps else self._read("record_events", after)
+            return logged.drop("epoch")
+
+        if only is not None:
+            low, high = only.agg(F.min("record_id"), F.max("record_id")).first()
+            between = F.lit(False) if low is None else F.col("record_id").between(low, high)
+
         def picked(rows: DataFrame) -> DataFrame:
-            return rows if only is None else rows.join(only.select("record_id"), "record_id", "left_semi")
+            return rows if only is None else rows.where(between).join(only.select("record_id"), "record_id", "left_semi")
 
         records = picked(self.records().select("record_id"))
         snapshots = [e for e, step in self.commits().items() if step == "compact"]
         if not snapshots:
-            folded = st.fold_events(picked(self._read("record_events").drop("epoch")))
+            folded = st.fold_events(picked(events()))
         else:
             newest = max(snapshots)
             snapshot = picked(self._read("state", after=newest - 1).drop("epoch"))
             inserted = records.select(
                 "record_id", F.lit(0).cast("long").alias("seq"), F.lit("insert").alias("event")
             )
-            newer = picked(self._read("record_events", after=newest).drop("epoch"))
+            newer = picked(events(newest))
             unseen = inserted.join(snapshot.select("record_id").hint("merge"), "record_id", "left_anti")
             folded = st.apply_events(snapshot, newer.unionByName(st.as_events(unseen)))
         # A record exists as soon as it is ingested; without events it is all pending.
@@ -148,20 +192,38 @@ class Workspace:
             F.coalesce("updated_seq", F.lit(0).cast("long")).alias("updated_seq"),
         )
 
-    def _members(self, event: str, column: str, wanted: DataFrame) -> DataFrame:
-        """(record_id): records that an event ever gave one of the wanted ids, written once.
+    def _members(self, step: str, event: str, column: str, wanted: DataFrame) -> DataFrame:
+        """(record_id): records that an event of a step ever gave one of the wanted ids, written once, perhaps repeated.
 
         State of these alone is folded where a step changes a few shards or batches.
         """
-        named = self._read("record_events").where(F.col("event") == event)
-        return materialize(named.join(wanted.select(column), column, "left_semi").select("record_id").distinct(), "members")
+        named = _within(self._written_by("record_events", step).where(F.col("event") == event), column, wanted)
+        return materialize(named.join(wanted.select(column), column, "left_semi").select("record_id"), "members")
 
     def _undone(self, failed: DataFrame, seq: int) -> DataFrame:
         """Events that free the records of failed batches (batch_id)."""
-        return st.reset_events(self.state(self._members("submit", "batch_id", failed)), failed, seq)
+        members = self._members("submitted", "submit", "batch_id", failed)
+        return st.reset_events(self._state(members, "submitted", *RESET_STEPS), failed, seq)
 
     def batches(self) -> DataFrame:
-        return bt.fold_batches(self._read("batch_events").drop("epoch"))
+        """Current row of every batch.
+
+        Written once after each step that changes them: what this session folded before
+        meets the events of newer steps alone. Steps of other sessions that were begun
+        before, and ended after, what it folded make it fold the whole log again.
+        """
+        done = {e for e, step in self.commits().items() if step in BATCH_STEPS}
+        known, rows, until = self._folded or (set(), None, 0.0)
+        late = any(e < max(known, default=-1) for e in done - known)
+        if late or time.monotonic() > until:
+            known, rows = set(), None
+        if rows is None or done != known:
+            events = read_epochs(self.spark, self._path("batch_events"), SCHEMAS["batch_events"], done - known).drop("epoch")
+            if rows is not None:
+                events = events.unionByName(bt.as_batch_events(rows, -1))
+            rows = materialize(bt.fold_batches(events), "batches")
+            self._folded = done, rows, time.monotonic() + KEPT_SECONDS
+        return rows
 
     def _epochs_of(self, step: str) -> list[int]:
         return [e for e, done in self.commits().items() if done == step]
@@ -273,10 +335,11 @@ class Workspace:
         """Record submitted jobs (shard_id, batch_id)."""
         epoch = self._next_epoch()
         sent = jobs.select("shard_id", "batch_id").withColumn("state", F.lit("SUBMITTED"))
+        members = self._members("build_shards", "assign", "shard_id", jobs)
         self._commit(
             "submitted", epoch,
             batch_events=bt.as_batch_events(sent, 2 * epoch),
-            record_events=st.submit_events(self.state(self._members("assign", "shard_id", jobs)), jobs, 2 * epoch),
+            record_events=st.submit_events(self._state(members, "build_shards", *RESET_STEPS), jobs, 2 * epoch),
         )
 
     def embed(self, make_embedder: Callable[[], Embedder], results: str) -> DataFrame:
@@ -285,8 +348,12 @@ class Workspace:
         Reads the packed requests and writes one result folder per batch.
         """
         active = st.active_batches(self.batches()).select("batch_id", "shard_id")
-        places = self.request_index().join(active, "shard_id")
-        asked = sh.read_request_shards(places, self._path("requests")).select("batch_id", "value")
+        built = self._epochs_of("build_shards")
+        known, index, until = self._indexed or ([], None, 0.0)
+        if index is None or built != known or time.monotonic() > until:
+            index = materialize(self.request_index(), "requests")
+            self._indexed = built, index, time.monotonic() + KEPT_SECONDS
+        asked = sh.read_request_shards(index.join(active, "shard_id"), self._path("requests")).select("batch_id", "value")
         answers = answer_requests(asked, make_embedder, self.limits.embedding_dim)
         write_result_files(answers, results)
         return active.select(
@@ -301,11 +368,10 @@ class Workspace:
         )
         changed = latest_states(polls).join(known, "batch_id").where("state <> _old")
         changed = materialize(changed.select("batch_id", "shard_id", "state"), "polled")
-        self._commit(
-            "polled", epoch,
-            batch_events=bt.as_batch_events(changed, 2 * epoch),
-            record_events=self._undone(st.failed_batches(changed), 2 * epoch),
-        )
+        failed = st.failed_batches(changed)
+        freed = {} if failed.isEmpty() else {"record_events": self._undone(failed, 2 * epoch)}
+        step = "polled" if freed else "settled"
+        self._commit(step, epoch, batch_events=bt.as_batch_events(changed, 2 * epoch), **freed)
         return changed
 
     def cancel(self, batch_ids: DataFrame) -> None:
@@ -343,7 +409,8 @@ class Workspace:
     def upsert(self) -> DataFrame:
         """Store the points of embedded records; returns one row of counts."""
         epoch = self._next_epoch()
-        state, vectors = self.state(), self.vectors()
+        state = materialize(self.state().select("record_id", "embed_status", "upsert_status"), "state")
+        vectors = self.vectors()
         incoming = pt.points_to_upsert(state, self.records(), vectors, ["epoch", *POSITION])
         written = self._points.write(incoming, epoch, self._epochs_of("upsert"))
         skipped = pt.upsert_skipped(state, vectors).agg(F.count(F.lit(1)).alias("n"))
@@ -365,7 +432,8 @@ class Workspace:
 
     def verify(self, make_embedder: Callable[[], Embedder] | None = None, seed: int = 42) -> DataFrame:
         """All audits as (check, status, ok, n) rows; recall needs an embedder and a template."""
-        state, records, points = self.state(), self.records(), self.points()
+        state = materialize(self.state().select("record_id", "upsert_status"), "state")
+        records, points = self.records(), self.points()
         dim = self.limits.embedding_dim
         report = vf.count_match(state, points).unionByName(vf.spot_check(state, records, points, seed=seed))
         report = report.unionByName(vf.self_search_check(points, dim, seed=seed)).unionByName(vf.size_check(points, dim))

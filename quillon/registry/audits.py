@@ -150,7 +150,7 @@ def workspace_report(spark, sf_dir):
     # The limits bound a round, not the table: rounds follow until no shard is admitted.
     while not (admitted := materialize(ws.admit(), "admitted")).isEmpty():
         ws.submitted(admitted.select("shard_id", F.concat(F.lit("jobs/"), "shard_id").alias("batch_id")))
-        ws.polled(materialize(ws.embed(functools.partial(hashed_words, 64), results), "polls"))
+        ws.polled(ws.embed(functools.partial(hashed_words, 64), results))
     ws.collect(results)
     ws.upsert()
     metrics, states = ws.status()

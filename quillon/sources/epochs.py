@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -21,12 +23,26 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         raise
 
 
-def read_epochs(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """All epochs written so far, with their ``epoch``; empty before the first."""
+def read_epochs(
+    spark: SparkSession, path: str, schema: T.StructType | str, only: Collection[int] | None = None
+) -> DataFrame:
+    """All epochs written so far, or those in ``only``, with their ``epoch``; empty before the first.
+
+    Of ``only`` the folders are named, so that the others, however many, aren't even listed.
+    """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     full = T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])
-    return read_or_empty(spark, path, full)
+    if only is None:
+        return read_or_empty(spark, path, full)
+    if not only:
+        return spark.createDataFrame([], full)
+    try:
+        return spark.read.schema(full).option("basePath", path).parquet(*[f"{path}/epoch={e}" for e in sorted(only)])
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    return read_or_empty(spark, path, full).where(F.col("epoch").isin(sorted(only)))
 
 
 def earlier_epochs(stored: DataFrame, epoch: int) -> DataFrame:

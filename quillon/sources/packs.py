@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
@@ -53,7 +54,7 @@ class _Pack:
         self.offsets: list[int] = []
         self.size = 0
 
-    def add(self, key: str, content: bytes) -> None:
+    def add(self, key: str, content: pa.Buffer) -> None:
         if not self.keys or self.keys[-1] != key:
             self.keys.append(key)
             self.offsets.append(self.size)
@@ -70,6 +71,18 @@ class _Pack:
         return self.name
 
 
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.Buffer, int]]:
+    """Neighbouring rows of one key: the key, their contents as one, and how much of it the first row has."""
+    keys, contents = batch.column("key").to_pylist(), batch.column("content").cast(pa.binary())
+    _, places, data = contents.buffers()
+    ends = np.frombuffer(places, np.int32)[contents.offset : contents.offset + len(keys) + 1].tolist()
+    data, start = data or pa.py_buffer(b""), 0
+    for i in range(1, len(keys) + 1):
+        if i == len(keys) or keys[i] != keys[start]:
+            yield keys[start], data.slice(ends[start], ends[i] - ends[start]), ends[start + 1] - ends[start]
+            start = i
+
+
 class PackWriter(DataSourceArrowWriter):
     def __init__(self, options: dict):
         self.folder = options["folder"]
@@ -84,17 +97,17 @@ class PackWriter(DataSourceArrowWriter):
         seen: set[str] = set()
         pack, last = None, None
         for batch in iterator:
-            keys, contents = batch.column("key").to_pylist(), batch.column("content")
-            for i, key in enumerate(keys):
+            for key, content, first in _runs(batch):
                 if self.once:
                     if key in seen:
                         continue
                     seen.add(key)
+                    content = content.slice(0, first)
                 if pack is not None and key != last and pack.size >= self.pack_bytes:
                     done.append(pack.close())
                     pack = None
                 pack = pack or _Pack(files, base)
-                pack.add(key, contents[i].as_py())
+                pack.add(key, content)
                 last = key
         if pack is not None:
             done.append(pack.close())
@@ -213,6 +226,7 @@ def read_packed(entries: DataFrame, path: str, lines: bool = False) -> DataFrame
     spark = entries.sparkSession
     total = entries.agg(F.sum("length")).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PACK_BYTES))
-    chunk = F.floor(F.col("offset") / F.lit(PACK_BYTES // 8))
+    # Little is dealt out in small pieces, or one task would read it all.
+    chunk = F.floor(F.col("offset") / F.lit(max(1, min(PACK_BYTES // 8, total // (16 * tasks)))))
     near = entries.repartition(tasks, "pack", chunk).sortWithinPartitions("pack", "offset")
     return with_content(near, path, lines)

@@ -1,6 +1,7 @@
 """What a step needs on the driver or in one task doesn't grow with the tables."""
 
 import numpy as np
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from quillon.operators import admitted as ad, points as pt, search as se, state
 from quillon.operators.admitted import admitted_top_k
 from quillon.plans.workspace import Workspace
 from quillon.sources import lines as ln
+from quillon.sources.packs import _runs, pack_index, read_packed, write_packed
 from quillon.streaming import ingest
 
 from test_search import brute, frame, hits
@@ -137,3 +139,90 @@ def test_a_round_folds_its_own_records(spark, tmp_path, monkeypatch):
     assert {k for k, v in state.items() if v == ("pending", 1, None, None)} == {"r2", "r3"}
     only = spark.createDataFrame([("r2",), ("r5",), ("none",)], "record_id string")
     assert {r.record_id: (r.embed_status, r.embed_attempts, r.batch_id, r.shard_id) for r in ws.state(only).collect()} == {k: state[k] for k in ("r2", "r5")}
+
+
+def small_workspace(spark, tmp_path, records=8):
+    spec = DatasetSpec(dataset="d", id_column="id", text_template="{text}", modality="text")
+    ws = Workspace(spark, str(tmp_path / "ws"), spec, Limits(embedding_dim=8, records_per_shard=2, max_concurrent_jobs=1), buckets=2)
+    ws.ingest(spark.createDataFrame([(f"r{i}", f"text {i}") for i in range(records)], "id string, text string"), ["id"])
+    ws.build_shards()
+    return ws
+
+
+def one_round(spark, ws, shard, state="JOB_STATE_SUCCEEDED"):
+    assert [r.shard_id for r in ws.admit().collect()] == [shard]
+    ws.submitted(spark.createDataFrame([(shard, f"jobs/{shard}")], "shard_id long, batch_id string"))
+    ws.polled(spark.createDataFrame([(f"jobs/{shard}", 1, state)], "batch_id string, seq bigint, job_state string"))
+
+
+def test_a_round_reads_no_epochs_of_the_rounds_before(spark, tmp_path, monkeypatch):
+    import quillon.plans.workspace as module
+
+    ws, read, real = small_workspace(spark, tmp_path), [], module.read_epochs
+
+    def spied(spark, path, schema, only=None):
+        read.append((path.rsplit("/", 1)[-1], None if only is None else len(only)))
+        return real(spark, path, schema, only)
+
+    monkeypatch.setattr(module, "read_epochs", spied)
+    rounds = []
+    for shard in range(4):
+        one_round(spark, ws, shard)
+        rounds.append(sorted(read))
+        read.clear()
+    # Whatever came before: the ingest, the shards' events, and the events of one step at a time.
+    assert rounds[1] == rounds[2] == rounds[3] and set(rounds[3]) == {("records", 1), ("record_events", 1), ("batch_events", 1)}
+    assert {r.batch_id for r in ws.state().collect()} == {f"jobs/{i}" for i in range(4)}
+    assert {(r.shard_id, r.state) for r in ws.batches().collect()} == {(i, "SUCCEEDED") for i in range(4)}
+
+
+def test_a_poll_without_failures_leaves_the_records_alone(spark, tmp_path):
+    ws = small_workspace(spark, tmp_path, records=6)
+    one_round(spark, ws, 0)
+    settled = max(ws.commits())
+    assert not (tmp_path / "ws" / "record_events" / f"epoch={settled}").exists()
+    one_round(spark, ws, 1, "JOB_STATE_EXPIRED")
+    one_round(spark, ws, 2)
+    assert (tmp_path / "ws" / "record_events" / f"epoch={sorted(ws.commits())[-3]}").exists()
+    state = {r.record_id: (r.embed_status, r.embed_attempts, r.batch_id, r.shard_id) for r in ws.state().collect()}
+    assert {k for k, v in state.items() if v == ("pending", 1, None, None)} == {"r2", "r3"}
+    # Freed records come back in a new shard, and a snapshot between changes nothing.
+    ws.compact()
+    assert [r.shard_id for r in ws.build_shards().collect()] == [3]
+    one_round(spark, ws, 3)
+    state = {r.record_id: (r.embed_status, r.embed_attempts, r.batch_id, r.shard_id) for r in ws.state().collect()}
+    assert {k for k, v in state.items() if v == ("in_batch", 1, "jobs/3", 3)} == {"r2", "r3"}
+    again = Workspace(spark, ws.root, ws.spec, ws.limits)
+    assert sorted(map(tuple, again.batches().collect())) == sorted(map(tuple, ws.batches().collect()))
+
+
+def test_batches_see_steps_of_other_sessions(spark, tmp_path, monkeypatch):
+    ws = small_workspace(spark, tmp_path, records=4)
+    other = Workspace(spark, ws.root, ws.spec, ws.limits)
+    early = other._next_epoch()
+    ws.submitted(spark.createDataFrame([(0, "jobs/0")], "shard_id long, batch_id string"))
+    assert {(r.shard_id, r.state) for r in ws.batches().collect()} == {(0, "SUBMITTED"), (1, "PENDING")}
+    # Begun before that step, ended after it.
+    monkeypatch.setattr(other, "_next_epoch", lambda: early)
+    other.submitted(spark.createDataFrame([(1, "jobs/1")], "shard_id long, batch_id string"))
+    ws.refresh()
+    assert {(r.shard_id, r.batch_id, r.state) for r in ws.batches().collect()} == {
+        (0, "jobs/0", "SUBMITTED"), (1, "jobs/1", "SUBMITTED")}
+
+
+def test_little_is_read_in_many_tasks(spark, tmp_path):
+    entries = spark.createDataFrame([(f"k{i:02d}", b"x" * 1000) for i in range(64)], "key string, content binary")
+    write_packed(entries.coalesce(1), str(tmp_path))
+    read = read_packed(pack_index(spark, str(tmp_path)), str(tmp_path))
+    parts = [r["count"] for r in read.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(parts) == 64 and len(parts) == 3
+    assert {(r.key, bytes(r.content)) for r in read.collect()} == {(f"k{i:02d}", b"x" * 1000) for i in range(64)}
+
+
+def test_a_key_is_packed_in_one_piece():
+    batch = pa.RecordBatch.from_pydict(
+        {"key": ["skipped", "a", "a", "b", "c", "a"], "content": [b"zz", b"1", b"23", b"", b"4", b"5"]},
+        pa.schema([("key", pa.string()), ("content", pa.binary())]))
+    found = [(key, content.to_pybytes(), first) for key, content, first in _runs(batch.slice(1))]
+    assert found == [("a", b"123", 1), ("b", b"", 0), ("c", b"4", 1), ("a", b"5", 1)]
+    assert list(_runs(batch.slice(6))) == []
